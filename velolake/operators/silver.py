@@ -65,6 +65,10 @@ def validate_telemetry(parsed: DataFrame) -> DataFrame:
     return R.apply_rules(parsed, telemetry_rules())
 
 
+def apply_rules_to(parsed: DataFrame, rules: list[R.Rule]) -> DataFrame:
+    return R.apply_rules(parsed, rules)
+
+
 def valid_rows(validated: DataFrame) -> DataFrame:
     """Rows whose verdict is TRUE, without the helper columns."""
     return validated.filter(F.col("is_valid") == F.lit(True)).drop("is_valid", "error_message")
