@@ -13,10 +13,16 @@ def parse_payload(bronze: DataFrame, schema: StructType,
 
     Permissive: unknown keys are ignored, missing keys and values of the wrong type
     become NULL for that field only, and text that is not JSON gives an all-NULL row
-    (which the rule sets then quarantine).  Fields the caller never uses are pruned by
-    the optimizer, so parsing cost follows the projection.
+    (which the rule sets then quarantine).
+
+    The parsed struct is flattened with a one-element ``inline`` rather than
+    ``data.*``.  Same rows and columns, but the generator is a boundary the optimizer
+    does not push predicates through: the rule-set verdict filters the parsed
+    columns, instead of being rewritten into a filter that re-parses the text once per
+    field reference, below any repartition and outside whole-stage codegen
+    (measured 4x slower on silver).  Each message is parsed exactly once.
     """
     return bronze.select(
         F.col(time_col).alias("bronze_ingestion_time"),
-        F.from_json(F.col(text_col), schema).alias("data"),
-    ).select("bronze_ingestion_time", "data.*")
+        F.inline(F.array(F.from_json(F.col(text_col), schema))),
+    )

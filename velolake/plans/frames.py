@@ -15,7 +15,7 @@ from pyspark.sql.types import TimestampType
 
 from velolake import constants as K
 from velolake.operators import gold, marts, silver
-from velolake.session import pin_utc
+from velolake.session import apply_required_conf, min_parallel
 from velolake.sources import sample
 from velolake.sources.envelope import raw_envelope
 from velolake.sources.tables import driver_table
@@ -23,14 +23,14 @@ from velolake.sources.tables import driver_table
 
 class Frames:
     def __init__(self, spark: SparkSession, sf_dir: str, window: str = K.HOURLY):
-        pin_utc(spark)
+        apply_required_conf(spark)
         self.spark = spark
         self.sf_dir = sf_dir
         self.window = window
 
     @cached_property
     def events(self) -> DataFrame:
-        return driver_table(self.spark, self.sf_dir, "events")
+        return min_parallel(driver_table(self.spark, self.sf_dir, "events"))
 
     # bronze
     @cached_property

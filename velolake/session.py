@@ -6,12 +6,16 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Session settings every velolake job expects.  Event-time logic (hour
-# truncation, calendar parts, window bounds) is defined in UTC.
-BASE_CONF = {
+# SQL settings every velolake plan relies on, applied to any session it runs in:
+# event-time logic (hour truncation, calendar parts, window bounds) is defined in UTC.
+REQUIRED_SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
+}
+
+BASE_CONF = {
+    **REQUIRED_SQL_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -42,10 +46,24 @@ def build_session(master: str | None = None, app: str = "velolake",
     return spark
 
 
-def pin_utc(spark: SparkSession) -> None:
-    """Event-time columns are interpreted in UTC (matches the SQL oracle)."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def apply_required_conf(spark: SparkSession) -> None:
+    """Set :data:`REQUIRED_SQL_CONF` on a session created elsewhere (runtime SQL confs)."""
+    for k, v in REQUIRED_SQL_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
+def min_parallel(df: DataFrame) -> DataFrame:
+    """Spread a source over at least ``defaultParallelism`` partitions.
+
+    Only a source with fewer scan splits than cores (a small single-file table) is
+    repartitioned; a large input already has more splits than cores and is left as is,
+    so no shuffle is added at scale.  Used before CPU-heavy per-row work (JSON).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def shared_dir(spark: SparkSession) -> str:
