@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velolake.operators import gold, marts, quality, reports, silver
-from velolake.plans.frames import Frames, as_ntz
+from velolake.plans.frames import Frames, StoredTables, as_ntz
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -173,7 +173,8 @@ def _(f: Frames):
 
 @register("revenue_reconciliation")
 def _(f: Frames):
-    return quality.revenue_reconciliation(f.fact_rides, f.mart_revenue)
+    t = StoredTables(f)
+    return quality.revenue_reconciliation(t.fact_rides, t.mart_revenue)
 
 
 @register("revenue_totals")
@@ -188,7 +189,8 @@ def _(f: Frames):
 
 @register("fleet_bound")
 def _(f: Frames):
-    return quality.fleet_bound(f.fact_telemetry, f.mart_fleet)
+    t = StoredTables(f)
+    return quality.fleet_bound(t.fact_telemetry, t.mart_fleet)
 
 
 @register("fact_rides_null_checks")
@@ -223,13 +225,16 @@ def _(f: Frames):
 
 @register("validation_report")
 def _(f: Frames):
-    return quality.validation_report(f.fact_rides, f.fact_telemetry, f.mart_revenue, f.mart_fleet)
+    """The nine checks over stored gold and mart tables (the reference's validation job)."""
+    t = StoredTables(f)
+    return quality.validation_report(t.fact_rides, t.fact_telemetry, t.mart_revenue, t.mart_fleet)
 
 
 @register("validation_summary")
 def _(f: Frames):
+    t = StoredTables(f)
     return quality.report_summary(
-        quality.validation_report(f.fact_rides, f.fact_telemetry, f.mart_revenue, f.mart_fleet))
+        quality.validation_report(t.fact_rides, t.fact_telemetry, t.mart_revenue, t.mart_fleet))
 
 
 # --- reports ----------------------------------------------------------------------------
