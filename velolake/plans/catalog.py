@@ -218,6 +218,12 @@ def _(f: Frames):
     return quality.fare_distance_quality(f.fact_rides)
 
 
+@register("zero_fares")
+def _(f: Frames):
+    """Zero fares, reported but not a check."""
+    return quality.fare_distance_quality(f.fact_rides).select("zero_fares")
+
+
 @register("battery_quality")
 def _(f: Frames):
     return quality.battery_quality(f.fact_telemetry)

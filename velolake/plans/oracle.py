@@ -319,6 +319,8 @@ ORACLE: dict[str, str] = {
         SELECT count(*) FILTER (WHERE fare_amount < 0) AS negative_fares,
                count(*) FILTER (WHERE fare_amount = 0) AS zero_fares,
                count(*) FILTER (WHERE distance_km < 0) AS negative_distances FROM fact_rides""",
+    "zero_fares": BASE + """
+        SELECT count(*) FILTER (WHERE fare_amount = 0) AS zero_fares FROM fact_rides""",
     "battery_quality": BASE + """
         SELECT count(*) FILTER (WHERE battery_level < 0 OR battery_level > 100) AS invalid_battery FROM fact_tel""",
     "validation_report": BASE + _REPORT + "SELECT * FROM report",

@@ -80,6 +80,19 @@ def _(f: Frames):
     return lake.read(f.spark, "silver_bad_data", TOPICS["rides"])
 
 
+@_register("stream_silver_rides_split", BASE + f"""
+    SELECT 'valid' AS route, *, CAST(NULL AS VARCHAR) AS error_message FROM silver_rides
+    UNION ALL
+    SELECT 'quarantine' AS route, * FROM quarantine_rides""")
+def _(f: Frames):
+    """Both silver routes of one run, tagged by route: every decided row lands in exactly one."""
+    lake = _through_silver(f, "silver")
+    valid = lake.read(f.spark, "silver", TOPICS["rides"])
+    bad = lake.read(f.spark, "silver_bad_data", TOPICS["rides"])
+    return (valid.select(F.lit("valid").alias("route"), "*", F.lit(None).cast("string").alias("error_message"))
+            .unionByName(bad.select(F.lit("quarantine").alias("route"), "*")))
+
+
 @_register("stream_silver_telemetry_valid", BATCH_ORACLE["silver_telemetry_valid"])
 def _(f: Frames):
     lake = _through_silver(f, "silver")
