@@ -32,3 +32,12 @@ def test_series_drops_nulls_and_orders(spark):
             (H[1], H[2], 1, 2.0, 1.0, 1.0, 1.0, 1.0)]
     s = reports.series(spark.createDataFrame(rows, schemas.MART_REVENUE), "total_revenue").collect()
     assert [(r.hour_start, r.total_revenue) for r in s] == [(H[1], 2.0), (H[2], 3.0)]
+
+
+def test_text_times_are_coerced_leniently(spark):
+    df = spark.createDataFrame([("2024-01-01 02:00:00", 2.0), ("garbage", 9.0), ("2024-01-01 01:00:00", 1.0)],
+                               "hour_start string, total_revenue double")
+    s = reports.series(df, "total_revenue").collect()
+    assert [r.total_revenue for r in s] == [1.0, 2.0]
+    last = reports.last_n(df, 1).collect()
+    assert last[0].hour_start is None                 # unparseable time sorts last, so it is the last row

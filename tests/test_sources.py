@@ -33,3 +33,14 @@ def test_continuous_bronze_ingest_and_wait_any(spark):
     assert bronze.columns == ["raw_json", "kafka_timestamp"] and bronze.count() == 1000
     inv = file_inventory(bronze).first()
     assert inv.files >= 1 and inv.latest_file_time is not None
+
+
+def test_schema_merge_on_read(spark):
+    lake = Lake.fresh(spark, "t-merge")
+    path = lake.table("silver", "ride_events")
+    spark.createDataFrame([("R-1", 1)], "ride_id string, user_id long").write.mode("append").parquet(path)
+    spark.createDataFrame([("R-2", 2, "gps")], "ride_id string, user_id long, source string") \
+        .write.mode("append").parquet(path)
+    merged = lake.read(spark, "silver", "ride_events", merge_schema=True)
+    assert set(merged.columns) == {"ride_id", "user_id", "source"}
+    assert {(r.ride_id, r.source) for r in merged.collect()} == {("R-1", None), ("R-2", "gps")}

@@ -110,3 +110,20 @@ def test_end_to_end_rerun_adds_nothing(spark):
              [("bronze", "ride_events"), ("silver", "ride_events"), ("silver_bad_data", "ride_events"),
               ("gold", "fact_rides"), ("mart", "mart_revenue_hourly"), ("mart", "mart_fleet_health_hourly")]}
     assert again == counts
+
+
+def test_mart_stream_on_rocksdb_state_store(spark):
+    from velolake.session import ROCKSDB_PROVIDER
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        lake = Lake.fresh(spark, "t-rocks")
+        spark.createDataFrame([], schemas.FACT_TELEMETRY).write.parquet(lake.table("gold", "fact_telemetry"))
+        append_facts(spark, lake, [fact_ride("a", at(10)), fact_ride("b", at(20)), fact_ride("c", at(200))])
+        assert run_marts(spark, lake, exact=True) == {(at(0), 2)}
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

@@ -43,6 +43,17 @@ def rows_of(cols, rows):
     return [cols[i] for i in order], sorted(out, key=lambda r: tuple(str(x) for x in r))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_mismatches(df, description):
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {d[0]: str(d[1]) for d in description}
+    return {k: (spark_types[k], duck_types.get(k)) for k in spark_types if spark_types[k] != duck_types.get(k)}
+
+
 def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
@@ -67,8 +78,11 @@ def main(argv):
         dcols2, dr = rows_of(dcols, drows)
         status = "OK"
         detail = ""
+        tm = type_mismatches(df, res.description)
         if scols != dcols2:
             status, detail = "COLS", f"spark={scols} duck={dcols2}"
+        elif tm:
+            status, detail = "TYPES", str(tm)
         elif len(sr) != len(dr):
             status, detail = "COUNT", f"spark={len(sr)} duck={len(dr)}"
         elif sr != dr:

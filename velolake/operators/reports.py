@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 
 def _num(df: DataFrame, c: str) -> Column:
@@ -35,16 +36,24 @@ def kpi_fleet(mart_fleet: DataFrame) -> DataFrame:
         F.coalesce(F.sum(maint), F.lit(0)).cast("long").alias("scooters_in_maintenance"))
 
 
+def lenient_time(df: DataFrame, time_col: str = "hour_start") -> DataFrame:
+    """Text time values -> TIMESTAMP, unparseable ones -> NULL (never raises); a column that
+    is already a timestamp is left alone."""
+    if time_col not in df.columns or isinstance(df.schema[time_col].dataType, (TimestampType, TimestampNTZType)):
+        return df
+    return df.withColumn(time_col, F.try_to_timestamp(F.col(time_col).cast("string")))
+
+
 def series(mart: DataFrame, value: str, time_col: str = "hour_start") -> DataFrame:
     """``(time, value)`` pairs without NULLs, in time order."""
-    return mart.select(time_col, value).dropna().orderBy(time_col)
+    return lenient_time(mart, time_col).select(time_col, value).dropna().orderBy(time_col)
 
 
 def last_n(mart: DataFrame, n: int = 10, time_col: str = "hour_start") -> DataFrame:
     """The last ``n`` rows of the mart sorted by time with NULL times last.
 
     Planned as a top-k (``TakeOrderedAndProject``): each task keeps ``n`` rows."""
-    return mart.orderBy(F.col(time_col).desc_nulls_first()).limit(n)
+    return lenient_time(mart, time_col).orderBy(F.col(time_col).desc_nulls_first()).limit(n)
 
 
 def latest_windows(mart: DataFrame, n: int = 3, time_col: str = "hour_start") -> DataFrame:

@@ -24,13 +24,19 @@ BASE_CONF = {
 }
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(master: str | None = None, app: str = "velolake",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  rocksdb_state: bool = False) -> SparkSession:
     """Create (or reuse) a session with :data:`BASE_CONF` applied.
 
     ``shuffle_partitions`` should follow the cluster: roughly total input bytes of the
     widest shuffle / 128 MB; AQE coalesces small partitions at run time.  It also
     fixes the state-store partition count of a streaming checkpoint at its first run.
+    ``rocksdb_state`` keeps streaming state (mart windows, ``state``-mode dimensions) in
+    RocksDB on local disk instead of the executor heap, for large state.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -38,6 +44,8 @@ def build_session(master: str | None = None, app: str = "velolake",
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if rocksdb_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
