@@ -79,9 +79,13 @@ def error_text(rules: list[Rule]) -> Column:
 
 def apply_rules(df, rules: list[Rule], verdict_col: str = "is_valid", error_col: str = "error_message"):
     """Add the verdict and error message columns in a single projection."""
-    ok = verdict(rules)
+    return with_checks(df, verdict(rules), error_text(rules), verdict_col, error_col)
+
+
+def with_checks(df, ok: Column, text: Column, verdict_col: str = "is_valid", error_col: str = "error_message"):
+    """``df`` plus the verdict and, where it is FALSE, the error text."""
     return df.select(
         "*",
         ok.alias(verdict_col),
-        F.when(~ok, error_text(rules)).otherwise(F.lit(None).cast("string")).alias(error_col),
+        F.when(~ok, text).otherwise(F.lit(None).cast("string")).alias(error_col),
     )

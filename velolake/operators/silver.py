@@ -9,10 +9,12 @@ from velolake import constants as K
 from velolake import schemas
 from velolake.functions import rules as R
 from velolake.functions.payload import parse_payload
+from velolake.session import per_context
 
 UNDECIDED_MODES = ("drop", "quarantine")
 
 
+@per_context
 def telemetry_rules() -> list[R.Rule]:
     """Telemetry rule set, in message order.  Battery, latitude and longitude are strict:
     a NULL there leaves the verdict undecided rather than failing it."""
@@ -31,6 +33,7 @@ def telemetry_rules() -> list[R.Rule]:
     ]
 
 
+@per_context
 def ride_rules() -> list[R.Rule]:
     """Ride rule set, in message order.  ``event_type`` is strict (NULL: undecided)."""
     m = K.RIDE_MESSAGES
@@ -57,12 +60,24 @@ def parse_telemetry(bronze: DataFrame) -> DataFrame:
     return parse_payload(bronze, schemas.TELEMETRY_PAYLOAD)
 
 
+@per_context
+def _ride_checks():
+    rules = ride_rules()
+    return R.verdict(rules), R.error_text(rules)
+
+
+@per_context
+def _telemetry_checks():
+    rules = telemetry_rules()
+    return R.verdict(rules), R.error_text(rules)
+
+
 def validate_rides(parsed: DataFrame) -> DataFrame:
-    return R.apply_rules(parsed, ride_rules())
+    return R.with_checks(parsed, *_ride_checks())
 
 
 def validate_telemetry(parsed: DataFrame) -> DataFrame:
-    return R.apply_rules(parsed, telemetry_rules())
+    return R.with_checks(parsed, *_telemetry_checks())
 
 
 def apply_rules_to(parsed: DataFrame, rules: list[R.Rule]) -> DataFrame:

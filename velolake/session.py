@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings every velolake plan relies on, applied to any session it runs in:
@@ -54,6 +55,29 @@ def build_session(master: str | None = None, app: str = "velolake",
     return spark
 
 
+def per_context(fn):
+    """Cache a zero-argument builder of Column expressions per live SparkContext.
+
+    Column trees are unresolved expressions, independent of any DataFrame, so a rule set
+    or payload struct built once can be reused by every plan; rebuilding one costs
+    hundreds of Python-to-JVM calls.  The cache is keyed by the context, so a new
+    session after ``stop()`` rebuilds.
+    """
+    cache: dict = {}
+
+    def wrapper():
+        sc = SparkContext._active_spark_context
+        key = id(sc._jsc) if sc is not None else None
+        if key not in cache:
+            cache.clear()
+            cache[key] = fn()
+        return cache[key]
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def apply_required_conf(spark: SparkSession) -> None:
     """Set :data:`REQUIRED_SQL_CONF` on a session created elsewhere (runtime SQL confs)."""
     for k, v in REQUIRED_SQL_CONF.items():

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velolake.constants import CITIES
+from velolake.session import per_context
 
 # --- fixed values: test-payload domains that fall outside the allowed sets ---------
 PAYMENT_CYCLE = ["card", "wallet", "cash", "crypto"]
@@ -23,7 +24,7 @@ def _pick(items: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in items]), (idx + F.lit(1)).cast("int"))
 
 
-def _arrival(events: DataFrame) -> Column:
+def _arrival() -> Column:
     # Driver tables store wall-clock UTC as TIMESTAMP_NTZ; read it as an instant.
     return F.col("ts").cast("timestamp")
 
@@ -32,11 +33,12 @@ def _scooter() -> Column:
     return F.concat(F.lit("S-"), (F.lit(100) + F.col("event_id") % 900).cast("string"))
 
 
-def _epoch_ms(events: DataFrame) -> Column:
-    return F.unix_millis(_arrival(events))
+def _epoch_ms() -> Column:
+    return F.unix_millis(_arrival())
 
 
-def ride_payload(events: DataFrame) -> Column:
+def ride_payload() -> Column:
+    """The ride message as a struct over ``events`` columns."""
     et = F.col("event_type")
     eid = F.col("event_id")
     return F.struct(
@@ -46,7 +48,7 @@ def ride_payload(events: DataFrame) -> Column:
         (F.when(et.isin("purchase", "click"), F.lit("end"))
           .when(et == "view", F.lit("start"))
           .when(et == "error", F.lit("error"))).alias("event_type"),
-        _epoch_ms(events).alias("timestamp"),
+        _epoch_ms().alias("timestamp"),
         (eid % 200).alias("duration_mins"),
         F.col("value").alias("distance_km"),
         (F.col("value") - F.lit(1.0)).alias("fare_amount"),
@@ -58,7 +60,8 @@ def ride_payload(events: DataFrame) -> Column:
     )
 
 
-def telemetry_payload(events: DataFrame) -> Column:
+def telemetry_payload() -> Column:
+    """The telemetry message as a struct over ``events`` columns."""
     eid = F.col("event_id")
     v = F.col("value")
     return F.struct(
@@ -66,7 +69,7 @@ def telemetry_payload(events: DataFrame) -> Column:
         F.when(eid % 13 != 0, eid % 121 - 10).alias("battery_level"),
         (v - F.lit(90)).alias("latitude"),
         (F.lit(180) - v).alias("longitude"),
-        _epoch_ms(events).alias("timestamp"),
+        _epoch_ms().alias("timestamp"),
         (v / F.lit(8)).alias("speed_kmh"),
         (v * F.lit(10) - F.lit(5)).alias("odometer_km"),
         (v - F.lit(20)).alias("temperature_c"),
@@ -76,10 +79,12 @@ def telemetry_payload(events: DataFrame) -> Column:
     )
 
 
+@per_context
+def _envelopes() -> dict[str, list[Column]]:
+    return {kind: [F.to_json(make()).cast("binary").alias("value"), _arrival().alias("timestamp")]
+            for kind, make in (("rides", ride_payload), ("telemetry", telemetry_payload))}
+
+
 def messages(events: DataFrame, kind: str) -> DataFrame:
     """Kafka-shaped envelope ``(value BINARY, timestamp TIMESTAMP)`` for one topic."""
-    payload = {"rides": ride_payload, "telemetry": telemetry_payload}[kind](events)
-    return events.select(
-        F.to_json(payload).cast("binary").alias("value"),
-        _arrival(events).alias("timestamp"),
-    )
+    return events.select(*_envelopes()[kind])
