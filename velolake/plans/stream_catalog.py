@@ -37,6 +37,11 @@ def _register(name: str, oracle: str | None = None):
     return deco
 
 
+def _cores(f: Frames) -> int:
+    """State partitions for the named streams: one per core of the cluster."""
+    return f.spark.sparkContext.defaultParallelism
+
+
 def _published(f: Frames, label: str) -> Lake:
     lake = Lake.fresh(f.spark, label)
     L.publish(sample.messages(f.events, "rides"), lake, TOPICS["rides"])
@@ -108,7 +113,7 @@ def _(f: Frames):
 
 def _gold(f: Frames, label: str, dims: str = "merge") -> Lake:
     lake = _published(f, label)
-    L.run_incremental(f.spark, lake, layers=("bronze", "silver", "gold"), dims=dims)
+    L.run_incremental(f.spark, lake, layers=("bronze", "silver", "gold"), dims=dims, state_partitions=_cores(f))
     return lake
 
 
@@ -148,14 +153,16 @@ def _(f: Frames):
 def _(f: Frames):
     """Hourly revenue mart as a stream with the 1-minute watermark (W1-W4, W7), exact counts."""
     lake = _with_batch_facts(f, "mart")
-    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True)
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True,
+                      state_partitions=_cores(f))
     return lake.read(f.spark, "mart", "mart_revenue_hourly")
 
 
 @_register("stream_mart_fleet_health", BASE + FLEET_CUT)
 def _(f: Frames):
     lake = _with_batch_facts(f, "mart")
-    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True)
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True,
+                      state_partitions=_cores(f))
     return lake.read(f.spark, "mart", "mart_fleet_health_hourly")
 
 
@@ -163,7 +170,8 @@ def _(f: Frames):
 def _(f: Frames):
     """The reference's defaults: 1-minute windows under a 1-minute watermark."""
     lake = _with_batch_facts(f, "mart")
-    L.run_incremental(f.spark, lake, layers=("mart",), window=K.MART_WINDOW_DURATION, exact=True)
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.MART_WINDOW_DURATION, exact=True,
+                      state_partitions=_cores(f))
     return lake.read(f.spark, "mart", "mart_revenue_hourly")
 
 
@@ -171,7 +179,7 @@ def _(f: Frames):
 def _(f: Frames):
     """landing -> bronze -> silver -> gold -> mart, every layer a stream."""
     lake = _published(f, "e2e")
-    L.run_incremental(f.spark, lake, window=K.HOURLY, exact=True)
+    L.run_incremental(f.spark, lake, window=K.HOURLY, exact=True, state_partitions=_cores(f))
     return lake.read(f.spark, "mart", "mart_revenue_hourly")
 
 
@@ -181,7 +189,8 @@ def _(f: Frames):
     Rows-only: file times are not reproducible."""
     from velolake.sources.tables import file_inventory
     lake = _with_batch_facts(f, "fresh")
-    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True)
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True,
+                      state_partitions=_cores(f))
     rev = file_inventory(lake.read(f.spark, "mart", "mart_revenue_hourly"))
     fleet = file_inventory(lake.read(f.spark, "mart", "mart_fleet_health_hourly"))
     return (rev.select(F.lit("mart_revenue_hourly").alias("table"), "*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +79,23 @@ def per_context(fn):
     return wrapper
 
 
+@contextmanager
+def scoped_conf(spark: SparkSession, key: str, value):
+    """Set a runtime SQL conf for the duration of the block, then restore it."""
+    if value is None:
+        yield
+        return
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def apply_required_conf(spark: SparkSession) -> None:
     """Set :data:`REQUIRED_SQL_CONF` on a session created elsewhere (runtime SQL confs)."""
     for k, v in REQUIRED_SQL_CONF.items():

@@ -67,7 +67,8 @@ def start_silver(spark: SparkSession, lake: Lake, undecided: str = "drop", trigg
 
 
 def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str = "merge",
-               trigger: str = "available_now", max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
+               trigger: str = "available_now", max_files_per_trigger: int | None = None,
+               state_partitions: int | None = None) -> list[StreamingQuery]:
     """silver -> facts (append) and dimensions (``merge`` or ``state`` mode)."""
     def rides() -> DataFrame:
         return gold.with_event_ts(lake.read_stream(spark, "silver", TOPICS["rides"], max_files_per_trigger))
@@ -87,7 +88,8 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
             if dims == "merge":
                 out.append(batch_sink(rides().select(key), D.merge_writer(path, [key]), ckpt, trigger))
             else:
-                out.append(append_sink(D.dedup_state(rides(), key), path, ckpt, trigger))
+                out.append(append_sink(D.dedup_state(rides(), key), path, ckpt, trigger,
+                                       state_partitions=state_partitions))
         elif t == "dim_time_hourly":
             if dims == "merge":
                 hours = D.hours_of(rides()).unionByName(D.hours_of(telemetry()))
@@ -95,7 +97,8 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
                                       ckpt, trigger))
             else:
                 times = rides().select("event_ts").unionByName(telemetry().select("event_ts"))
-                out.append(append_sink(D.hours_state(times), path, ckpt, trigger))
+                out.append(append_sink(D.hours_state(times), path, ckpt, trigger,
+                                       state_partitions=state_partitions))
         else:
             raise ValueError(f"unknown gold table {t!r}")
     return out
@@ -103,7 +106,8 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
 
 def start_marts(spark: SparkSession, lake: Lake, window: str = K.MART_WINDOW_DURATION,
                 watermark: str = K.MART_WATERMARK, exact: bool = False, trigger: str = "available_now",
-                max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
+                max_files_per_trigger: int | None = None,
+                state_partitions: int | None = None) -> list[StreamingQuery]:
     """gold facts -> windowed marts under a watermark (append: a window is written once,
     when the watermark passes its end; rows for an already-closed window are dropped)."""
     fr = lake.read_stream(spark, "gold", "fact_rides", max_files_per_trigger)
@@ -112,7 +116,8 @@ def start_marts(spark: SparkSession, lake: Lake, window: str = K.MART_WINDOW_DUR
         ("mart_revenue_hourly", marts.revenue_mart(fr, window=window, exact=exact, watermark=watermark)),
         ("mart_fleet_health_hourly", marts.fleet_mart(ft, window=window, exact=exact, watermark=watermark)),
     ]
-    return [append_sink(df, lake.table("mart", t), lake.checkpoint("mart", t), trigger) for t, df in jobs]
+    return [append_sink(df, lake.table("mart", t), lake.checkpoint("mart", t), trigger,
+                        state_partitions=state_partitions) for t, df in jobs]
 
 
 def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
@@ -125,10 +130,11 @@ def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
 def run_incremental(spark: SparkSession, lake: Lake, layers=("bronze", "silver", "gold", "mart"),
                     window: str = K.MART_WINDOW_DURATION, watermark: str = K.MART_WATERMARK,
                     exact: bool = False, dims: str = "merge", undecided: str = "drop",
-                    max_files_per_trigger: int | None = None) -> None:
+                    max_files_per_trigger: int | None = None, state_partitions: int | None = None) -> None:
     """Run the given layers in order, each as an ``availableNow`` increment (the manual
     run sheet: Silver, then Gold, then Mart).  Safe to repeat: each query resumes from
-    its checkpoint and only new input is processed."""
+    its checkpoint and only new input is processed.  ``state_partitions``: see
+    :func:`velolake.streaming.sinks.append_sink`."""
     m = max_files_per_trigger
     for layer in layers:
         if layer == "bronze":
@@ -136,9 +142,10 @@ def run_incremental(spark: SparkSession, lake: Lake, layers=("bronze", "silver",
         elif layer == "silver":
             run_layer(start_silver(spark, lake, undecided=undecided, max_files_per_trigger=m))
         elif layer == "gold":
-            run_layer(start_gold(spark, lake, dims=dims, max_files_per_trigger=m))
+            run_layer(start_gold(spark, lake, dims=dims, max_files_per_trigger=m,
+                                 state_partitions=state_partitions))
         elif layer == "mart":
             run_layer(start_marts(spark, lake, window=window, watermark=watermark, exact=exact,
-                                  max_files_per_trigger=m))
+                                  max_files_per_trigger=m, state_partitions=state_partitions))
         else:
             raise ValueError(f"unknown layer {layer!r}")

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from velolake.session import scoped_conf
+
 TRIGGERS = ("available_now", "continuous", "once_per")
 
 
 def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "available_now",
-                interval: str | None = None, name: str | None = None) -> StreamingQuery:
+                interval: str | None = None, name: str | None = None,
+                state_partitions: int | None = None) -> StreamingQuery:
     """Start an append-mode Parquet sink with its own checkpoint.
 
     * ``available_now`` - process everything available (in as many micro-batches as the
@@ -19,6 +22,11 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "avail
 
     The Parquet sink commits each batch in ``_spark_metadata`` under its batch id, so a
     batch re-run after a failure does not duplicate rows; readers see only committed files.
+
+    ``state_partitions`` sets the number of state-store partitions of a stateful query
+    at its first run (later runs keep the checkpoint's number).  Each partition commits
+    its state every batch, so size it to the cluster's cores rather than inheriting a
+    batch-oriented ``spark.sql.shuffle.partitions``.
     """
     w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if name:
@@ -30,7 +38,9 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "avail
             w = w.trigger(processingTime=interval)
     else:
         raise ValueError(f"trigger must be 'available_now' or 'continuous', got {trigger!r}")
-    return w.start(path)
+    # A stream copies the session conf when it starts, so the scope only needs to cover start().
+    with scoped_conf(df.sparkSession, "spark.sql.shuffle.partitions", state_partitions):
+        return w.start(path)
 
 
 def batch_sink(df: DataFrame, fn, checkpoint: str, trigger: str = "available_now",
