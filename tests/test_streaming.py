@@ -25,8 +25,12 @@ def append_facts(spark, lake, rows):
         .parquet(lake.table("gold", "fact_rides"))
 
 
-def run_marts(spark, lake, exact):
-    L.run_incremental(spark, lake, layers=("mart",), window="1 minute", watermark="1 minute", exact=exact)
+def run_marts(spark, lake, exact, dropped=None):
+    from velolake.streaming.sinks import rows_dropped_by_watermark, run_layer
+    qs = L.start_marts(spark, lake, window="1 minute", watermark="1 minute", exact=exact)
+    run_layer(qs)
+    if dropped is not None:
+        assert rows_dropped_by_watermark(qs[0]) == dropped
     return {(r.hour_start, r.completed_rides) for r in lake.read(spark, "mart", "mart_revenue_hourly").collect()}
 
 
@@ -42,7 +46,7 @@ def test_watermark_emission_and_late_rows(spark, exact):
     assert run_marts(spark, lake, exact) == {(at(0), 1)}
     # step 3: 00:01:05 falls in an open window (kept); 00:00:30 in a closed one (dropped)
     append_facts(spark, lake, [fact_ride("d", at(65)), fact_ride("e", at(30))])
-    assert run_marts(spark, lake, exact) == {(at(0), 1)}
+    assert run_marts(spark, lake, exact, dropped=1) == {(at(0), 1)}
     # step 4: watermark 00:04:00 closes [00:01,00:02) and [00:02,00:03)
     append_facts(spark, lake, [fact_ride("f", at(300))])
     assert run_marts(spark, lake, exact) == {(at(0), 1), (at(60), 1), (at(120), 2)}

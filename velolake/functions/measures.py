@@ -26,8 +26,3 @@ def ratio(num: Column, den: Column) -> Column:
 
 def null_count(c: str) -> Column:
     return F.count_if(F.col(c).isNull())
-
-
-def sum_or_zero(c: Column | str) -> Column:
-    """``sum`` with NULL / empty input reported as 0."""
-    return F.coalesce(F.sum(col_of(c)), F.lit(0))

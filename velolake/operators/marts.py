@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from velolake import constants as K
 from velolake.functions.measures import exact_sum, ratio
+from velolake.functions.time import tumbling
 
 
 def _window_of(df: DataFrame, duration: str) -> Column:
-    return F.window(F.col("event_ts"), duration)
+    return tumbling("event_ts", duration)
 
 
 def _rewindow(df: DataFrame, duration: str) -> Column:
@@ -97,10 +98,6 @@ def revenue_mart(fact_rides_df: DataFrame, window: str = K.MART_WINDOW_DURATION,
     )
 
 
-def _flag(cond: Column) -> Column:
-    return F.max(cond)
-
-
 def fleet_mart(fact_telemetry_df: DataFrame, window: str = K.MART_WINDOW_DURATION,
                exact: bool = False, watermark: str | None = None,
                with_estimates: bool = False) -> DataFrame:
@@ -128,9 +125,9 @@ def fleet_mart(fact_telemetry_df: DataFrame, window: str = K.MART_WINDOW_DURATIO
     per_scooter = (base.groupBy(_window_of(base, window).alias("w"), "scooter_id")
                    .agg(F.sum("battery_level").alias("batt"),
                         F.count("battery_level").alias("n_batt"),
-                        _flag(low).alias("low"),
-                        _flag(in_use).alias("in_use"),
-                        _flag(maint).alias("maint")))
+                        F.max(low).alias("low"),          # seen low / in use / in maintenance
+                        F.max(in_use).alias("in_use"),    # at least once in the window
+                        F.max(maint).alias("maint")))
     known = sid.isNotNull()
     measures = [
         F.count(sid).alias("fleet_size_seen"),

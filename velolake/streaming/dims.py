@@ -15,8 +15,6 @@ one task each batch.  Kept for parity; ``merge`` gives the same table.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -79,7 +77,3 @@ def hours_state(times: DataFrame, watermark: str = K.DEDUP_WATERMARK) -> DataFra
             .withColumn("hour_start", hour_start("event_ts"))
             .dropDuplicates(["hour_start"])
             .select("hour_start", *calendar_parts("hour_start")))
-
-
-def with_calendar(df: DataFrame) -> DataFrame:
-    return df.select("hour_start", *calendar_parts("hour_start"))

@@ -93,7 +93,7 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
         elif t == "dim_time_hourly":
             if dims == "merge":
                 hours = D.hours_of(rides()).unionByName(D.hours_of(telemetry()))
-                out.append(batch_sink(hours, D.merge_writer(path, ["hour_start"], finish=D.with_calendar),
+                out.append(batch_sink(hours, D.merge_writer(path, ["hour_start"], finish=gold.with_calendar),
                                       ckpt, trigger))
             else:
                 times = rides().select("event_ts").unionByName(telemetry().select("event_ts"))

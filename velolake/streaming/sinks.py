@@ -54,6 +54,13 @@ def batch_sink(df: DataFrame, fn, checkpoint: str, trigger: str = "available_now
     return w.start()
 
 
+def rows_dropped_by_watermark(query: StreamingQuery) -> int:
+    """Late input rows a stateful query discarded (their window had already closed),
+    summed over the progress reports the query still holds."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
 def run_layer(queries: list[StreamingQuery], wait: str = "all", timeout_s: float | None = None,
               spark=None) -> None:
     """Wait for a layer's queries: ``all`` (incremental layers) or ``any`` (continuous
