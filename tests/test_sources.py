@@ -44,3 +44,21 @@ def test_schema_merge_on_read(spark):
     merged = lake.read(spark, "silver", "ride_events", merge_schema=True)
     assert set(merged.columns) == {"ride_id", "user_id", "source"}
     assert {(r.ride_id, r.source) for r in merged.collect()} == {("R-1", None), ("R-2", "gps")}
+
+
+def test_json_lines_folder_as_topic(spark):
+    from velolake.operators import silver
+    from velolake.sources.envelope import read_json_lines
+    from velolake.streaming.sinks import append_sink
+    lake = Lake.fresh(spark, "t-jsonl")
+    folder = lake.root + "/incoming"
+    spark.createDataFrame([('{"ride_id": "R-1", "user_id": 3, "scooter_id": "S-1", "event_type": "end", '
+                            '"timestamp": 1711425045123}',), ("garbage",)], "value string") \
+        .coalesce(1).write.text(folder)
+    q = append_sink(read_json_lines(spark, folder), lake.table("bronze", "ride_events"),
+                    lake.checkpoint("bronze", "ride_events"))
+    run_layer([q])
+    bronze = lake.read(spark, "bronze", "ride_events")
+    assert bronze.count() == 2 and bronze.filter("kafka_timestamp IS NULL").count() == 0
+    valid, bad = silver.split(silver.validate_rides(silver.parse_rides(bronze)))
+    assert [r.ride_id for r in valid.collect()] == ["R-1"] and bad.count() == 1

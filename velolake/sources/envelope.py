@@ -41,3 +41,15 @@ def read_landing(spark: SparkSession, path: str, max_files_per_trigger: int | No
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return raw_envelope(reader.parquet(path))
+
+
+def read_json_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream raw JSON-lines files from a folder as bronze rows: each line is one message,
+    and the file's modification time stands in for the broker time."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path).select(
+        F.col("value").alias("raw_json"),
+        F.col("_metadata.file_modification_time").alias("kafka_timestamp"),
+    )

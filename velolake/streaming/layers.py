@@ -38,8 +38,9 @@ def start_bronze(spark: SparkSession, lake: Lake, trigger: str = "available_now"
                  max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
     """Envelope stream -> ``bronze/<topic>`` (raw_json, kafka_timestamp).
 
-    ``sources`` maps ``rides`` / ``telemetry`` to ready envelope streams (e.g.
-    :func:`velolake.sources.envelope.read_topic`); by default the landing folders are read.
+    ``sources`` maps ``rides`` / ``telemetry`` to streams already in bronze shape
+    (``raw_json``, ``kafka_timestamp``), e.g. :func:`velolake.sources.envelope.read_topic` or
+    :func:`velolake.sources.envelope.read_json_lines`; by default the landing folders are read.
     """
     out = []
     for kind, topic in TOPICS.items():
