@@ -47,3 +47,20 @@ def test_validation_plan_uses_scalar_subqueries_not_joins(spark):
     for op in FORBIDDEN:
         assert op not in text, op
     assert "Subquery" in text
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_every_key_shuffle_is_preaggregated(spark, name):
+    """Each hash shuffle carries partial aggregates, never raw rows: a hot key (a third of all
+    rows) leaves every task as one partial row.  The only other exchanges: round-robin
+    spreading of a small source, single-partition exchanges of global aggregates / top-k, and
+    the range partitioning of a time-ordered series over mart windows."""
+    df = REGISTRY[name](spark, SF)
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = lines[i + 1]
+            assert "HashAggregate(keys=" in below, f"{name}: raw rows shuffled by key:\n{line}\n{below}"
+        elif "Exchange" in line:
+            assert ("RoundRobinPartitioning" in line or "SinglePartition" in line
+                    or ("rangepartitioning(hour_start" in line and name.startswith("series_"))), f"{name}: {line}"
