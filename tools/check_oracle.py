@@ -1,6 +1,6 @@
 """Run named queries in Spark and their SQL in DuckDB on the same tables; compare.
 
-Usage: python tools/check_oracle.py [sf_dir] [name ...]
+Usage: python tools/check_oracle.py [--plain-session] [sf_dir] [name ...]
 
 Compares row count, column names, and the sorted multiset of rows with exact values
 (timestamps as naive UTC, floats bit-for-bit).  Prints one line per query.
@@ -55,9 +55,16 @@ def type_mismatches(df, description):
 
 
 def main(argv):
+    plain = "--plain-session" in argv
+    argv = [a for a in argv if a != "--plain-session"]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if plain:   # a session as a caller might build it: Spark defaults only
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in DRIVER_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")

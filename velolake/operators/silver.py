@@ -125,15 +125,22 @@ def split(validated: DataFrame, rules: list[R.Rule] | None = None,
     return valid_rows(validated), quarantine_rows(validated, rules, undecided)
 
 
+def reasons(quarantine: DataFrame, source: str | None = None) -> DataFrame:
+    """One row per failed rule message of each quarantined row (narrow ``explode``)."""
+    r = F.explode(F.split(F.col("error_message"), r"\|")).alias("reason")
+    if source is None:
+        return quarantine.select(r)
+    return quarantine.select(F.lit(source).alias("source"), r)
+
+
 def reason_counts(quarantine: DataFrame, source: str | None = None) -> DataFrame:
-    """Rows per failed rule message over a quarantine table.
+    """Rows per failed rule message over a quarantine table."""
+    return count_reasons(reasons(quarantine, source))
 
-    ``explode`` is a narrow generator and the count is partially aggregated before the
-    shuffle, so a message carried by most rows costs one partial row per task.
-    """
-    reasons = quarantine.select(
-        F.explode(F.split(F.col("error_message"), r"\|")).alias("reason"))
-    out = reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
-    if source is not None:
-        out = out.select(F.lit(source).alias("source"), "reason", "rows")
-    return out
+
+def count_reasons(reason_rows: DataFrame) -> DataFrame:
+    """Count per (source,) reason.  Partially aggregated before the shuffle, so a message
+    carried by most rows costs one partial row per task; several quarantine tables can be
+    unioned first and counted in one shuffle."""
+    keys = [c for c in ("source", "reason") if c in reason_rows.columns]
+    return reason_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))

@@ -86,8 +86,8 @@ def _(f: Frames):
 
 @register("quarantine_reason_counts")
 def _(f: Frames):
-    return (silver.reason_counts(f.quarantine_rides, "ride_events")
-            .unionByName(silver.reason_counts(f.quarantine_telemetry, "telemetry")))
+    return silver.count_reasons(silver.reasons(f.quarantine_rides, "ride_events")
+                                .unionByName(silver.reasons(f.quarantine_telemetry, "telemetry")))
 
 
 # --- gold ----------------------------------------------------------------------------
