@@ -63,3 +63,23 @@ def test_reconciliation_values(spark):
     zero = quality.revenue_reconciliation(spark.createDataFrame([], schemas.FACT_RIDES),
                                           spark.createDataFrame([rev(n=3)], schemas.MART_REVENUE)).first()
     assert zero.diff_pct == 0.0 and zero.within_tolerance is True    # no fact rows: pass
+
+
+def test_exact_totals_survive_nan_infinite_and_huge_fares(spark):
+    """Fares have no upper bound and NaN / infinity pass ">= 0": exact mode must not fail."""
+    import math
+    from velolake.operators import marts, reports
+    rows = [ride("a", fare=10.0), ride("b", fare=float("inf")), ride("c", fare=1e300)]
+    m = marts.revenue_mart(spark.createDataFrame(rows, schemas.FACT_RIDES), window="1 hour", exact=True).first()
+    assert m.completed_rides == 3 and math.isinf(m.total_revenue)
+    nan = marts.revenue_mart(spark.createDataFrame([ride("d", fare=float("nan"))], schemas.FACT_RIDES),
+                             window="1 hour", exact=True).first()
+    assert math.isnan(nan.total_revenue)
+    ok = marts.revenue_mart(spark.createDataFrame([ride("e", fare=1.25), ride("f", fare=2.5)], schemas.FACT_RIDES),
+                            window="1 hour", exact=True).first()
+    assert (ok.total_revenue, ok.avg_fare_amount) == (3.75, 1.875)
+    k = reports.kpi_revenue(spark.createDataFrame([rev(revenue=float("inf")), rev(revenue=1.0)],
+                                                  schemas.MART_REVENUE)).first()
+    assert math.isinf(k.total_revenue)
+    t = quality.revenue_totals(spark.createDataFrame([rev(revenue=1e300)], schemas.MART_REVENUE)).first()
+    assert t.total_revenue == 1e300

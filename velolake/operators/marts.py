@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velolake import constants as K
-from velolake.functions.measures import exact_sum, ratio
+from velolake.functions.measures import exact_sum, ratio, unrepresentable
 from velolake.functions.time import tumbling
 
 
@@ -72,18 +72,29 @@ def revenue_mart(fact_rides_df: DataFrame, window: str = K.MART_WINDOW_DURATION,
                      F.avg("duration_mins").alias("avg_duration_mins"))
                 .select(*_bounds(), "completed_rides", "total_revenue", "avg_fare_amount",
                         "total_distance_km", "avg_distance_km", "avg_duration_mins"))
+    # Money and distance: DECIMAL sums, plus the double sum and a count of values no
+    # DECIMAL holds (fares have no upper bound, and NaN / infinity pass ">= 0"); a window
+    # with such a value reports the double sum instead of failing the job.
     per_ride = (base.groupBy(_window_of(base, window).alias("w"), "ride_id")
                 .agg(exact_sum("fare_amount").alias("fare"),
+                     F.sum("fare_amount").alias("fare_dbl"),
+                     unrepresentable("fare_amount").alias("fare_bad"),
                      F.count("fare_amount").alias("n_fare"),
                      exact_sum("distance_km").alias("dist"),
+                     F.sum("distance_km").alias("dist_dbl"),
+                     unrepresentable("distance_km").alias("dist_bad"),
                      F.count("distance_km").alias("n_dist"),
                      F.sum("duration_mins").alias("dur"),
                      F.count("duration_mins").alias("n_dur")))
+
+    def total(name: str) -> Column:
+        return F.when(F.sum(f"{name}_bad") == 0, F.sum(name).cast("double")).otherwise(F.sum(f"{name}_dbl"))
+
     per_window = (per_ride.groupBy(_rewindow(per_ride, window).alias("w"))
                   .agg(F.count("ride_id").alias("completed_rides"),
-                       F.sum("fare").cast("double").alias("total_revenue"),
+                       total("fare").alias("total_revenue"),
                        F.sum("n_fare").alias("n_fare"),
-                       F.sum("dist").cast("double").alias("total_distance_km"),
+                       total("dist").alias("total_distance_km"),
                        F.sum("n_dist").alias("n_dist"),
                        F.sum("dur").alias("dur"),
                        F.sum("n_dur").alias("n_dur")))

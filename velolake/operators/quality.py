@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velolake import constants as K
-from velolake.functions.measures import null_count
+from velolake.functions.measures import money_total, null_count
 
 RIDE_CRITICAL = ["ride_id", "event_ts", "fare_amount", "scooter_id", "user_id"]
 TELEMETRY_CRITICAL = ["scooter_id", "event_ts", "battery_level", "scooter_status"]
@@ -63,8 +63,8 @@ def revenue_reconciliation(fact_rides: DataFrame, mart_revenue: DataFrame,
 def revenue_totals(mart_revenue: DataFrame) -> DataFrame:
     """Total revenue, total distance and window count of the revenue mart (V4)."""
     return mart_revenue.agg(
-        F.sum(F.col("total_revenue").cast("decimal(38,2)")).cast("double").alias("total_revenue"),
-        F.sum(F.col("total_distance_km").cast("decimal(38,2)")).cast("double").alias("total_distance_km"),
+        money_total("total_revenue", "decimal(38,2)").alias("total_revenue"),
+        money_total("total_distance_km", "decimal(38,2)").alias("total_distance_km"),
         F.count(F.lit(1)).alias("windows"))
 
 

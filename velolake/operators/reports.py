@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
+from velolake.functions.measures import money_total
+
 
 def _num(df: DataFrame, c: str) -> Column:
     """A mart column, or a typed NULL when the table lacks it (treated as an empty series)."""
@@ -16,10 +18,10 @@ def kpi_revenue(mart_revenue: DataFrame) -> DataFrame:
     """Total revenue and completed rides, NULL counted as 0 (B1).
 
     Revenue is re-summed at cent precision, so the total does not depend on order."""
-    rev = F.coalesce(_num(mart_revenue, "total_revenue"), F.lit(0.0)).cast("decimal(38,2)")
+    rev = F.coalesce(_num(mart_revenue, "total_revenue"), F.lit(0.0))
     rides = F.coalesce(_num(mart_revenue, "completed_rides"), F.lit(0))
     return mart_revenue.agg(
-        F.coalesce(F.sum(rev).cast("double"), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(money_total(rev, "decimal(38,2)"), F.lit(0.0)).alias("total_revenue"),
         F.coalesce(F.sum(rides), F.lit(0)).cast("long").alias("completed_rides"))
 
 
@@ -27,11 +29,11 @@ def kpi_fleet(mart_fleet: DataFrame) -> DataFrame:
     """Mean of window battery averages (NULL as 0, unweighted), and summed low-battery and
     maintenance counts (B2).  The mean is summed at 1e-12 precision so it does not
     depend on order."""
-    batt = F.coalesce(_num(mart_fleet, "avg_battery_level"), F.lit(0.0)).cast("decimal(38,12)")
+    batt = F.coalesce(_num(mart_fleet, "avg_battery_level"), F.lit(0.0))
     low = F.coalesce(_num(mart_fleet, "low_battery_scooters"), F.lit(0))
     maint = F.coalesce(_num(mart_fleet, "scooters_in_maintenance"), F.lit(0))
     return mart_fleet.agg(
-        F.try_divide(F.sum(batt).cast("double"), F.count(F.lit(1)).cast("double")).alias("avg_battery_level"),
+        F.try_divide(money_total(batt, "decimal(38,12)"), F.count(F.lit(1)).cast("double")).alias("avg_battery_level"),
         F.coalesce(F.sum(low), F.lit(0)).cast("long").alias("low_battery_scooters"),
         F.coalesce(F.sum(maint), F.lit(0)).cast("long").alias("scooters_in_maintenance"))
 
