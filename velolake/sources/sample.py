@@ -1,7 +1,9 @@
 """Ride and telemetry messages derived from the driver's ``events`` table.
 
 Deterministic arithmetic on ``event_id``, ``ts``, ``event_type`` and ``value`` spreads
-rows across valid, failing and undecided verdicts for every rule.  The same
+rows across valid, failing and undecided verdicts for every rule.  The modulo terms pick
+field *values*; every event becomes exactly one ride and one telemetry message, and no
+row is filtered out.  The same
 expressions are written in SQL by the oracle (``velolake.plans.oracle``).  NULL
 fields are left out of the JSON and parse back to NULL.
 """
