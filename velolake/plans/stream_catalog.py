@@ -175,6 +175,47 @@ def _(f: Frames):
     return lake.read(f.spark, "mart", "mart_revenue_hourly")
 
 
+@_register("stream_mart_revenue_reference_mode", BASE + f"""
+    SELECT hour_start, hour_end, completed_rides, true AS completed_rides_within_bound,
+           true AS total_revenue_close, avg_duration_mins
+    FROM ({REV_CUT})""")
+def _(f: Frames):
+    """The reference's own mart form as a stream (HLL ``completed_rides``, double sums), set
+    beside the exact batch mart per window: exact count, whether the HLL count is within
+    ``max(2, 15%)``, whether the double revenue is within 1e-9 relative of the exact one, and
+    the duration average (exact in both forms).  Lined up by union + group-by, not a join."""
+    from velolake.operators import marts
+    lake = _with_batch_facts(f, "refmode")
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=False,
+                      state_partitions=_cores(f))
+    approx = lake.read(f.spark, "mart", "mart_revenue_hourly")
+    exact = marts.revenue_mart(lake.read(f.spark, "gold", "fact_rides"), window=K.HOURLY, exact=True)
+    both = (approx.select("hour_start", "hour_end", F.lit(True).alias("streamed"),
+                          F.col("completed_rides").alias("approx_rides"),
+                          F.col("total_revenue").alias("approx_revenue"),
+                          F.lit(None).cast("long").alias("exact_rides"),
+                          F.lit(None).cast("double").alias("exact_revenue"),
+                          F.col("avg_duration_mins").alias("stream_avg_duration"))
+            .unionByName(exact.select("hour_start", "hour_end", F.lit(False).alias("streamed"),
+                                      F.lit(None).cast("long").alias("approx_rides"),
+                                      F.lit(None).cast("double").alias("approx_revenue"),
+                                      F.col("completed_rides").alias("exact_rides"),
+                                      F.col("total_revenue").alias("exact_revenue"),
+                                      F.lit(None).cast("double").alias("stream_avg_duration"))))
+    per_window = (both.groupBy("hour_start", "hour_end")
+                  .agg(F.max(F.col("streamed").cast("int")).alias("streamed"),
+                       F.max("approx_rides").alias("approx_rides"), F.max("approx_revenue").alias("approx_revenue"),
+                       F.max("exact_rides").alias("exact_rides"), F.max("exact_revenue").alias("exact_revenue"),
+                       F.max("stream_avg_duration").alias("avg_duration_mins"))
+                  .filter(F.col("streamed") == 1))
+    return per_window.select(
+        "hour_start", "hour_end", F.col("exact_rides").alias("completed_rides"),
+        marts.within_hll_bound(F.col("approx_rides"), F.col("exact_rides")).alias("completed_rides_within_bound"),
+        (F.abs(F.col("approx_revenue") - F.col("exact_revenue"))
+         <= F.lit(1e-9) * F.abs(F.col("exact_revenue"))).alias("total_revenue_close"),
+        "avg_duration_mins")
+
+
 @_register("stream_end_to_end", BASE + REV_CUT)
 def _(f: Frames):
     """landing -> bronze -> silver -> gold -> mart, every layer a stream."""
