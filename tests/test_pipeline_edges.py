@@ -1,0 +1,57 @@
+"""Hand-made messages through every batch layer: where each edge case ends up."""
+
+import datetime as dt
+import json
+
+from velolake.operators import gold, marts, silver
+
+T = 1704110400000          # 2024-01-01 12:00:00 UTC in ms
+
+
+def msg(**fields):
+    return json.dumps({k: v for k, v in fields.items() if v is not None})
+
+
+def ride(rid, ts=T, event_type="end", fare=10.0, city="paris", pm="card", user=7):
+    return msg(ride_id=rid, user_id=user, scooter_id="S-1", event_type=event_type, timestamp=ts,
+               duration_mins=10, distance_km=2.0, fare_amount=fare, city=city, payment_method=pm,
+               ride_status="completed")
+
+
+def test_edge_messages_through_all_layers(spark):
+    texts = [
+        ride("R-1"),                                   # valid completed ride
+        ride("R-1", ts=T + 1000),                      # same ride id again: a distinct count sees one ride
+        ride("R-2", fare=0.0, city="Paris"),           # zero fare is valid; case kept in dim_city
+        ride("R-3", event_type="start"),               # valid but not revenue
+        ride("R-4", event_type=None),                  # undecided: vanishes in drop mode
+        ride("R-5", user=0),                           # invalid: user_id must be > 0
+        ride("R-6", ts=9000000000000000000),           # valid, but the epoch is out of range: no fact row
+        ride("R-7", pm=None, city=None),               # optional NULLs pass; no dimension value
+        "{not json",                                   # unparseable: quarantined with the required messages
+    ]
+    bronze = spark.createDataFrame([(t, dt.datetime(2024, 1, 1, 12, 5)) for t in texts],
+                                   "raw_json string, kafka_timestamp timestamp")
+    validated = silver.validate_rides(silver.parse_rides(bronze))
+    valid, bad = silver.split(validated)
+    assert sorted(r.ride_id for r in valid.collect()) == ["R-1", "R-1", "R-2", "R-3", "R-6", "R-7"]
+    bad_rows = {r.ride_id: r.error_message for r in bad.collect()}
+    assert bad_rows == {"R-5": "user_id must be > 0",
+                        None: "ride_id is null|user_id is null|scooter_id is null|timestamp is null"}
+    assert [r.ride_id for r in silver.undecided_rows(validated).collect()] == ["R-4"]
+
+    facts = gold.fact_rides(valid)
+    assert sorted(r.ride_id for r in facts.collect()) == ["R-1", "R-1", "R-2", "R-3", "R-7"]
+    assert sorted(r.city for r in gold.dim_city(facts).collect()) == ["Paris", "paris"]
+    assert sorted(r.payment_method for r in gold.dim_payment_method(facts).collect()) == ["card"]
+    hours = gold.dim_time_hourly(facts, facts.select("event_ts")).collect()
+    assert [(h.hour_start, h.day_of_week, h.hour) for h in hours] == [(dt.datetime(2024, 1, 1, 12), 2, 12)]
+
+    for exact in (False, True):
+        m = marts.revenue_mart(facts, window="1 hour", exact=exact).collect()
+        assert len(m) == 1
+        r = m[0]
+        # R-1 (twice), R-2, R-7 are completed rides; R-1 counted once as a distinct ride
+        assert r.completed_rides == 3
+        assert r.total_revenue == 30.0 and r.avg_fare_amount == 7.5
+        assert r.avg_duration_mins == 10.0
