@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--dims", choices=["merge", "state"], default="merge")
     run.add_argument("--undecided", choices=["drop", "quarantine"], default="drop")
     run.add_argument("--max-files-per-trigger", type=int, default=None)
+    run.add_argument("--date-partitioned", action="store_true", help="store facts by event_date")
     run.add_argument("--state-partitions", type=int, default=None,
                      help="state-store partitions at a stream's first run (default: shuffle partitions)")
 
@@ -65,7 +66,7 @@ def main(argv: list[str] | None = None) -> int:
         L.run_incremental(spark, lake, layers=tuple(x.strip() for x in args.layers.split(",") if x.strip()),
                           window=args.window, watermark=args.watermark, exact=args.exact, dims=args.dims,
                           undecided=args.undecided, max_files_per_trigger=args.max_files_per_trigger,
-                          state_partitions=args.state_partitions)
+                          state_partitions=args.state_partitions, date_partitioned=args.date_partitioned)
     elif args.command == "ingest":
         from velolake.sources.envelope import read_topic
         from velolake.streaming.sinks import run_layer

@@ -25,6 +25,12 @@ def fact_telemetry(silver_telemetry: DataFrame) -> DataFrame:
     return with_event_ts(silver_telemetry).select(*FACT_TELEMETRY_COLUMNS)
 
 
+def with_event_date(facts: DataFrame) -> DataFrame:
+    """Add ``event_date`` (UTC day of ``event_ts``), the partition column of date-partitioned
+    fact tables: reads limited to a time range then skip whole days of files."""
+    return facts.withColumn("event_date", F.to_date("event_ts"))
+
+
 def dim_values(facts: DataFrame, key: str) -> DataFrame:
     """Batch dimension: the distinct non-NULL values of ``key``.
 

@@ -47,8 +47,11 @@ def revenue_reconciliation(fact_rides: DataFrame, mart_revenue: DataFrame,
     lo = bounds.select("min_hour_start").scalar()
     hi = bounds.select("max_hour_end").scalar()
     mart_total = mart_revenue.agg(F.coalesce(F.sum("completed_rides"), F.lit(0)).cast("long")).scalar()
-    fact = (fact_rides
-            .filter(F.col("event_type") == F.lit(K.COMPLETED_EVENT_TYPE))
+    in_range = fact_rides.filter(F.col("event_type") == F.lit(K.COMPLETED_EVENT_TYPE))
+    if "event_date" in fact_rides.columns:
+        # date-partitioned facts: the same range on the partition column skips other days' files
+        in_range = in_range.filter((F.col("event_date") >= F.to_date(lo)) & (F.col("event_date") <= F.to_date(hi)))
+    fact = (in_range
             .filter((F.col("event_ts") >= lo) & (F.col("event_ts") < hi))
             .agg(F.count(F.lit(1)).alias("fact_completed_rides")))
     diff = F.abs(F.col("fact_completed_rides") - F.col("mart_completed_rides"))

@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     StructType,
     TimestampType,
     BinaryType,
+    DateType,
 )
 
 # --- fixed values: the example payloads the parsing schemas are inferred from -----
@@ -128,6 +129,11 @@ FACT_TELEMETRY = _struct(
     ("scooter_status", StringType()),
 )
 
+# Facts stored partitioned by event date (``partitionBy("event_date")``).
+_DATE = [StructField("event_date", DateType(), True)]
+FACT_RIDES_BY_DATE = StructType(FACT_RIDES.fields + _DATE)
+FACT_TELEMETRY_BY_DATE = StructType(FACT_TELEMETRY.fields + _DATE)
+
 DIM_PAYMENT_METHOD = _struct(("payment_method", StringType()))
 DIM_CITY = _struct(("city", StringType()))
 DIM_TIME_HOURLY = _struct(

@@ -45,10 +45,11 @@ class Lake:
                           merge_schema=merge_schema)
 
     def read_stream(self, spark: SparkSession, layer: str, name: str,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None, schema=None) -> DataFrame:
         """Incremental read of a table's appends (S2); the schema is pinned, as file
-        streams require."""
-        reader = spark.readStream.schema(schemas.TABLE_SCHEMAS[f"{layer}/{name}"])
+        streams require (``schema`` overrides the table's default, e.g. with a partition
+        column)."""
+        reader = spark.readStream.schema(schema or schemas.TABLE_SCHEMAS[f"{layer}/{name}"])
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         return reader.parquet(self.table(layer, name))

@@ -69,8 +69,14 @@ def start_silver(spark: SparkSession, lake: Lake, undecided: str = "drop", trigg
 
 def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str = "merge",
                trigger: str = "available_now", max_files_per_trigger: int | None = None,
-               state_partitions: int | None = None) -> list[StreamingQuery]:
-    """silver -> facts (append) and dimensions (``merge`` or ``state`` mode)."""
+               state_partitions: int | None = None, date_partitioned: bool = False) -> list[StreamingQuery]:
+    """silver -> facts (append) and dimensions (``merge`` or ``state`` mode).
+    ``date_partitioned`` stores the facts by ``event_date`` (see :func:`gold.with_event_date`)."""
+    def facts_sink(df: DataFrame, path: str, ckpt: str):
+        if date_partitioned:
+            return append_sink(gold.with_event_date(df), path, ckpt, trigger, partition_by=["event_date"])
+        return append_sink(df, path, ckpt, trigger)
+
     def rides() -> DataFrame:
         return gold.with_event_ts(lake.read_stream(spark, "silver", TOPICS["rides"], max_files_per_trigger))
 
@@ -81,9 +87,9 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
     for t in tables:
         path, ckpt = lake.table("gold", t), lake.checkpoint("gold", t)
         if t == "fact_rides":
-            out.append(append_sink(rides().select(*gold.FACT_RIDES_COLUMNS), path, ckpt, trigger))
+            out.append(facts_sink(rides().select(*gold.FACT_RIDES_COLUMNS), path, ckpt))
         elif t == "fact_telemetry":
-            out.append(append_sink(telemetry().select(*gold.FACT_TELEMETRY_COLUMNS), path, ckpt, trigger))
+            out.append(facts_sink(telemetry().select(*gold.FACT_TELEMETRY_COLUMNS), path, ckpt))
         elif t in ("dim_payment_method", "dim_city"):
             key = t[len("dim_"):]
             if dims == "merge":
@@ -108,11 +114,14 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
 def start_marts(spark: SparkSession, lake: Lake, window: str = K.MART_WINDOW_DURATION,
                 watermark: str = K.MART_WATERMARK, exact: bool = False, trigger: str = "available_now",
                 max_files_per_trigger: int | None = None,
-                state_partitions: int | None = None) -> list[StreamingQuery]:
+                state_partitions: int | None = None, date_partitioned: bool = False) -> list[StreamingQuery]:
     """gold facts -> windowed marts under a watermark (append: a window is written once,
     when the watermark passes its end; rows for an already-closed window are dropped)."""
-    fr = lake.read_stream(spark, "gold", "fact_rides", max_files_per_trigger)
-    ft = lake.read_stream(spark, "gold", "fact_telemetry", max_files_per_trigger)
+    from velolake import schemas
+    fr = lake.read_stream(spark, "gold", "fact_rides", max_files_per_trigger,
+                          schema=schemas.FACT_RIDES_BY_DATE if date_partitioned else None)
+    ft = lake.read_stream(spark, "gold", "fact_telemetry", max_files_per_trigger,
+                          schema=schemas.FACT_TELEMETRY_BY_DATE if date_partitioned else None)
     jobs = [
         ("mart_revenue_hourly", marts.revenue_mart(fr, window=window, exact=exact, watermark=watermark)),
         ("mart_fleet_health_hourly", marts.fleet_mart(ft, window=window, exact=exact, watermark=watermark)),
@@ -131,7 +140,8 @@ def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
 def run_incremental(spark: SparkSession, lake: Lake, layers=("bronze", "silver", "gold", "mart"),
                     window: str = K.MART_WINDOW_DURATION, watermark: str = K.MART_WATERMARK,
                     exact: bool = False, dims: str = "merge", undecided: str = "drop",
-                    max_files_per_trigger: int | None = None, state_partitions: int | None = None) -> None:
+                    max_files_per_trigger: int | None = None, state_partitions: int | None = None,
+                    date_partitioned: bool = False) -> None:
     """Run the given layers in order, each as an ``availableNow`` increment (the manual
     run sheet: Silver, then Gold, then Mart).  Safe to repeat: each query resumes from
     its checkpoint and only new input is processed.  ``state_partitions``: see
@@ -144,9 +154,10 @@ def run_incremental(spark: SparkSession, lake: Lake, layers=("bronze", "silver",
             run_layer(start_silver(spark, lake, undecided=undecided, max_files_per_trigger=m))
         elif layer == "gold":
             run_layer(start_gold(spark, lake, dims=dims, max_files_per_trigger=m,
-                                 state_partitions=state_partitions))
+                                 state_partitions=state_partitions, date_partitioned=date_partitioned))
         elif layer == "mart":
             run_layer(start_marts(spark, lake, window=window, watermark=watermark, exact=exact,
-                                  max_files_per_trigger=m, state_partitions=state_partitions))
+                                  max_files_per_trigger=m, state_partitions=state_partitions,
+                                  date_partitioned=date_partitioned))
         else:
             raise ValueError(f"unknown layer {layer!r}")

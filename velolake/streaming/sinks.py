@@ -12,7 +12,7 @@ TRIGGERS = ("available_now", "continuous", "once_per")
 
 def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "available_now",
                 interval: str | None = None, name: str | None = None,
-                state_partitions: int | None = None) -> StreamingQuery:
+                state_partitions: int | None = None, partition_by: list[str] | None = None) -> StreamingQuery:
     """Start an append-mode Parquet sink with its own checkpoint.
 
     * ``available_now`` - process everything available (in as many micro-batches as the
@@ -23,12 +23,15 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "avail
     The Parquet sink commits each batch in ``_spark_metadata`` under its batch id, so a
     batch re-run after a failure does not duplicate rows; readers see only committed files.
 
+    ``partition_by`` lays files out in ``column=value`` folders (e.g. facts by day).
     ``state_partitions`` sets the number of state-store partitions of a stateful query
     at its first run (later runs keep the checkpoint's number).  Each partition commits
     its state every batch, so size it to the cluster's cores rather than inheriting a
     batch-oriented ``spark.sql.shuffle.partitions``.
     """
     w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if name:
         w = w.queryName(name)
     if trigger == "available_now":
