@@ -10,6 +10,10 @@ Two modes share one definition and work in batch and in streaming:
   so totals do not depend on partitioning.  Both levels aggregate partially before
   their shuffle, so a hot window or a hot scooter never lands whole in one task; in
   streaming the two levels are two chained stateful aggregations under one watermark.
+  State cost: a stream in exact mode keeps one state row per (window, key) until the
+  window closes, so its state grows with the distinct rides / scooters of the open
+  windows; the HLL mode keeps a fixed-size sketch per window.  For very high per-window
+  cardinality use the HLL mode, or RocksDB state.
 
 With ``watermark`` set the input gets ``withWatermark("event_ts", watermark)``; in
 append mode a window is emitted once the watermark passes its end.  The revenue
