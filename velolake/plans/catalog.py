@@ -34,58 +34,58 @@ def register(name: str):
 # --- bronze / silver ---------------------------------------------------------------
 
 @register("bronze_parse_rides")
-def _(f: Frames):
+def bronze_parse_rides(f: Frames):
     """Envelope -> raw_json -> typed ride columns."""
     return f.parsed_rides
 
 
 @register("bronze_parse_telemetry")
-def _(f: Frames):
+def bronze_parse_telemetry(f: Frames):
     return f.parsed_telemetry
 
 
 @register("silver_rides_valid")
-def _(f: Frames):
+def silver_rides_valid(f: Frames):
     return f.silver_rides
 
 
 @register("silver_rides_quarantine")
-def _(f: Frames):
+def silver_rides_quarantine(f: Frames):
     return f.quarantine_rides
 
 
 @register("silver_rides_undecided")
-def _(f: Frames):
+def silver_rides_undecided(f: Frames):
     return silver.undecided_rows(f.validated_rides)
 
 
 @register("silver_rides_quarantine_with_undecided")
-def _(f: Frames):
+def silver_rides_quarantine_with_undecided(f: Frames):
     return silver.quarantine_rows(f.validated_rides, silver.ride_rules(), undecided="quarantine")
 
 
 @register("silver_telemetry_valid")
-def _(f: Frames):
+def silver_telemetry_valid(f: Frames):
     return f.silver_telemetry
 
 
 @register("silver_telemetry_quarantine")
-def _(f: Frames):
+def silver_telemetry_quarantine(f: Frames):
     return f.quarantine_telemetry
 
 
 @register("silver_telemetry_undecided")
-def _(f: Frames):
+def silver_telemetry_undecided(f: Frames):
     return silver.undecided_rows(f.validated_telemetry)
 
 
 @register("silver_telemetry_quarantine_with_undecided")
-def _(f: Frames):
+def silver_telemetry_quarantine_with_undecided(f: Frames):
     return silver.quarantine_rows(f.validated_telemetry, silver.telemetry_rules(), undecided="quarantine")
 
 
 @register("quarantine_reason_counts")
-def _(f: Frames):
+def quarantine_reason_counts(f: Frames):
     return silver.count_reasons(silver.reasons(f.quarantine_rides, "ride_events")
                                 .unionByName(silver.reasons(f.quarantine_telemetry, "telemetry")))
 
@@ -93,55 +93,55 @@ def _(f: Frames):
 # --- gold ----------------------------------------------------------------------------
 
 @register("fact_rides")
-def _(f: Frames):
+def fact_rides(f: Frames):
     return f.fact_rides
 
 
 @register("fact_telemetry")
-def _(f: Frames):
+def fact_telemetry(f: Frames):
     return f.fact_telemetry
 
 
 @register("dim_payment_method")
-def _(f: Frames):
+def dim_payment_method(f: Frames):
     return gold.dim_payment_method(f.fact_rides)
 
 
 @register("dim_city")
-def _(f: Frames):
+def dim_city(f: Frames):
     return gold.dim_city(f.fact_rides)
 
 
 @register("dim_time_hourly")
-def _(f: Frames):
+def dim_time_hourly(f: Frames):
     return gold.dim_time_hourly(f.fact_rides, f.fact_telemetry)
 
 
 # --- marts ---------------------------------------------------------------------------
 
 @register("mart_revenue")
-def _(f: Frames):
+def mart_revenue(f: Frames):
     return f.mart_revenue
 
 
 @register("mart_fleet_health")
-def _(f: Frames):
+def mart_fleet_health(f: Frames):
     return f.mart_fleet
 
 
 @register("mart_revenue_minutely")
-def _(f: Frames):
+def mart_revenue_minutely(f: Frames):
     """The reference's default 1-minute window."""
     return marts.revenue_mart(f.fact_rides, window="1 minute", exact=True)
 
 
 @register("mart_fleet_health_minutely")
-def _(f: Frames):
+def mart_fleet_health_minutely(f: Frames):
     return marts.fleet_mart(f.fact_telemetry, window="1 minute", exact=True)
 
 
 @register("mart_revenue_approx_bounds")
-def _(f: Frames):
+def mart_revenue_approx_bounds(f: Frames):
     """HLL ``completed_rides`` (reference mode) checked against the exact count per window."""
     est = marts.revenue_with_estimate(f.fact_rides, window=f.window)
     return est.select("hour_start", "hour_end", "completed_rides",
@@ -150,7 +150,7 @@ def _(f: Frames):
 
 
 @register("mart_fleet_approx_bounds")
-def _(f: Frames):
+def mart_fleet_approx_bounds(f: Frames):
     """The four HLL fleet counts (reference mode) checked against exact counts per window."""
     m = marts.fleet_mart(f.fact_telemetry, window=f.window, exact=True, with_estimates=True)
     names = ["fleet_size_seen", "low_battery_scooters", "scooters_in_use", "scooters_in_maintenance"]
@@ -162,82 +162,82 @@ def _(f: Frames):
 # --- validation ------------------------------------------------------------------------
 
 @register("fact_overview")
-def _(f: Frames):
+def fact_overview(f: Frames):
     return quality.fact_overview(f.fact_rides, f.fact_telemetry)
 
 
 @register("mart_bounds")
-def _(f: Frames):
+def mart_bounds(f: Frames):
     return quality.mart_bounds(f.mart_revenue)
 
 
 @register("revenue_reconciliation")
-def _(f: Frames):
+def revenue_reconciliation(f: Frames):
     t = StoredTables(f)
     return quality.revenue_reconciliation(t.fact_rides, t.mart_revenue)
 
 
 @register("revenue_totals")
-def _(f: Frames):
+def revenue_totals(f: Frames):
     return quality.revenue_totals(f.mart_revenue)
 
 
 @register("fleet_totals")
-def _(f: Frames):
+def fleet_totals(f: Frames):
     return quality.fleet_totals(f.mart_fleet)
 
 
 @register("fleet_bound")
-def _(f: Frames):
+def fleet_bound(f: Frames):
     t = StoredTables(f)
     return quality.fleet_bound(t.fact_telemetry, t.mart_fleet)
 
 
 @register("fact_rides_null_checks")
-def _(f: Frames):
+def fact_rides_null_checks(f: Frames):
     return quality.null_checks(f.fact_rides, quality.RIDE_CRITICAL)
 
 
 @register("fact_telemetry_null_checks")
-def _(f: Frames):
+def fact_telemetry_null_checks(f: Frames):
     return quality.null_checks(f.fact_telemetry, quality.TELEMETRY_CRITICAL)
 
 
 @register("mart_revenue_null_checks")
-def _(f: Frames):
+def mart_revenue_null_checks(f: Frames):
     return quality.null_checks(f.mart_revenue, quality.REVENUE_MART_CRITICAL)
 
 
 @register("mart_fleet_null_checks")
-def _(f: Frames):
+def mart_fleet_null_checks(f: Frames):
     return quality.null_checks(f.mart_fleet, quality.FLEET_MART_CRITICAL)
 
 
 @register("fare_distance_quality")
-def _(f: Frames):
+def fare_distance_quality(f: Frames):
     return quality.fare_distance_quality(f.fact_rides)
 
 
 @register("zero_fares")
-def _(f: Frames):
+def zero_fares(f: Frames):
     """Zero fares, reported but not a check."""
     return quality.fare_distance_quality(f.fact_rides).select("zero_fares")
 
 
 @register("battery_quality")
-def _(f: Frames):
+def battery_quality(f: Frames):
     return quality.battery_quality(f.fact_telemetry)
 
 
 @register("validation_report")
-def _(f: Frames):
+def validation_report(f: Frames):
     """The nine checks over stored gold and mart tables (the reference's validation job)."""
     t = StoredTables(f)
     return quality.validation_report(t.fact_rides, t.fact_telemetry, t.mart_revenue, t.mart_fleet)
 
 
 @register("validation_summary")
-def _(f: Frames):
+def validation_summary(f: Frames):
     t = StoredTables(f)
     return quality.report_summary(
         quality.validation_report(t.fact_rides, t.fact_telemetry, t.mart_revenue, t.mart_fleet))
@@ -246,40 +246,40 @@ def _(f: Frames):
 # --- reports ----------------------------------------------------------------------------
 
 @register("latest_revenue_windows")
-def _(f: Frames):
+def latest_revenue_windows(f: Frames):
     return reports.latest_windows(f.mart_revenue, 3)
 
 
 @register("latest_fleet_windows")
-def _(f: Frames):
+def latest_fleet_windows(f: Frames):
     return reports.latest_windows(f.mart_fleet, 3)
 
 
 @register("kpi_revenue")
-def _(f: Frames):
+def kpi_revenue(f: Frames):
     return reports.kpi_revenue(f.mart_revenue)
 
 
 @register("kpi_fleet")
-def _(f: Frames):
+def kpi_fleet(f: Frames):
     return reports.kpi_fleet(f.mart_fleet)
 
 
 @register("series_revenue")
-def _(f: Frames):
+def series_revenue(f: Frames):
     return reports.series(f.mart_revenue, "total_revenue")
 
 
 @register("series_battery")
-def _(f: Frames):
+def series_battery(f: Frames):
     return reports.series(f.mart_fleet, "avg_battery_level")
 
 
 @register("last10_revenue")
-def _(f: Frames):
+def last10_revenue(f: Frames):
     return reports.last_n(f.mart_revenue, 10)
 
 
 @register("last10_fleet")
-def _(f: Frames):
+def last10_fleet(f: Frames):
     return reports.last_n(f.mart_fleet, 10)

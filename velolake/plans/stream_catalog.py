@@ -73,14 +73,14 @@ FLEET_CUT = _cut("mart_fleet", "fact_tel", "", "1 MINUTE")
 
 
 @_register("stream_silver_rides_valid", BATCH_ORACLE["silver_rides_valid"])
-def _(f: Frames):
+def stream_silver_rides_valid(f: Frames):
     """landing -> bronze -> silver valid route, all as availableNow streams."""
     lake = _through_silver(f, "silver")
     return lake.read(f.spark, "silver", TOPICS["rides"])
 
 
 @_register("stream_silver_rides_quarantine", BATCH_ORACLE["silver_rides_quarantine"])
-def _(f: Frames):
+def stream_silver_rides_quarantine(f: Frames):
     lake = _through_silver(f, "silver")
     return lake.read(f.spark, "silver_bad_data", TOPICS["rides"])
 
@@ -89,7 +89,7 @@ def _(f: Frames):
     SELECT 'valid' AS route, *, CAST(NULL AS VARCHAR) AS error_message FROM silver_rides
     UNION ALL
     SELECT 'quarantine' AS route, * FROM quarantine_rides""")
-def _(f: Frames):
+def stream_silver_rides_split(f: Frames):
     """Both silver routes of one run, tagged by route: every decided row lands in exactly one."""
     lake = _through_silver(f, "silver")
     valid = lake.read(f.spark, "silver", TOPICS["rides"])
@@ -99,14 +99,14 @@ def _(f: Frames):
 
 
 @_register("stream_silver_telemetry_valid", BATCH_ORACLE["silver_telemetry_valid"])
-def _(f: Frames):
+def stream_silver_telemetry_valid(f: Frames):
     lake = _through_silver(f, "silver")
     return lake.read(f.spark, "silver", TOPICS["telemetry"])
 
 
 @_register("stream_silver_telemetry_quarantine_with_undecided",
            BATCH_ORACLE["silver_telemetry_quarantine_with_undecided"])
-def _(f: Frames):
+def stream_silver_telemetry_quarantine_with_undecided(f: Frames):
     lake = _through_silver(f, "silver", undecided="quarantine")
     return lake.read(f.spark, "silver_bad_data", TOPICS["telemetry"])
 
@@ -118,39 +118,39 @@ def _gold(f: Frames, label: str, dims: str = "merge") -> Lake:
 
 
 @_register("stream_fact_rides", BATCH_ORACLE["fact_rides"])
-def _(f: Frames):
+def stream_fact_rides(f: Frames):
     return L.read_gold(f.spark, _gold(f, "gold"), "fact_rides")
 
 
 @_register("stream_fact_telemetry", BATCH_ORACLE["fact_telemetry"])
-def _(f: Frames):
+def stream_fact_telemetry(f: Frames):
     return L.read_gold(f.spark, _gold(f, "gold"), "fact_telemetry")
 
 
 @_register("stream_dim_city", BATCH_ORACLE["dim_city"])
-def _(f: Frames):
+def stream_dim_city(f: Frames):
     """Dimension maintained per micro-batch (distinct keys minus earlier batches)."""
     return L.read_gold(f.spark, _gold(f, "gold"), "dim_city")
 
 
 @_register("stream_dim_payment_method", BATCH_ORACLE["dim_payment_method"])
-def _(f: Frames):
+def stream_dim_payment_method(f: Frames):
     return L.read_gold(f.spark, _gold(f, "gold"), "dim_payment_method")
 
 
 @_register("stream_dim_time_hourly", BATCH_ORACLE["dim_time_hourly"])
-def _(f: Frames):
+def stream_dim_time_hourly(f: Frames):
     return L.read_gold(f.spark, _gold(f, "gold"), "dim_time_hourly")
 
 
 @_register("stream_dim_city_state", BATCH_ORACLE["dim_city"])
-def _(f: Frames):
+def stream_dim_city_state(f: Frames):
     """The reference operator: watermark + stateful ``dropDuplicates``."""
     return L.read_gold(f.spark, _gold(f, "gold_state", dims="state"), "dim_city")
 
 
 @_register("stream_mart_revenue", BASE + REV_CUT)
-def _(f: Frames):
+def stream_mart_revenue(f: Frames):
     """Hourly revenue mart as a stream with the 1-minute watermark (W1-W4, W7), exact counts."""
     lake = _with_batch_facts(f, "mart")
     L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True,
@@ -159,7 +159,7 @@ def _(f: Frames):
 
 
 @_register("stream_mart_fleet_health", BASE + FLEET_CUT)
-def _(f: Frames):
+def stream_mart_fleet_health(f: Frames):
     lake = _with_batch_facts(f, "mart")
     L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True,
                       state_partitions=_cores(f))
@@ -167,7 +167,7 @@ def _(f: Frames):
 
 
 @_register("stream_mart_revenue_minutely", MINUTE + REV_CUT)
-def _(f: Frames):
+def stream_mart_revenue_minutely(f: Frames):
     """The reference's defaults: 1-minute windows under a 1-minute watermark."""
     lake = _with_batch_facts(f, "mart")
     L.run_incremental(f.spark, lake, layers=("mart",), window=K.MART_WINDOW_DURATION, exact=True,
@@ -179,7 +179,7 @@ def _(f: Frames):
     SELECT hour_start, hour_end, completed_rides, true AS completed_rides_within_bound,
            true AS total_revenue_close, avg_duration_mins
     FROM ({REV_CUT})""")
-def _(f: Frames):
+def stream_mart_revenue_reference_mode(f: Frames):
     """The reference's own mart form as a stream (HLL ``completed_rides``, double sums), set
     beside the exact batch mart per window: exact count, whether the HLL count is within
     ``max(2, 15%)``, whether the double revenue is within 1e-9 relative of the exact one, and
@@ -217,7 +217,7 @@ def _(f: Frames):
 
 
 @_register("stream_end_to_end", BASE + REV_CUT)
-def _(f: Frames):
+def stream_end_to_end(f: Frames):
     """landing -> bronze -> silver -> gold -> mart, every layer a stream."""
     lake = _published(f, "e2e")
     L.run_incremental(f.spark, lake, window=K.HOURLY, exact=True, state_partitions=_cores(f))
@@ -225,7 +225,7 @@ def _(f: Frames):
 
 
 @_register("mart_file_freshness")
-def _(f: Frames):
+def mart_file_freshness(f: Frames):
     """Data files and newest file time of both marts as written by a stream.
     Rows-only: file times are not reproducible."""
     from velolake.sources.tables import file_inventory
