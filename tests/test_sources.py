@@ -62,3 +62,14 @@ def test_json_lines_folder_as_topic(spark):
     assert bronze.count() == 2 and bronze.filter("kafka_timestamp IS NULL").count() == 0
     valid, bad = silver.split(silver.validate_rides(silver.parse_rides(bronze)))
     assert [r.ride_id for r in valid.collect()] == ["R-1"] and bad.count() == 1
+
+
+def test_folder_inventory_counts_parquet_files_without_reading_them(spark):
+    from velolake.sources.tables import folder_inventory
+    lake = Lake.fresh(spark, "t-folder")
+    path = lake.table("mart", "mart_revenue_hourly")
+    empty = folder_inventory(spark, path).first()
+    assert (empty.files, empty.latest_file_label) == (0, "No files")
+    spark.range(10).repartition(3).write.parquet(path)
+    inv = folder_inventory(spark, path).first()
+    assert inv.files == 3 and inv.latest_file_label != "No files"

@@ -236,3 +236,17 @@ def mart_file_freshness(f: Frames):
     fleet = file_inventory(lake.read(f.spark, "mart", "mart_fleet_health_hourly"))
     return (rev.select(F.lit("mart_revenue_hourly").alias("table"), "*")
             .unionByName(fleet.select(F.lit("mart_fleet_health_hourly").alias("table"), "*")))
+
+
+@_register("mart_folder_freshness")
+def mart_folder_freshness(f: Frames):
+    """The dashboard's file cards: every ``*.parquet`` file in each mart folder, newest file
+    time and its text label (B7 as a plain listing).  Rows-only: file times vary."""
+    from velolake.sources.tables import folder_inventory
+    lake = _with_batch_facts(f, "folder")
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True,
+                      state_partitions=_cores(f))
+    rev = folder_inventory(f.spark, lake.table("mart", "mart_revenue_hourly"))
+    fleet = folder_inventory(f.spark, lake.table("mart", "mart_fleet_health_hourly"))
+    return (rev.select(F.lit("mart_revenue_hourly").alias("table"), "*")
+            .unionByName(fleet.select(F.lit("mart_fleet_health_hourly").alias("table"), "*")))

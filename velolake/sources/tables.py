@@ -38,3 +38,18 @@ def file_inventory(table: DataFrame) -> DataFrame:
         F.count_distinct(F.col("_metadata.file_path")).alias("files"),
         F.max(F.col("_metadata.file_modification_time")).alias("latest_file_time"),
     )
+
+
+def folder_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """Every ``*.parquet`` file directly in ``path`` (committed or not, empty or not), as a
+    plain folder listing sees them: count, newest modification time, and that time as
+    ``yyyy-MM-dd HH:mm:ss`` text or ``"No files"``.  File contents are never read."""
+    try:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .load(path).select("path", "modificationTime"))
+    except AnalysisException:
+        files = spark.createDataFrame([], "path string, modificationTime timestamp")
+    return files.agg(F.count(F.lit(1)).alias("files"),
+                     F.max("modificationTime").alias("latest_file_time")) \
+        .withColumn("latest_file_label",
+                    F.coalesce(F.date_format("latest_file_time", "yyyy-MM-dd HH:mm:ss"), F.lit("No files")))
