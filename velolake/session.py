@@ -35,8 +35,9 @@ def build_session(master: str | None = None, app: str = "velolake",
     """Create (or reuse) a session with :data:`BASE_CONF` applied.
 
     ``shuffle_partitions`` should follow the cluster: roughly total input bytes of the
-    widest shuffle / 128 MB; AQE coalesces small partitions at run time.  It also
-    fixes the state-store partition count of a streaming checkpoint at its first run.
+    widest shuffle / 128 MB; AQE coalesces small partitions at run time.  A stream's
+    state-store partition count is fixed at its checkpoint's first run, from this value
+    unless the stream is started with ``state_partitions`` (see ``append_sink``).
     ``rocksdb_state`` keeps streaming state (mart windows, ``state``-mode dimensions) in
     RocksDB on local disk instead of the executor heap, for large state.
     """
