@@ -26,7 +26,9 @@ NOTES = {
     "dim_time_hourly": "One distinct over the union of both fact streams: partial aggregate on every "
                        "input task, one exchange.",
     "quarantine_reason_counts": "explode is narrow; one partial/final aggregate over both sources.",
-    "validation_report_on_stored_tables": "Four one-row aggregates over stored tables; cross-table "
+    "validation_report_on_stored_tables": "One-row aggregates over stored tables; fact_rides (the "
+                                          "largest) is read once, the reconciliation count being a "
+                                          "conditional count beside the NULL checks; cross-table "
                                           "values are scalar subqueries (no join).",
 }
 
