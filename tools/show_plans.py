@@ -26,10 +26,11 @@ NOTES = {
     "dim_time_hourly": "One distinct over the union of both fact streams: partial aggregate on every "
                        "input task, one exchange.",
     "quarantine_reason_counts": "explode is narrow; one partial/final aggregate over both sources.",
-    "validation_report_on_stored_tables": "One-row aggregates over stored tables; fact_rides (the "
-                                          "largest) is read once, the reconciliation count being a "
-                                          "conditional count beside the NULL checks; cross-table "
-                                          "values are scalar subqueries (no join).",
+    "validation_report_on_stored_tables": "One-row aggregates over stored tables; each fact table "
+                                          "is read once (the reconciliation count is a conditional "
+                                          "count beside the ride checks; distinct scooters come from "
+                                          "the per-scooter partial aggregate of the telemetry checks); "
+                                          "cross-table values are scalar subqueries (no join).",
 }
 
 

@@ -136,9 +136,6 @@ def validation_report(fact_rides: DataFrame, fact_telemetry: DataFrame,
     A failed check is a row with ``passed = false``; nothing raises.
     """
     zero = F.lit(0)
-    fleet = fleet_bound(fact_telemetry, mart_fleet).select(_checks(
-        ("Fleet max within bounds", F.col("within_bounds"), F.col("max_fleet_size_seen"),
-         F.col("distinct_scooters"))))
 
     # fact_rides, the largest table, is read once: the reconciliation count is a conditional
     # count in the same aggregate as the NULL / fare / distance checks.
@@ -163,12 +160,24 @@ def validation_report(fact_rides: DataFrame, fact_telemetry: DataFrame,
         ("No negative fares", F.col("negative_fares") == zero, F.col("negative_fares"), zero),
         ("No negative distances", F.col("negative_distances") == zero, F.col("negative_distances"), zero)))
 
+    # fact_telemetry is read once too: a per-scooter partial aggregate gives both the distinct
+    # scooter count (one row per scooter, NULL id included) and the check counts.
     tel_nulls = [f"null_{c}" for c in TELEMETRY_CRITICAL]
     b = F.col("battery_level")
-    telemetry = fact_telemetry.agg(
-        *[null_count(c).alias(f"null_{c}") for c in TELEMETRY_CRITICAL],
-        F.count_if((b < 0) | (b > 100)).alias("invalid_battery"),
-    ).select(_checks(
+    per_scooter = fact_telemetry.groupBy("scooter_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[null_count(c).alias(f"null_{c}") for c in TELEMETRY_CRITICAL if c != "scooter_id"],
+        F.count_if((b < 0) | (b > 100)).alias("invalid_battery"))
+    max_fleet = mart_fleet.agg(F.max("fleet_size_seen")).scalar()
+    telemetry = per_scooter.agg(
+        F.count(F.lit(1)).alias("distinct_scooters"),
+        F.coalesce(F.sum(F.when(F.col("scooter_id").isNull(), F.col("rows"))), F.lit(0)).alias("null_scooter_id"),
+        *[F.coalesce(F.sum(f"null_{c}"), F.lit(0)).alias(f"null_{c}") for c in TELEMETRY_CRITICAL if c != "scooter_id"],
+        F.coalesce(F.sum("invalid_battery"), F.lit(0)).alias("invalid_battery"),
+    ).withColumn("max_fleet_size_seen", max_fleet).select(_checks(
+        ("Fleet max within bounds",
+         F.coalesce(F.col("max_fleet_size_seen") <= F.col("distinct_scooters"), F.lit(True)),
+         F.col("max_fleet_size_seen"), F.col("distinct_scooters")),
         ("No nulls in fact_telemetry", _total(tel_nulls) == zero, _total(tel_nulls), zero),
         ("No invalid battery levels", F.col("invalid_battery") == zero, F.col("invalid_battery"), zero)))
 
@@ -180,8 +189,7 @@ def validation_report(fact_rides: DataFrame, fact_telemetry: DataFrame,
     fleet_n = null_checks(mart_fleet, FLEET_MART_CRITICAL).select(_checks(
         ("No nulls in mart_fleet", _total(fleet_nulls) == zero, _total(fleet_nulls), zero)))
 
-    return (rides.unionByName(fleet).unionByName(telemetry)
-            .unionByName(revenue).unionByName(fleet_n))
+    return rides.unionByName(telemetry).unionByName(revenue).unionByName(fleet_n)
 
 
 def report_summary(report: DataFrame) -> DataFrame:
