@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from velolake.llm.line_dedup import OP5_SQL, op5_line_dedup
+from velolake.llm.simhash import op6_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
+    "op6_simhash": op6_simhash,
 }
 
 ORACLES: dict[str, str] = {
