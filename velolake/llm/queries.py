@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from velolake.llm.decontamination import op9_decontamination
+from velolake.llm.language_id import op4_language_id
 from velolake.llm.line_dedup import OP5_SQL, op5_line_dedup
 from velolake.llm.simhash import op6_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES: dict[str, str] = {
