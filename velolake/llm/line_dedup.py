@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velolake.llm.common import ASCII_SPACE, ascii_lower, read_table
+from velolake.llm.common import ASCII_SPACE, ascii_lower, materialize, read_table
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -49,9 +49,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
              .where(F.length("key") >= min_chars)
              .select("doc_id", "th", "pos", F.xxhash64("key").alias("h1"),
                      F.xxhash64(F.lit(7), "key").alias("h2")))
-    over = (lines.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
-            .groupBy("h1", "h2").agg(F.count("one").alias("n_docs"), F.max("doc_id").alias("keep"))
-            .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keep"))
+    # Written, as Spark splits a hot key of a join only if both sides come straight from a shuffle.
+    over = materialize(lines.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
+                       .groupBy("h1", "h2").agg(F.count("one").alias("n_docs"), F.max("doc_id").alias("keep"))
+                       .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keep"), "line-keys")
     drops = (lines.join(over, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keep")))
              .groupBy("doc_id", "th").agg(F.collect_set("pos").alias("drop"))
              .select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "drop"))

@@ -226,8 +226,9 @@ def near_groups(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     linked = roots.join(prints, roots.node == prints.fp).select("fp", "root", "first")
     low = linked.groupBy("root").agg(F.min("first").alias("low"))
     moved = linked.join(low, "root").select("fp", "low")
-    return prints.join(moved, "fp", "left").select(
-        "fp", F.coalesce("low", "first").alias("component_id"))
+    # Written, as Spark splits a hot key of a join only if both sides come straight from a shuffle.
+    return materialize(prints.join(moved, "fp", "left").select(
+        "fp", F.coalesce("low", "first").alias("component_id")), "simhash-groups")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
