@@ -1,0 +1,86 @@
+import hashlib
+import random
+import struct
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from velolake.llm import bpe as B
+
+SCHEMA = "doc_id long, text string, ids string, row int, key string"
+TOK = Tokenizer.from_file(B.TOKENIZER)
+SMALL = B.Codec(B.TOKENIZER, leaf=16, cached=50, window=1)
+
+
+def plain(text):
+    return TOK.encode(text or "", add_special_tokens=False).ids
+
+
+def ids(raw):
+    return list(struct.unpack(f"<{len(raw) // 4}I", raw))
+
+
+ALPHABET = st.sampled_from(list("aAbethn  \n\t'sré中🙂9.,-!\x00\x1c 　") + ["<|endoftext|>", " the", "'ll", "ing"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(ALPHABET, max_size=60).map("".join))
+def test_same_ids_and_text_as_the_library(text):
+    raw = SMALL.encode(text)
+    assert ids(raw) == plain(text)
+    assert SMALL.decode(raw) == TOK.decode(plain(text), skip_special_tokens=False) == text
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="aethin", min_size=40, max_size=400))
+def test_tree_of_one_long_word(word):
+    assert ids(SMALL.encode(word)) == plain(word)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(ALPHABET, max_size=80).map("".join), st.integers(20, 60))
+def test_rows_of_long_text_make_up_the_encoding(text, size):
+    got, held, last = [], [], -1
+    for part, kind in [*B.rows_of_long_text(SMALL, text, size), ("", -1)]:
+        if held and kind != last:
+            got += SMALL.tree(held)
+            held = []
+        if kind >= 0:
+            held.append(SMALL.model(part))
+        else:
+            got += [int(part)] if kind == -2 else plain(part)
+        last = kind
+    assert got == plain(text)
+
+
+def test_decode_of_broken_bytes_is_the_library_s():
+    for text in ("é中🙂", "a🙂b"):
+        for k in range(1, 8):
+            part = plain(text)[:k]
+            assert SMALL.decode(struct.pack(f"<{len(part)}I", *part)) == TOK.decode(part, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("limit", [1 << 16, 50])
+def test_query_against_the_library(spark, tmp_path, monkeypatch, limit):
+    rng = random.Random(2)
+    texts = [None, "", " ", "one", "a<|endoftext|> b", "x" * 20000 + " " + "ab" * 9000, " \n \n" * 50,
+             "".join(rng.choice("ethnioas") for _ in range(30000)), "w \0 y" * 10]
+    texts += [" ".join(rng.choice(["the", "ñco", "in.", "12", "é"]) for _ in range(rng.randrange(1, 90))) for _ in range(20)]
+    rows = [(i, t, "c", 1, "k") for i, t in enumerate(texts)] + [(None, "null id", "c", 1, "k"), (5, texts[5], "c", 1, "k")]
+    spark.createDataFrame(rows, SCHEMA).repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(B, "encode", lambda d, p=B.TOKENIZER, f=B.encode: f(d, p, limit))
+    got = sorted((tuple(r) for r in B.op10_bpe(spark, str(tmp_path)).collect()), key=str)
+    want = []
+    for doc_id, text, *_ in rows:
+        i = plain(text)
+        want.append((doc_id, len(i), hashlib.sha256(struct.pack(f"<{len(i)}I", *i)).hexdigest(),
+                     hashlib.sha256(TOK.decode(i, skip_special_tokens=False).encode()).hexdigest()))
+    assert got == sorted(want, key=str)
+    whole = B.encode(spark.createDataFrame(rows, SCHEMA))
+    assert sorted((tuple(r["row"]) for r in whole.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_empty_table(spark):
+    assert B.token_digests(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -1,0 +1,70 @@
+import hashlib
+import random
+from collections import defaultdict
+
+import duckdb
+
+from velolake.llm import line_dedup as D
+
+SCHEMA = "doc_id long, text string, pos int, lines string, row string, drop int"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def key(line):
+    return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+
+
+def brute(rows):
+    holders = defaultdict(set)
+    for d, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= 40:
+                holders[key(line)].add(-1 if d is None else d)
+    gone = {k: max(v) for k, v in holders.items() if len(v) >= 5}
+    out = []
+    for d, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if gone.get(key(x), -1 if d is None else d) == (-1 if d is None else d)]
+        out.append((d, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def make(rng):
+    shared = [f"shared line number {k} " + "é" * k + "x" * (19 - k) + "Ab" for k in range(6)]
+    shared += ["ÀÉ upper case letters outside of ascii stay as they are", "àé upper case letters outside of ascii stay as they are",
+               "s" * 39, "t" * 40]
+    rows = [(0, None), (1, ""), (2, "\n\n"), (3, " \n\t")]
+    for d in range(4, 60):
+        lines = [rng.choice(["  {}\t", "{}", "{}\r"]).format(rng.choice([str.upper, str])(x) if x.isascii() else x)
+                 for x in rng.choices(shared, k=rng.randrange(0, 6))] + [f"own {d}"]
+        rng.shuffle(lines)
+        rows.append((d, "\n".join(lines)))
+    rows += [(None, "\n".join(shared)), (7, shared[0] + "\n" + shared[0]), rows[20], rows[20],
+             (61, "\n".join([shared[1]] * 3000 + [f"line {k}" for k in range(3000)]))]
+    return rows
+
+
+def test_against_brute_force(spark, tmp_path):
+    rows = make(random.Random(6))
+    df = spark.createDataFrame([(d, t, 1, "l", "r", 2) for d, t in rows], SCHEMA)
+    df.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, D.op5_line_dedup(spark, str(tmp_path)).collect()), key=str)
+    assert got == brute(rows)
+    whole = D.dedup_lines(df).select("row.*")
+    assert whole.columns == df.columns and whole.count() == len(rows)
+
+
+def test_oracle_sql_on_distinct_ids(spark, tmp_path):
+    rows = [r for r in make(random.Random(7)) if r[0] is not None]
+    rows = list({d: (d, t) for d, t in rows}.values())
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    rel = con.execute(D.OP5_SQL)
+    names = [c[0] for c in rel.description]
+    got = [tuple(dict(zip(names, r))[c] for c in ("doc_id", "n_lines", "n_dropped", "kept_sha256")) for r in rel.fetchall()]
+    assert sorted(got, key=str) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert D.dedup_lines(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from velolake.llm.bpe import op10_bpe
 from velolake.llm.decontamination import op9_decontamination
 from velolake.llm.language_id import op4_language_id
 from velolake.llm.line_dedup import OP5_SQL, op5_line_dedup
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
     "op9_decontamination": op9_decontamination,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLES: dict[str, str] = {
