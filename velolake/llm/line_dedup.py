@@ -60,7 +60,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         drops, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("th").eqNullSafe(F.col("t")), "left")
     # The generator keeps the split array as one value; inside the lambda below it would be
     # split again for every kept line.
-    apart = met.select("row", "drop", F.explode(F.array(_lines(F.col("row.text")))).alias("lines"))
+    apart = met.select("row", "drop", F.explode_outer(F.array(_lines(F.col("row.text")))).alias("lines"))
     places = F.sequence(F.lit(0), F.size("lines") - 1)
     kept = F.when(F.col("drop").isNull(), F.coalesce(F.col("row.text"), F.lit(""))).otherwise(
         F.array_join(F.transform(F.array_except(places, F.col("drop")),
