@@ -1,0 +1,99 @@
+import base64
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from velolake.llm import secrets as S
+
+SCHEMA = "doc_id long, text string, hex string, _m int, masked string, row int"
+ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base(text):
+    text = text or ""
+    out = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    out += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    out += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(out)
+
+
+def b64(k, n=32):
+    return base64.b64encode(hashlib.sha512(str(k).encode()).digest())[:n].decode()
+
+
+def texts(rng):
+    bits = ["password=", "Token : '", "api_key=", "APIKEY: ", "secret", "paſſword=", "=", ":", " ", "\n", "é🙂", "中", '"', "'",
+            "AKIA", "AKIAABCDEFGHIJKLMN", "0123456789abcdef", "deadbeef", "token=password:abcdefghijklmnop", "abc.def-ghi=jkl",
+            "The ordinary words of a text", "some_identifier_name_that_is_long", b64(1), b64(2), "x" * 12]
+    out = [None, "", "AKIA" * 9, "password=" * 5 + "a" * 12, "a=" + b64(5)]
+    out += ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 30))) for _ in range(120)]
+    out.append(" ".join(f"token={hashlib.md5(str(k).encode()).hexdigest()}" for k in range(1500)) + " é " + b64(7))
+    return out
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rng = random.Random(0)
+    parts = "user name get value Http Request container index configuration description maximum length thing list".split()
+    words = ["_".join(rng.sample(parts, rng.randrange(1, 4))) for _ in range(400)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(200)]
+    return S.train(spark.createDataFrame(docs, "doc_id long, text string"))
+
+
+def test_prefix_sums(spark):
+    rows = [([],), ([3],), (list(range(700)),), ([1] * 512,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "v array<int>").select(S._prefix_sums(F.col("v"))).collect()]
+    assert got == [[sum(v[:k + 1]) for k in range(len(v))] for (v,) in rows]
+
+
+def test_base_spans_against_re(spark, tmp_path, table, monkeypatch):
+    rows = [(i, t, "h", 1, "m", 2) for i, t in enumerate(texts(random.Random(3)))] + [(None, "password=abcdefghijkl", "h", 1, "m", 2)] * 2
+    df = spark.createDataFrame(rows, SCHEMA)
+    df.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(S, "train", lambda docs: table)
+    got = {r["doc_id"]: r for r in S.op1_secrets(spark, str(tmp_path)).collect()}
+    assert S.op1_secrets(spark, str(tmp_path)).count() == len(rows)
+    for doc_id, text, *_ in rows:
+        want, r = base(text), got[doc_id]
+        assert r["base_sha256"] == hashlib.sha256(",".join(x[2] for x in want).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(x[1] == n for x in want) for n in range(3)]
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert [s for s in spans if not s.startswith("markov")] == [x[2] for x in want]
+        starts = [int(s.split(":")[1]) for s in spans]
+        assert starts == sorted(starts)
+        taken = {k for x in want for k in range(*map(int, x[2].split(":")[1:]))}
+        for s in spans:
+            if s.startswith("markov"):
+                a, b = map(int, s.split(":")[1:])
+                assert not taken & set(range(a, b)) and re.fullmatch("[A-Za-z0-9+/_-]{20,}", text[a:b])
+    whole = S.scan(df, table)
+    assert whole.select("row.*").columns == df.columns
+
+
+def test_markov_adds_random_runs_only(spark, table):
+    rng = random.Random(11)
+    random_runs = [b64(f"r{k}", rng.randrange(22, 60)) for k in range(150)]
+    random_runs += ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(30)) for _ in range(50)]
+    words = "user name get value request container index configuration description maximum length thing list".split()
+    plain = ["_".join(rng.choice(words) for _ in range(rng.randrange(4, 8))) for _ in range(200)]
+    df = spark.createDataFrame([(i, f"see {s} here") for i, s in enumerate(random_runs + plain)], "doc_id long, text string")
+    hit = {r["row"]["doc_id"] for r in S.scan(df, table).where(F.size("markov") > 0).collect()}
+    long_enough = [i for i, s in enumerate(random_runs) if re.search("[A-Za-z0-9+/_-]{20,}", s)]
+    assert len(hit & set(long_enough)) >= 0.97 * len(long_enough)
+    assert len([i for i in hit if i >= len(random_runs)]) <= 2
+
+
+def test_table_against_counting(spark):
+    df = spark.createDataFrame([("mixed", "aZ9"), ("ordinary", "ab"), ("ordinary", "b")], "label string, s string")
+    got = {tuple(r) for r in S.transitions(df).collect()}
+    k = S.ALPHABET.index
+    assert got == {("mixed", S.START, k("a"), 1), ("mixed", k("a"), k("Z"), 1), ("mixed", k("Z"), k("9"), 1),
+                   ("ordinary", S.START, k("a"), 1), ("ordinary", S.START, k("b"), 1), ("ordinary", k("a"), k("b"), 1)}
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    assert S.op1_secrets(spark, str(tmp_path)).collect() == []

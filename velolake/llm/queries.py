@@ -11,9 +11,11 @@ from velolake.llm.decontamination import op9_decontamination
 from velolake.llm.language_id import op4_language_id
 from velolake.llm.line_dedup import OP5_SQL, op5_line_dedup
 from velolake.llm.minhash import op2_fingerprint
+from velolake.llm.secrets import op1_secrets
 from velolake.llm.simhash import op6_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_fingerprint": op2_fingerprint,
     "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
