@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from velolake.llm.common import crc_mod, read_table
+from velolake.llm.common import crc_mod, materialize, read_table
 
 UNKNOWN = "und"
 RATE = 2e-5       # an n-gram enters a language's filter from this share of its n-grams on
@@ -155,9 +155,10 @@ def train(labelled: DataFrame, rate: float = RATE, contrast: float = CONTRAST) -
                         [pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)),
                          pa.array(count.astype(np.int64))], names=["lang", "code", "n"])
 
-    counts = (labelled.select("text", "lang").where("lang is not null and text is not null")
-              .mapInArrow(run, "lang string, code bigint, n bigint")
-              .groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    counts = materialize(
+        labelled.select("text", "lang").where("lang is not null and text is not null")
+        .mapInArrow(run, "lang string, code bigint, n bigint")
+        .groupBy("lang", "code").agg(F.sum("n").alias("n")), "language-counts")
     per_code = counts.groupBy("code").agg(F.collect_list(F.struct("lang", "n")).alias("in"))
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     names = sorted(totals)
