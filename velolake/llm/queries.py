@@ -13,6 +13,7 @@ from velolake.llm.line_dedup import OP5_SQL, op5_line_dedup
 from velolake.llm.minhash import op2_fingerprint
 from velolake.llm.secrets import op1_secrets
 from velolake.llm.simhash import op6_simhash
+from velolake.llm.suffix_dedup import OP8_SQL, op8_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
@@ -20,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
+    "op8_suffix_dedup": OP8_SQL,
 }
