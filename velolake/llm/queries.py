@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from velolake.llm.bpe import op10_bpe
 from velolake.llm.decontamination import op9_decontamination
+from velolake.llm.gru_lm import op7_gru_lm
 from velolake.llm.language_id import op4_language_id
 from velolake.llm.line_dedup import OP5_SQL, op5_line_dedup
 from velolake.llm.minhash import op2_fingerprint
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
+    "op7_gru_lm": op7_gru_lm,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
