@@ -29,6 +29,7 @@ LENGTH = 50
 GRAM = 20
 SHALLOW = 3                # words of eight bytes that the multikey quicksort looks at
 CHUNK = 1 << 23            # bytes of text whose minimizers are found together
+BLOCK = 1 << 20            # bytes hashed at once, at some 200 bytes of arrays each
 LOWEST = -(1 << 63)        # stands for a null doc_id, below all others
 _POS = np.uint64(0xFFFFFF)  # low bits of a sort key, the place in a chunk
 
@@ -64,7 +65,7 @@ def minimizers(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray,
     """Runs of neighbouring strings with one minimizer: (text number, start of the first
     string, number of strings, hash).  Every string of ``length`` bytes is in one run."""
     out: list[tuple[np.ndarray, ...]] = []
-    size = int(_POS) // 2
+    size = min(BLOCK, int(_POS)) // 2
 
     def chunk(parts: list[tuple[int, int, bytes]]) -> None:
         data = np.frombuffer(b"".join(x for _, _, x in parts), np.uint8)
