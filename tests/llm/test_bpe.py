@@ -33,6 +33,13 @@ def test_same_ids_and_text_as_the_library(text):
     assert SMALL.decode(raw) == TOK.decode(plain(text), skip_special_tokens=False) == text
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("aeth  \n\r\t's9."), st.characters(min_codepoint=0x20, max_codepoint=0x24F)), max_size=80))
+def test_characters_of_the_fast_path(text):
+    assert SMALL.fast is not None
+    assert ids(B.codec(B.TOKENIZER).encode(text)) == plain(text)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="aethin", min_size=40, max_size=400))
 def test_tree_of_one_long_word(word):
