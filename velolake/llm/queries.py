@@ -15,10 +15,12 @@ from velolake.llm.minhash import op2_fingerprint
 from velolake.llm.secrets import op1_secrets
 from velolake.llm.simhash import op6_simhash
 from velolake.llm.suffix_dedup import OP8_SQL, op8_suffix_dedup
+from velolake.llm.token_counts import op3_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_fingerprint": op2_fingerprint,
+    "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
