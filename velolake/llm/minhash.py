@@ -140,23 +140,24 @@ def range_bucket(key: Column, bounds: list[int]) -> Column:
     return F.when(tops == 0, 0).otherwise((tops - 1) * fan + inner)
 
 
-def with_next(df: DataFrame, key: str, tie: str, columns: dict[str, str],
+def with_next(df: DataFrame, keys: DataFrame, key: str, tie: str, columns: dict[str, str],
               rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
     """Add to each row the ``columns`` (name: new name) of the next by (``key``, ``tie``).
 
-    After the last comes the first.  Rows go to buckets of neighbouring keys, bounded by
+    ``keys`` holds the same keys without what is computed in ``df``: it is read to count
+    them and to find the bounds.  After the last comes the first.  Rows go to buckets of neighbouring keys, bounded by
     quantiles; the first rows of a bucket also go to the one before it, where they follow the
     last.  The whole rows are shuffled once and no task holds more than a bucket.
     """
-    count = df.count()
+    count = keys.count()
     n = min(MOST_BUCKETS, max(1, math.ceil(count / rows_a_bucket)))
     bounds: list[int] = []
     if n > 1:
         shares = F.expr("array(" + ",".join(f"{k / n}D" for k in range(1, n)) + ")")
-        bounds = sorted(set(df.agg(F.percentile_approx(key, shares, max(10_000, 4 * n))).first()[0]))
+        bounds = sorted(set(keys.agg(F.percentile_approx(key, shares, max(10_000, 4 * n))).first()[0]))
     bucket = range_bucket(F.col(key), bounds)
     order = Window.orderBy("_b")  # over one row a bucket
-    first = df.select(F.col(key).alias("_key"), bucket.alias("_b")).groupBy("_b").agg(F.min("_key").alias("_first"))
+    first = keys.select(F.col(key).alias("_key"), bucket.alias("_b")).groupBy("_b").agg(F.min("_key").alias("_first"))
     back = first.select("_first", F.coalesce(
         F.lag("_b").over(order), F.max("_b").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_before"))
     # at most MOST_BUCKETS rows of two numbers
@@ -180,7 +181,7 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"),
         F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(with_fingerprint(docs, "text", "fp"), "key", "text", {"text": "next_text", "fp": "next_fp"})
+    pairs = with_next(with_fingerprint(docs, "text", "fp"), docs.select("key"), "key", "text", {"text": "next_text", "fp": "next_fp"})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     pairs = pairs.select("doc_id", n.cast("long").alias("n_chars"), "fp", "next_fp", F.concat(
