@@ -65,6 +65,33 @@ def test_reconciliation_values(spark):
     assert zero.diff_pct == 0.0 and zero.within_tolerance is True    # no fact rows: pass
 
 
+def test_sums_keep_every_decimal(spark):
+    from velolake.operators import marts, reports
+    rows = [ride(f"r{k}", fare=2.004) for k in range(100)] + [ride("big", fare=1e15)]
+    for exact in (True, False):
+        m = marts.revenue_mart(spark.createDataFrame(rows[:100], schemas.FACT_RIDES), window="1 hour", exact=exact).first()
+        assert round(m.total_revenue, 9) == 200.4 and round(m.avg_fare_amount, 9) == 2.004
+        m = marts.revenue_mart(spark.createDataFrame(rows, schemas.FACT_RIDES), window="1 hour", exact=exact).first()
+        assert abs(m.total_revenue - 1e15 - 200.4) < 0.5
+    tiny = spark.createDataFrame([rev(revenue=0.004)] * 10, schemas.MART_REVENUE)
+    assert round(reports.kpi_revenue(tiny).first().total_revenue, 9) == 0.04
+    assert round(quality.revenue_totals(tiny).first().total_revenue, 9) == 0.04
+
+
+def test_faulty_tables_fail_every_check(spark):
+    from velolake.plans.catalog import REGISTRY
+    rows = REGISTRY["validation_report_faulty"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == 9 and not any(r.passed for r in rows)
+
+
+def test_validation_needs_its_tables(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from velolake.__main__ import main
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        main(["validate", "--lake", str(tmp_path / "nothing")])
+
+
 def test_exact_totals_survive_nan_infinite_and_huge_fares(spark):
     """Fares have no upper bound and NaN / infinity pass ">= 0": exact mode must not fail."""
     import math

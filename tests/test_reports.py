@@ -10,7 +10,7 @@ def test_last_n_puts_null_times_last_in_ascending_order(spark):
     rows = [(h, h, 1, 1.0, 1.0, 1.0, 1.0, 1.0) for h in H] + [(None, None, 1, 1.0, 1.0, 1.0, 1.0, 1.0)]
     df = spark.createDataFrame(rows, schemas.MART_REVENUE)
     got = [r.hour_start for r in reports.last_n(df, 3).collect()]
-    assert got[0] is None and set(got[1:]) == {H[11], H[10]}
+    assert got == [H[10], H[11], None]
     assert [r.hour_start for r in reports.latest_windows(df, 2).collect()] == [H[11], H[10]]
 
 
@@ -25,6 +25,9 @@ def test_kpis_treat_null_as_zero_and_missing_columns_as_empty(spark):
     partial = spark.createDataFrame([(H[0], 7.5)], "hour_start timestamp, total_revenue double")
     kp = reports.kpi_revenue(partial).first()
     assert (kp.total_revenue, kp.completed_rides) == (7.5, 0)
+    none = reports.kpi_fleet(partial).first()
+    assert (none.avg_battery_level, none.low_battery_scooters, none.scooters_in_maintenance) == (None, 0, 0)
+    assert reports.series(partial, "avg_battery_level").collect() == []
 
 
 def test_series_drops_nulls_and_orders(spark):
@@ -35,9 +38,10 @@ def test_series_drops_nulls_and_orders(spark):
 
 
 def test_text_times_are_coerced_leniently(spark):
-    df = spark.createDataFrame([("2024-01-01 02:00:00", 2.0), ("garbage", 9.0), ("2024-01-01 01:00:00", 1.0)],
+    df = spark.createDataFrame([("2024-01-01 02:00:00", 2.0), ("garbage", 9.0), ("2024-01-01 01:00:00", 1.0),
+                                ("01/02/2024 03:04", 3.0), ("20240103", 4.0), (None, 8.0)],
                                "hour_start string, total_revenue double")
     s = reports.series(df, "total_revenue").collect()
-    assert [r.total_revenue for r in s] == [1.0, 2.0]
+    assert [r.total_revenue for r in s] == [1.0, 2.0, 3.0, 4.0]
     last = reports.last_n(df, 1).collect()
     assert last[0].hour_start is None                 # unparseable time sorts last, so it is the last row

@@ -27,7 +27,7 @@ def test_continuous_bronze_ingest_and_wait_any(spark):
     assert all(q.isActive for q in qs)                 # continuous queries keep running
     qs[0].stop()
     t0 = time.time()
-    run_layer(qs, wait="any", timeout_s=60, spark=spark)   # returns once one has stopped
+    run_layer(qs, wait="any", timeout_s=60)   # returns once one has stopped
     assert time.time() - t0 < 60 and not any(q.isActive for q in qs)
     bronze = lake.read(spark, "bronze", TOPICS["rides"])
     assert bronze.columns == ["raw_json", "kafka_timestamp"] and bronze.count() == 1000

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from velolake import schemas
 from velolake.streaming import layers as L
@@ -171,3 +172,44 @@ def test_one_run_in_bounded_batches_matches_separate_runs(spark):
     got = {(r.hour_start, r.completed_rides) for r in lake.read(spark, "mart", "mart_revenue_hourly").collect()}
     assert got == {(at(0), 1), (at(60), 1), (at(120), 2)}
     assert rows_dropped_by_watermark(qs[0]) == 1
+
+
+def test_dimension_folders_stay_bounded(spark, tmp_path):
+    from velolake.streaming import dims as D
+    path = str(tmp_path / "dim")
+    write = D.merge_writer(path, ["city"], compact_after=3)
+    for batch in range(20):
+        rows = [(f"c{batch // 2}",), ("c0",)]
+        write(spark.createDataFrame(rows, "city string"), batch)
+        write(spark.createDataFrame(rows, "city string"), batch)  # a batch that is run again
+        got = sorted(r.city for r in D.read_dimension(spark, path).collect())
+        assert got == sorted({f"c{k // 2}" for k in range(batch + 1)})
+    folders = [p for p in (tmp_path / "dim").glob("full=*/batch_id=*")]
+    assert len(folders) <= 8 and not (tmp_path / "dim" / "full=0" / "batch_id=19").exists()
+
+
+def test_files_a_day_do_not_follow_the_tasks(spark):
+    lake = Lake.fresh(spark, "t-days")
+    rows = spark.range(0, 3000, 1, 12).selectExpr(
+        "timestamp_seconds(1700000000 + id * 800) AS event_ts", "cast(id as string) AS ride_id")
+    for name in schemas.FACT_RIDES.fieldNames():
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(schemas.FACT_RIDES[name].dataType))
+    silver = rows.withColumn("timestamp", F.unix_millis("event_ts")).drop("event_ts")
+    silver.select(*schemas.SILVER_RIDES.fieldNames()).write.parquet(lake.table("silver", "ride_events"))
+    spark.createDataFrame([], schemas.SILVER_TELEMETRY).write.parquet(lake.table("silver", "telemetry"))
+    L.run_layer(L.start_gold(spark, lake, tables=("fact_rides",), date_partitioned=True))
+    files = spark.read.parquet(lake.table("gold", "fact_rides")).select("event_date", "_metadata.file_path").distinct()
+    most = files.groupBy("event_date").count().agg(F.max("count")).first()[0]
+    assert most <= L.DAY_FILES
+
+
+def test_waiting_for_any_looks_at_its_own_queries_only(spark):
+    import time
+    from velolake.streaming.sinks import run_layer
+    old = spark.readStream.format("rate").load().writeStream.format("memory").queryName("old").start()
+    old.stop()
+    new = spark.readStream.format("rate").load().writeStream.format("memory").queryName("new").start()
+    began = time.monotonic()
+    run_layer([new], wait="any", timeout_s=1.5)
+    assert time.monotonic() - began >= 1.4 and not new.isActive

@@ -5,34 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money and distance carry two decimals.  Summing them as DECIMAL makes totals exact
-# and independent of partitioning / summation order (a double sum is not).
-MONEY = "decimal(18,2)"
-
-
-def col_of(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def exact_sum(c: Column | str, decimal_type: str = MONEY) -> Column:
-    """Order-independent sum of a 2-decimal quantity, as DECIMAL (cast to double at the end).
-    Values a DECIMAL cannot hold (NaN, infinities, out of range) are skipped: pair with
-    :func:`unrepresentable` and fall back to the double sum when that is non-zero."""
-    return F.sum(col_of(c).try_cast(decimal_type))
-
-
-def unrepresentable(c: Column | str, decimal_type: str = MONEY) -> Column:
-    """Count of non-NULL values that do not fit ``decimal_type`` (NaN, infinities, huge)."""
-    x = col_of(c)
-    return F.count_if(x.isNotNull() & x.try_cast(decimal_type).isNull())
-
-
-def money_total(c: Column | str, decimal_type: str = MONEY) -> Column:
-    """Single-level exact total: the DECIMAL sum as double, or - if any value does not fit a
-    DECIMAL - the plain double sum (NaN / infinite, as a double sum gives), never an error."""
-    return F.when(unrepresentable(c, decimal_type) == 0, exact_sum(c, decimal_type).cast("double")) \
-        .otherwise(F.sum(col_of(c)))
-
 
 def ratio(num: Column, den: Column) -> Column:
     """``num / den`` as double; NULL when ``den`` is 0 or NULL (never raises under ANSI)."""

@@ -2,18 +2,17 @@
 
 Two modes share one definition and work in batch and in streaming:
 
-* ``exact=False`` (reference behaviour): distinct counts are HyperLogLog++
-  estimates (``approx_count_distinct``, 5 % relative error), sums and averages are
-  double.  One partial/final aggregate per window.
-* ``exact=True``: distinct counts are exact through a two-level aggregate - first
-  per (window, key), then per window - and money/distance are summed as DECIMAL,
-  so totals do not depend on partitioning.  Both levels aggregate partially before
-  their shuffle, so a hot window or a hot scooter never lands whole in one task; in
-  streaming the two levels are two chained stateful aggregations under one watermark.
-  State cost: a stream in exact mode keeps one state row per (window, key) until the
-  window closes, so its state grows with the distinct rides / scooters of the open
-  windows; the HLL mode keeps a fixed-size sketch per window.  For very high per-window
-  cardinality use the HLL mode, or RocksDB state.
+* ``exact=False`` (default): distinct counts are HyperLogLog++ estimates
+  (``approx_count_distinct``, 5 % relative error).  One partial/final aggregate per
+  window; a task sends one row a window.
+* ``exact=True``: distinct counts are exact.  Sums and averages are the same in both
+  modes, plain aggregates of the double values as they come.
+
+Exact revenue in batch adds the counts of distinct (window, ride) pairs, the only rows
+that are shuffled one by one, to the sums per window.  Exact fleet counts come from one
+row per (window, scooter).  In streaming both are two chained stateful aggregations under
+one watermark, with one state row per (window, key) until the window closes: prefer the
+default mode, or RocksDB state, where a window holds very many keys.
 
 With ``watermark`` set the input gets ``withWatermark("event_ts", watermark)``; in
 append mode a window is emitted once the watermark passes its end.  The revenue
@@ -26,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velolake import constants as K
-from velolake.functions.measures import exact_sum, ratio, unrepresentable
+from velolake.functions.measures import ratio
 from velolake.functions.time import tumbling
 
 
@@ -62,55 +61,43 @@ def fleet_base(fact_telemetry_df: DataFrame, watermark: str | None = None) -> Da
     return base
 
 
+REVENUE_INPUTS = ("fare_amount", "distance_km", "duration_mins")
+
+
+def _revenue_measures() -> list[Column]:
+    return [F.sum("fare_amount").alias("total_revenue"), F.avg("fare_amount").alias("avg_fare_amount"),
+            F.sum("distance_km").alias("total_distance_km"), F.avg("distance_km").alias("avg_distance_km"),
+            F.avg("duration_mins").alias("avg_duration_mins")]
+
+
 def revenue_mart(fact_rides_df: DataFrame, window: str = K.MART_WINDOW_DURATION,
                  exact: bool = False, watermark: str | None = None) -> DataFrame:
     """Completed rides per window: rides, revenue, distance and duration KPIs."""
     base = revenue_base(fact_rides_df, watermark)
     if not exact:
         return (base.groupBy(_window_of(base, window).alias("w"))
-                .agg(F.approx_count_distinct("ride_id").alias("completed_rides"),
-                     F.sum("fare_amount").alias("total_revenue"),
-                     F.avg("fare_amount").alias("avg_fare_amount"),
-                     F.sum("distance_km").alias("total_distance_km"),
-                     F.avg("distance_km").alias("avg_distance_km"),
-                     F.avg("duration_mins").alias("avg_duration_mins"))
+                .agg(F.approx_count_distinct("ride_id").alias("completed_rides"), *_revenue_measures())
                 .select(*_bounds(), "completed_rides", "total_revenue", "avg_fare_amount",
                         "total_distance_km", "avg_distance_km", "avg_duration_mins"))
-    # Money and distance: DECIMAL sums, plus the double sum and a count of values no
-    # DECIMAL holds (fares have no upper bound, and NaN / infinity pass ">= 0"); a window
-    # with such a value reports the double sum instead of failing the job.
+    if not base.isStreaming:
+        sums = base.groupBy(_window_of(base, window).alias("w")).agg(*_revenue_measures())
+        pairs = base.select(_window_of(base, window).alias("w"), "ride_id").distinct()
+        rides = pairs.groupBy("w").agg(F.count("ride_id").alias("completed_rides"))
+        names = [c for c in sums.columns if c != "w"]
+        both = sums.unionByName(rides, allowMissingColumns=True).groupBy("w").agg(
+            *[F.max(c).alias(c) for c in ["completed_rides", *names]])
+        return both.select(*_bounds(), "completed_rides", *names)
     per_ride = (base.groupBy(_window_of(base, window).alias("w"), "ride_id")
-                .agg(exact_sum("fare_amount").alias("fare"),
-                     F.sum("fare_amount").alias("fare_dbl"),
-                     unrepresentable("fare_amount").alias("fare_bad"),
-                     F.count("fare_amount").alias("n_fare"),
-                     exact_sum("distance_km").alias("dist"),
-                     F.sum("distance_km").alias("dist_dbl"),
-                     unrepresentable("distance_km").alias("dist_bad"),
-                     F.count("distance_km").alias("n_dist"),
-                     F.sum("duration_mins").alias("dur"),
-                     F.count("duration_mins").alias("n_dur")))
-
-    def total(name: str) -> Column:
-        return F.when(F.sum(f"{name}_bad") == 0, F.sum(name).cast("double")).otherwise(F.sum(f"{name}_dbl"))
-
+                .agg(*[f(c).alias(f"{f.__name__}_{c}") for c in REVENUE_INPUTS for f in (F.sum, F.count)]))
     per_window = (per_ride.groupBy(_rewindow(per_ride, window).alias("w"))
                   .agg(F.count("ride_id").alias("completed_rides"),
-                       total("fare").alias("total_revenue"),
-                       F.sum("n_fare").alias("n_fare"),
-                       total("dist").alias("total_distance_km"),
-                       F.sum("n_dist").alias("n_dist"),
-                       F.sum("dur").alias("dur"),
-                       F.sum("n_dur").alias("n_dur")))
+                       *[F.sum(f"{f}_{c}").alias(f"{f}_{c}") for c in REVENUE_INPUTS for f in ("sum", "count")]))
+    mean = {c: ratio(F.col(f"sum_{c}"), F.col(f"count_{c}")) for c in REVENUE_INPUTS}
     return per_window.select(
-        *_bounds(),
-        "completed_rides",
-        "total_revenue",
-        ratio(F.col("total_revenue"), F.col("n_fare")).alias("avg_fare_amount"),
-        "total_distance_km",
-        ratio(F.col("total_distance_km"), F.col("n_dist")).alias("avg_distance_km"),
-        ratio(F.col("dur"), F.col("n_dur")).alias("avg_duration_mins"),
-    )
+        *_bounds(), "completed_rides",
+        F.col("sum_fare_amount").alias("total_revenue"), mean["fare_amount"].alias("avg_fare_amount"),
+        F.col("sum_distance_km").alias("total_distance_km"), mean["distance_km"].alias("avg_distance_km"),
+        mean["duration_mins"].alias("avg_duration_mins"))
 
 
 def fleet_mart(fact_telemetry_df: DataFrame, window: str = K.MART_WINDOW_DURATION,
@@ -184,6 +171,31 @@ def revenue_with_estimate(fact_rides_df: DataFrame, window: str = K.MART_WINDOW_
             .select(*_bounds(), "completed_rides", "approx_completed_rides"))
 
 
-def within_hll_bound(approx: Column, exact: Column, slack: int = 2, rel: float = 0.15) -> Column:
-    """``|approx - exact| <= max(slack, rel * exact)``: a loose HLL sanity bound."""
+# approx_count_distinct at its default 5 % keeps 2 ** 9 registers; one register's worth of
+# standard error is 1.04 / sqrt(512), and five of them are never met by chance.
+HLL_REGISTERS = 512
+HLL_BOUND = 5 * 1.04 / HLL_REGISTERS ** 0.5
+HLL_SLACK = 3  # small counts: registers that collide
+
+
+def within_hll_bound(approx: Column, exact: Column, slack: int = HLL_SLACK, rel: float = HLL_BOUND) -> Column:
+    """``|approx - exact| <= max(slack, rel * exact)``."""
     return F.abs(approx - exact) <= F.greatest(F.lit(float(slack)), F.lit(rel) * exact)
+
+
+def beside_exact(estimated: DataFrame, exact: DataFrame, counts: list[str]) -> DataFrame:
+    """The windows of a default-mode mart: its own measures, and for each estimated count
+    the exact one and whether the estimate is within the sketch's bound.  Lined up by union
+    and group-by; both sides are one row a window."""
+    others = [c for c in estimated.columns if c not in ("hour_start", "hour_end", *counts)]
+    both = estimated.select("hour_start", "hour_end", *others, *[F.col(c).alias(f"est_{c}") for c in counts],
+                            F.lit(1).alias("own")).unionByName(
+        exact.select("hour_start", "hour_end", *counts), allowMissingColumns=True)
+    per_window = both.groupBy("hour_start", "hour_end").agg(
+        *[F.max(c).alias(c) for c in both.columns if c not in ("hour_start", "hour_end")]).where("own = 1")
+    return per_window.select("hour_start", "hour_end", *counts, *[
+        within_hll_bound(F.col(f"est_{c}"), F.col(c)).alias(f"{c}_within_bound") for c in counts], *others)
+
+
+REVENUE_COUNTS = ["completed_rides"]
+FLEET_COUNTS = ["fleet_size_seen", "low_battery_scooters", "scooters_in_use", "scooters_in_maintenance"]

@@ -1,8 +1,8 @@
 """Batch reconciliation and data-quality checks over gold and mart tables.
 
-Each table is scanned once by a single multi-measure aggregate; values that one
-check needs from another table (mart bounds, distinct scooters) come in as scalar
-subqueries - one-row results computed once per plan - so no check joins two tables.
+A check is one multi-measure aggregate over its table; values that it needs from another
+table (mart bounds, distinct scooters) come in as scalar subqueries, one-row results, so
+no check joins two tables.  The report reads each of its four tables once.
 The report is a DataFrame ``(check, passed, observed, limit)``; nothing is collected.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velolake import constants as K
-from velolake.functions.measures import money_total, null_count
+from velolake.functions.measures import null_count
 
 RIDE_CRITICAL = ["ride_id", "event_ts", "fare_amount", "scooter_id", "user_id"]
 TELEMETRY_CRITICAL = ["scooter_id", "event_ts", "battery_level", "scooter_status"]
@@ -66,8 +66,8 @@ def revenue_reconciliation(fact_rides: DataFrame, mart_revenue: DataFrame,
 def revenue_totals(mart_revenue: DataFrame) -> DataFrame:
     """Total revenue, total distance and window count of the revenue mart (V4)."""
     return mart_revenue.agg(
-        money_total("total_revenue", "decimal(38,2)").alias("total_revenue"),
-        money_total("total_distance_km", "decimal(38,2)").alias("total_distance_km"),
+        F.sum("total_revenue").alias("total_revenue"),
+        F.sum("total_distance_km").alias("total_distance_km"),
         F.count(F.lit(1)).alias("windows"))
 
 
@@ -121,13 +121,17 @@ def _checks(*items: tuple[str, Column, Column, Column]) -> Column:
         for name, passed, observed, limit in items]))
 
 
-def _total(cols: list[str]) -> Column:
-    out = None
-    for c in cols:
-        out = F.col(c) if out is None else out + F.col(c)
+def _sum_of(cols: list[Column]) -> Column:
+    out = cols[0]
+    for c in cols[1:]:
+        out = out + c
     return out
 
 
+def _total(cols: list[str]) -> Column:
+    return _sum_of([F.col(c) for c in cols])
+
+
 def validation_report(fact_rides: DataFrame, fact_telemetry: DataFrame,
                       mart_revenue: DataFrame, mart_fleet: DataFrame,
                       tolerance_pct: float = K.REVENUE_DIFF_TOLERANCE_PCT) -> DataFrame:
@@ -137,12 +141,19 @@ def validation_report(fact_rides: DataFrame, fact_telemetry: DataFrame,
     """
     zero = F.lit(0)
 
-    # fact_rides, the largest table, is read once: the reconciliation count is a conditional
-    # count in the same aggregate as the NULL / fare / distance checks.
-    bounds = mart_bounds(mart_revenue)
-    lo = bounds.select("min_hour_start").scalar()
-    hi = bounds.select("max_hour_end").scalar()
-    mart_total = mart_revenue.agg(F.coalesce(F.sum("completed_rides"), F.lit(0)).cast("long")).scalar()
+    # Each table is read once.  A mart's figures come as one struct, a scalar subquery; the
+    # reconciliation count is a conditional count in fact_rides' one aggregate.
+    rev_nulls = [f"null_{c}" for c in REVENUE_MART_CRITICAL]
+    fleet_nulls = [f"null_{c}" for c in FLEET_MART_CRITICAL]
+    rev = mart_revenue.agg(F.struct(
+        F.min("hour_start").alias("lo"), F.max("hour_end").alias("hi"),
+        F.coalesce(F.sum("completed_rides"), F.lit(0)).cast("long").alias("total"),
+        *[null_count(c).alias(f"null_{c}") for c in REVENUE_MART_CRITICAL])).scalar()
+    fleet = mart_fleet.agg(F.struct(
+        F.max("fleet_size_seen").alias("most"),
+        *[null_count(c).alias(f"null_{c}") for c in FLEET_MART_CRITICAL])).scalar()
+    lo, hi, mart_total = rev["lo"], rev["hi"], rev["total"]
+    rev_null, fleet_null = (_sum_of([x[c] for c in cols]) for x, cols in ((rev, rev_nulls), (fleet, fleet_nulls)))
     completed = ((F.col("event_type") == F.lit(K.COMPLETED_EVENT_TYPE))
                  & (F.col("event_ts") >= lo) & (F.col("event_ts") < hi))
     ride_nulls = [f"null_{c}" for c in RIDE_CRITICAL]
@@ -154,11 +165,12 @@ def validation_report(fact_rides: DataFrame, fact_telemetry: DataFrame,
         F.count_if(F.col("distance_km") < 0).alias("negative_distances"),
         F.count_if(completed).alias("fact_completed_rides"),
     ).withColumn("mart_completed_rides", mart_total).select(_checks(
-        ("Revenue count within tolerance", diff_pct <= F.lit(float(tolerance_pct)), diff_pct,
+        (K.CHECK_REVENUE_COUNT, diff_pct <= F.lit(float(tolerance_pct)), diff_pct,
          F.lit(float(tolerance_pct))),
-        ("No nulls in fact_rides", _total(ride_nulls) == zero, _total(ride_nulls), zero),
-        ("No negative fares", F.col("negative_fares") == zero, F.col("negative_fares"), zero),
-        ("No negative distances", F.col("negative_distances") == zero, F.col("negative_distances"), zero)))
+        (K.CHECK_REVENUE_NULLS, rev_null == zero, rev_null, zero),
+        (K.CHECK_RIDE_NULLS, _total(ride_nulls) == zero, _total(ride_nulls), zero),
+        (K.CHECK_FARES, F.col("negative_fares") == zero, F.col("negative_fares"), zero),
+        (K.CHECK_DISTANCES, F.col("negative_distances") == zero, F.col("negative_distances"), zero)))
 
     # fact_telemetry is read once too: a per-scooter partial aggregate gives both the distinct
     # scooter count (one row per scooter, NULL id included) and the check counts.
@@ -168,28 +180,20 @@ def validation_report(fact_rides: DataFrame, fact_telemetry: DataFrame,
         F.count(F.lit(1)).alias("rows"),
         *[null_count(c).alias(f"null_{c}") for c in TELEMETRY_CRITICAL if c != "scooter_id"],
         F.count_if((b < 0) | (b > 100)).alias("invalid_battery"))
-    max_fleet = mart_fleet.agg(F.max("fleet_size_seen")).scalar()
     telemetry = per_scooter.agg(
         F.count(F.lit(1)).alias("distinct_scooters"),
         F.coalesce(F.sum(F.when(F.col("scooter_id").isNull(), F.col("rows"))), F.lit(0)).alias("null_scooter_id"),
         *[F.coalesce(F.sum(f"null_{c}"), F.lit(0)).alias(f"null_{c}") for c in TELEMETRY_CRITICAL if c != "scooter_id"],
         F.coalesce(F.sum("invalid_battery"), F.lit(0)).alias("invalid_battery"),
-    ).withColumn("max_fleet_size_seen", max_fleet).select(_checks(
-        ("Fleet max within bounds",
+    ).withColumn("max_fleet_size_seen", fleet["most"]).select(_checks(
+        (K.CHECK_FLEET_MAX,
          F.coalesce(F.col("max_fleet_size_seen") <= F.col("distinct_scooters"), F.lit(True)),
          F.col("max_fleet_size_seen"), F.col("distinct_scooters")),
-        ("No nulls in fact_telemetry", _total(tel_nulls) == zero, _total(tel_nulls), zero),
-        ("No invalid battery levels", F.col("invalid_battery") == zero, F.col("invalid_battery"), zero)))
-
-    rev_nulls = [f"null_{c}" for c in REVENUE_MART_CRITICAL]
-    revenue = null_checks(mart_revenue, REVENUE_MART_CRITICAL).select(_checks(
-        ("No nulls in mart_revenue", _total(rev_nulls) == zero, _total(rev_nulls), zero)))
-
-    fleet_nulls = [f"null_{c}" for c in FLEET_MART_CRITICAL]
-    fleet_n = null_checks(mart_fleet, FLEET_MART_CRITICAL).select(_checks(
-        ("No nulls in mart_fleet", _total(fleet_nulls) == zero, _total(fleet_nulls), zero)))
+        (K.CHECK_FLEET_NULLS, fleet_null == zero, fleet_null, zero),
+        (K.CHECK_TELEMETRY_NULLS, _total(tel_nulls) == zero, _total(tel_nulls), zero),
+        (K.CHECK_BATTERY, F.col("invalid_battery") == zero, F.col("invalid_battery"), zero)))
 
-    return rides.unionByName(telemetry).unionByName(revenue).unionByName(fleet_n)
+    return rides.unionByName(telemetry)
 
 
 def report_summary(report: DataFrame) -> DataFrame:

@@ -14,16 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velolake.operators import gold, marts, quality, reports, silver
-from velolake.plans.frames import Frames, StoredTables, as_ntz
+from velolake import schemas
+from velolake.plans.frames import Frames, StoredTables, as_ntz, with_faults
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str):
+def register(name: str, digits: int | None = None):
+    """``digits``: see :func:`velolake.plans.frames.as_ntz`."""
     def deco(fn: Callable[[Frames], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return as_ntz(fn(Frames(spark, sf_dir)))
+            return as_ntz(fn(Frames(spark, sf_dir)), digits)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         REGISTRY[name] = run
@@ -119,30 +121,42 @@ def dim_time_hourly(f: Frames):
 
 # --- marts ---------------------------------------------------------------------------
 
-@register("mart_revenue")
+@register("mart_revenue", digits=6)
 def mart_revenue(f: Frames):
     return f.mart_revenue
 
 
-@register("mart_fleet_health")
+@register("mart_fleet_health", digits=6)
 def mart_fleet_health(f: Frames):
     return f.mart_fleet
 
 
-@register("mart_revenue_minutely")
+@register("mart_revenue_minutely", digits=6)
 def mart_revenue_minutely(f: Frames):
     """The reference's default 1-minute window."""
     return marts.revenue_mart(f.fact_rides, window="1 minute", exact=True)
 
 
-@register("mart_fleet_health_minutely")
+@register("mart_fleet_health_minutely", digits=6)
 def mart_fleet_health_minutely(f: Frames):
     return marts.fleet_mart(f.fact_telemetry, window="1 minute", exact=True)
 
 
+@register("mart_revenue_default", digits=6)
+def mart_revenue_default(f: Frames):
+    """The default form (estimated ``completed_rides``) with the exact count beside it."""
+    return marts.beside_exact(marts.revenue_mart(f.fact_rides, window=f.window), f.mart_revenue, marts.REVENUE_COUNTS)
+
+
+@register("mart_fleet_health_default", digits=6)
+def mart_fleet_health_default(f: Frames):
+    """The default form (four estimated counts) with the exact counts beside it."""
+    return marts.beside_exact(marts.fleet_mart(f.fact_telemetry, window=f.window), f.mart_fleet, marts.FLEET_COUNTS)
+
+
 @register("mart_revenue_approx_bounds")
 def mart_revenue_approx_bounds(f: Frames):
-    """HLL ``completed_rides`` (reference mode) checked against the exact count per window."""
+    """HLL ``completed_rides`` checked against the exact count per window."""
     est = marts.revenue_with_estimate(f.fact_rides, window=f.window)
     return est.select("hour_start", "hour_end", "completed_rides",
                       marts.within_hll_bound(F.col("approx_completed_rides"), F.col("completed_rides"))
@@ -151,12 +165,11 @@ def mart_revenue_approx_bounds(f: Frames):
 
 @register("mart_fleet_approx_bounds")
 def mart_fleet_approx_bounds(f: Frames):
-    """The four HLL fleet counts (reference mode) checked against exact counts per window."""
+    """The four HLL fleet counts checked against exact counts per window."""
     m = marts.fleet_mart(f.fact_telemetry, window=f.window, exact=True, with_estimates=True)
-    names = ["fleet_size_seen", "low_battery_scooters", "scooters_in_use", "scooters_in_maintenance"]
     return m.select("hour_start", "hour_end", "fleet_size_seen",
                     *[marts.within_hll_bound(F.col(f"approx_{n}"), F.col(n)).alias(f"{n}_within_bound")
-                      for n in names])
+                      for n in marts.FLEET_COUNTS])
 
 
 # --- validation ------------------------------------------------------------------------
@@ -173,11 +186,11 @@ def mart_bounds(f: Frames):
 
 @register("revenue_reconciliation")
 def revenue_reconciliation(f: Frames):
-    t = StoredTables(f)
+    t = StoredTables(f, telemetry=False)
     return quality.revenue_reconciliation(t.fact_rides, t.mart_revenue)
 
 
-@register("revenue_totals")
+@register("revenue_totals", digits=6)
 def revenue_totals(f: Frames):
     return quality.revenue_totals(f.mart_revenue)
 
@@ -189,7 +202,7 @@ def fleet_totals(f: Frames):
 
 @register("fleet_bound")
 def fleet_bound(f: Frames):
-    t = StoredTables(f)
+    t = StoredTables(f, rides=False)
     return quality.fleet_bound(t.fact_telemetry, t.mart_fleet)
 
 
@@ -236,6 +249,12 @@ def validation_report(f: Frames):
     return quality.validation_report(t.fact_rides, t.fact_telemetry, t.mart_revenue, t.mart_fleet)
 
 
+@register("validation_report_faulty")
+def validation_report_faulty(f: Frames):
+    """The same report over tables with faults: every check fails."""
+    return quality.validation_report(*with_faults(StoredTables(f)))
+
+
 @register("validation_summary")
 def validation_summary(f: Frames):
     t = StoredTables(f)
@@ -245,41 +264,71 @@ def validation_summary(f: Frames):
 
 # --- reports ----------------------------------------------------------------------------
 
-@register("latest_revenue_windows")
+@register("latest_revenue_windows", digits=6)
 def latest_revenue_windows(f: Frames):
     return reports.latest_windows(f.mart_revenue, 3)
 
 
-@register("latest_fleet_windows")
+@register("latest_fleet_windows", digits=6)
 def latest_fleet_windows(f: Frames):
     return reports.latest_windows(f.mart_fleet, 3)
 
 
-@register("kpi_revenue")
+@register("kpi_revenue", digits=6)
 def kpi_revenue(f: Frames):
     return reports.kpi_revenue(f.mart_revenue)
 
 
-@register("kpi_fleet")
+@register("kpi_fleet", digits=6)
 def kpi_fleet(f: Frames):
     return reports.kpi_fleet(f.mart_fleet)
 
 
-@register("series_revenue")
+@register("series_revenue", digits=6)
 def series_revenue(f: Frames):
     return reports.series(f.mart_revenue, "total_revenue")
 
 
-@register("series_battery")
+@register("series_battery", digits=6)
 def series_battery(f: Frames):
     return reports.series(f.mart_fleet, "avg_battery_level")
 
 
-@register("last10_revenue")
+@register("last10_revenue", digits=6)
 def last10_revenue(f: Frames):
     return reports.last_n(f.mart_revenue, 10)
 
 
-@register("last10_fleet")
+@register("last10_fleet", digits=6)
 def last10_fleet(f: Frames):
     return reports.last_n(f.mart_fleet, 10)
+
+
+@register("series_revenue_text_times", digits=6)
+def series_revenue_text_times(f: Frames):
+    """A mart whose times are text in several forms, some unreadable."""
+    t = F.col("hour_start")
+    forms = ["yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm", "yyyy-MM-dd'T'HH:mm:ss"]
+    text = F.when(F.hour(t) == 23, F.lit("no time"))
+    for k, form in enumerate(forms):
+        text = text.when(F.hour(t) % 3 == k, F.date_format(t, form))
+    return reports.series(f.mart_revenue.withColumn("hour_start", text), "total_revenue")
+
+
+@register("kpi_absent_columns", digits=6)
+def kpi_absent_columns(f: Frames):
+    """Reports over marts that lack the columns they ask for (P19): no mean, zero sums, no series."""
+    fleet = f.mart_fleet.drop("avg_battery_level", "low_battery_scooters")
+    points = reports.series(f.mart_fleet.drop("avg_battery_level"), "avg_battery_level")
+    return reports.kpi_fleet(fleet).withColumn("points", points.agg(F.count(F.lit(1))).scalar())
+
+
+@register("silver_schema_merge")
+def silver_schema_merge(f: Frames):
+    """Valid rides stored before and after the payload gained ``city``, read as one table."""
+    from velolake.streaming.lake import Lake
+    lake = Lake.fresh(f.spark, "merge")
+    path = lake.table("silver", "ride_events")
+    f.silver_rides.where("user_id % 2 = 0").drop("city").write.mode("append").parquet(path)
+    f.silver_rides.where("user_id % 2 <> 0").write.mode("append").parquet(path)
+    return lake.read(f.spark, "silver", "ride_events", merge_schema=True).select(*schemas.SILVER_RIDES.fieldNames())

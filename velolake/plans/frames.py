@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import DoubleType, TimestampType
 
 from velolake import constants as K
 from velolake.operators import gold, marts, silver
-from velolake.session import apply_required_conf, min_parallel
+from velolake.session import apply_required_conf
 from velolake.sources import sample
 from velolake.sources.envelope import raw_envelope
 from velolake.sources.tables import driver_table
@@ -30,7 +30,7 @@ class Frames:
 
     @cached_property
     def events(self) -> DataFrame:
-        return min_parallel(driver_table(self.spark, self.sf_dir, "events"))
+        return driver_table(self.spark, self.sf_dir, "events")
 
     # bronze
     @cached_property
@@ -99,25 +99,53 @@ class StoredTables:
     pipeline.  Checks that scan several tables then read stored data instead of each
     re-running the pipeline from ``events``; the write also cuts the lineage."""
 
-    def __init__(self, f: Frames, label: str = "stored"):
+    def __init__(self, f: Frames, label: str = "stored", rides: bool = True, telemetry: bool = True):
         from velolake.streaming.lake import Lake
         spark = f.spark
-        lake = Lake.fresh(spark, label)
-        f.fact_rides.write.parquet(lake.table("gold", "fact_rides"))
-        f.fact_telemetry.write.parquet(lake.table("gold", "fact_telemetry"))
-        self.fact_rides = lake.read(spark, "gold", "fact_rides")
-        self.fact_telemetry = lake.read(spark, "gold", "fact_telemetry")
-        marts.revenue_mart(self.fact_rides, window=f.window, exact=True).write.parquet(
-            lake.table("mart", "mart_revenue_hourly"))
-        marts.fleet_mart(self.fact_telemetry, window=f.window, exact=True).write.parquet(
-            lake.table("mart", "mart_fleet_health_hourly"))
-        self.mart_revenue = lake.read(spark, "mart", "mart_revenue_hourly")
-        self.mart_fleet = lake.read(spark, "mart", "mart_fleet_health_hourly")
-        self.lake = lake
-
-
-def as_ntz(df: DataFrame) -> DataFrame:
-    """Return TIMESTAMP columns as wall-clock UTC ``TIMESTAMP_NTZ`` (the SQL ``TIMESTAMP``)."""
-    cols = [F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType)
-            else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)
+        lake = self.lake = Lake.fresh(spark, label)
+        if rides:
+            f.fact_rides.write.parquet(lake.table("gold", "fact_rides"))
+            self.fact_rides = lake.read(spark, "gold", "fact_rides")
+            marts.revenue_mart(self.fact_rides, window=f.window, exact=True).write.parquet(
+                lake.table("mart", "mart_revenue_hourly"))
+            self.mart_revenue = lake.read(spark, "mart", "mart_revenue_hourly")
+        if telemetry:
+            f.fact_telemetry.write.parquet(lake.table("gold", "fact_telemetry"))
+            self.fact_telemetry = lake.read(spark, "gold", "fact_telemetry")
+            marts.fleet_mart(self.fact_telemetry, window=f.window, exact=True).write.parquet(
+                lake.table("mart", "mart_fleet_health_hourly"))
+            self.mart_fleet = lake.read(spark, "mart", "mart_fleet_health_hourly")
+
+
+def with_faults(t: StoredTables) -> list[DataFrame]:
+    """The four stored tables with faults that every check of the report must find."""
+    minutes, signal = F.col("duration_mins"), F.col("signal_strength")
+    early = F.hour("hour_start") == 5
+    return [
+        t.fact_rides.withColumns({
+            "fare_amount": F.when(minutes % 7 == 0, -1 - F.col("fare_amount")).otherwise(F.col("fare_amount")),
+            "distance_km": F.when(minutes % 11 == 0, -1 - F.col("distance_km")).otherwise(F.col("distance_km")),
+            "user_id": F.when(minutes % 13 != 0, F.col("user_id"))}),
+        t.fact_telemetry.withColumns({
+            "battery_level": F.when(signal == 3, F.col("battery_level") + 150).otherwise(F.col("battery_level")),
+            "scooter_status": F.when(signal != 4, F.col("scooter_status"))}),
+        t.mart_revenue.withColumns({
+            "completed_rides": F.col("completed_rides") * 2, "total_revenue": F.when(~early, F.col("total_revenue"))}),
+        t.mart_fleet.withColumns({
+            "fleet_size_seen": F.col("fleet_size_seen") + 100000,
+            "avg_battery_level": F.when(~early, F.col("avg_battery_level"))}),
+    ]
+
+
+def as_ntz(df: DataFrame, digits: int | None = None) -> DataFrame:
+    """Return TIMESTAMP columns as wall-clock UTC ``TIMESTAMP_NTZ`` (the SQL ``TIMESTAMP``).
+
+    ``digits`` rounds the doubles of a *result*, for queries that sum or average them: the
+    last bits of such a sum depend on the order of the rows, in any engine."""
+    def shown(f) -> Column:
+        if isinstance(f.dataType, TimestampType):
+            return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        if digits is not None and isinstance(f.dataType, DoubleType):
+            return F.round(f.name, digits).alias(f.name)
+        return F.col(f.name)
+    return df.select(*map(shown, df.schema.fields))

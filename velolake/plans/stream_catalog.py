@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from velolake import constants as K
 from velolake.plans.frames import Frames, as_ntz
-from velolake.plans.oracle import BASE, MINUTE, ORACLE as BATCH_ORACLE
+from velolake.plans.oracle import BASE, FLEET, FLEET_DEFAULT, MINUTE, ORACLE as BATCH_ORACLE, REV, REV_DEFAULT
 from velolake.sources import sample
 from velolake.streaming import layers as L
 from velolake.streaming.lake import TOPICS, Lake
@@ -24,10 +24,10 @@ REGISTRY: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def _register(name: str, oracle: str | None = None):
+def _register(name: str, oracle: str | None = None, digits: int | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return as_ntz(fn(Frames(spark, sf_dir)))
+            return as_ntz(fn(Frames(spark, sf_dir)), digits)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         REGISTRY[name] = run
@@ -63,13 +63,13 @@ def _with_batch_facts(f: Frames, label: str) -> Lake:
     return lake
 
 
-def _cut(mart_cte: str, fact_cte: str, where: str, delay: str) -> str:
-    return (f"SELECT * FROM {mart_cte} WHERE hour_end <= "
+def _cut(mart_cte: str, fact_cte: str, where: str, delay: str, columns: str = "*") -> str:
+    return (f"SELECT {columns} FROM {mart_cte} WHERE hour_end <= "
             f"(SELECT max(event_ts) FROM {fact_cte}{where}) - INTERVAL {delay}")
 
 
-REV_CUT = _cut("mart_revenue", "fact_rides", " WHERE event_type = 'end'", "1 MINUTE")
-FLEET_CUT = _cut("mart_fleet", "fact_tel", "", "1 MINUTE")
+REV_CUT = _cut("mart_revenue", "fact_rides", " WHERE event_type = 'end'", "1 MINUTE", REV)
+FLEET_CUT = _cut("mart_fleet", "fact_tel", "", "1 MINUTE", FLEET)
 
 
 @_register("stream_silver_rides_valid", BATCH_ORACLE["silver_rides_valid"])
@@ -149,7 +149,7 @@ def stream_dim_city_state(f: Frames):
     return L.read_gold(f.spark, _gold(f, "gold_state", dims="state"), "dim_city")
 
 
-@_register("stream_mart_revenue", BASE + REV_CUT)
+@_register("stream_mart_revenue", BASE + REV_CUT, digits=6)
 def stream_mart_revenue(f: Frames):
     """Hourly revenue mart as a stream with the 1-minute watermark (W1-W4, W7), exact counts."""
     lake = _with_batch_facts(f, "mart")
@@ -158,7 +158,7 @@ def stream_mart_revenue(f: Frames):
     return lake.read(f.spark, "mart", "mart_revenue_hourly")
 
 
-@_register("stream_mart_fleet_health", BASE + FLEET_CUT)
+@_register("stream_mart_fleet_health", BASE + FLEET_CUT, digits=6)
 def stream_mart_fleet_health(f: Frames):
     lake = _with_batch_facts(f, "mart")
     L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True,
@@ -166,7 +166,7 @@ def stream_mart_fleet_health(f: Frames):
     return lake.read(f.spark, "mart", "mart_fleet_health_hourly")
 
 
-@_register("stream_mart_revenue_minutely", MINUTE + REV_CUT)
+@_register("stream_mart_revenue_minutely", MINUTE + REV_CUT, digits=6)
 def stream_mart_revenue_minutely(f: Frames):
     """The reference's defaults: 1-minute windows under a 1-minute watermark."""
     lake = _with_batch_facts(f, "mart")
@@ -175,48 +175,28 @@ def stream_mart_revenue_minutely(f: Frames):
     return lake.read(f.spark, "mart", "mart_revenue_hourly")
 
 
-@_register("stream_mart_revenue_reference_mode", BASE + f"""
-    SELECT hour_start, hour_end, completed_rides, true AS completed_rides_within_bound,
-           true AS total_revenue_close, avg_duration_mins
-    FROM ({REV_CUT})""")
+@_register("stream_mart_revenue_reference_mode", BASE + REV_DEFAULT + f"({REV_CUT})", digits=6)
 def stream_mart_revenue_reference_mode(f: Frames):
-    """The reference's own mart form as a stream (HLL ``completed_rides``, double sums), set
-    beside the exact batch mart per window: exact count, whether the HLL count is within
-    ``max(2, 15%)``, whether the double revenue is within 1e-9 relative of the exact one, and
-    the duration average (exact in both forms).  Lined up by union + group-by, not a join."""
+    """The default mart form as a stream (HLL ``completed_rides``), with the exact count of the
+    batch plan beside it per window."""
     from velolake.operators import marts
     lake = _with_batch_facts(f, "refmode")
-    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=False,
-                      state_partitions=_cores(f))
-    approx = lake.read(f.spark, "mart", "mart_revenue_hourly")
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, state_partitions=_cores(f))
     exact = marts.revenue_mart(lake.read(f.spark, "gold", "fact_rides"), window=K.HOURLY, exact=True)
-    both = (approx.select("hour_start", "hour_end", F.lit(True).alias("streamed"),
-                          F.col("completed_rides").alias("approx_rides"),
-                          F.col("total_revenue").alias("approx_revenue"),
-                          F.lit(None).cast("long").alias("exact_rides"),
-                          F.lit(None).cast("double").alias("exact_revenue"),
-                          F.col("avg_duration_mins").alias("stream_avg_duration"))
-            .unionByName(exact.select("hour_start", "hour_end", F.lit(False).alias("streamed"),
-                                      F.lit(None).cast("long").alias("approx_rides"),
-                                      F.lit(None).cast("double").alias("approx_revenue"),
-                                      F.col("completed_rides").alias("exact_rides"),
-                                      F.col("total_revenue").alias("exact_revenue"),
-                                      F.lit(None).cast("double").alias("stream_avg_duration"))))
-    per_window = (both.groupBy("hour_start", "hour_end")
-                  .agg(F.max(F.col("streamed").cast("int")).alias("streamed"),
-                       F.max("approx_rides").alias("approx_rides"), F.max("approx_revenue").alias("approx_revenue"),
-                       F.max("exact_rides").alias("exact_rides"), F.max("exact_revenue").alias("exact_revenue"),
-                       F.max("stream_avg_duration").alias("avg_duration_mins"))
-                  .filter(F.col("streamed") == 1))
-    return per_window.select(
-        "hour_start", "hour_end", F.col("exact_rides").alias("completed_rides"),
-        marts.within_hll_bound(F.col("approx_rides"), F.col("exact_rides")).alias("completed_rides_within_bound"),
-        (F.abs(F.col("approx_revenue") - F.col("exact_revenue"))
-         <= F.lit(1e-9) * F.abs(F.col("exact_revenue"))).alias("total_revenue_close"),
-        "avg_duration_mins")
-
-
-@_register("stream_end_to_end", BASE + REV_CUT)
+    return marts.beside_exact(lake.read(f.spark, "mart", "mart_revenue_hourly"), exact, marts.REVENUE_COUNTS)
+
+
+@_register("stream_mart_fleet_health_default", BASE + FLEET_DEFAULT + f"({FLEET_CUT}))", digits=6)
+def stream_mart_fleet_health_default(f: Frames):
+    """The default fleet mart as a stream (four HLL counts), with the exact counts beside it."""
+    from velolake.operators import marts
+    lake = _with_batch_facts(f, "fleetmode")
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, state_partitions=_cores(f))
+    exact = marts.fleet_mart(lake.read(f.spark, "gold", "fact_telemetry"), window=K.HOURLY, exact=True)
+    return marts.beside_exact(lake.read(f.spark, "mart", "mart_fleet_health_hourly"), exact, marts.FLEET_COUNTS)
+
+
+@_register("stream_end_to_end", BASE + REV_CUT, digits=6)
 def stream_end_to_end(f: Frames):
     """landing -> bronze -> silver -> gold -> mart, every layer a stream."""
     lake = _published(f, "e2e")
@@ -224,6 +204,81 @@ def stream_end_to_end(f: Frames):
     return lake.read(f.spark, "mart", "mart_revenue_hourly")
 
 
+@_register("stream_late_rows", BASE + REV_CUT, digits=6)
+def stream_late_rows(f: Frames):
+    """Facts in two increments; the second holds rows of a window that is still open, which
+    count, and copies of the first one's rows under other ids, whose windows have closed (W4)."""
+    lake = Lake.fresh(f.spark, "late")
+    facts = f.fact_rides
+    middle = facts.agg(F.timestamp_seconds((F.min(F.unix_timestamp("event_ts")) + F.max(F.unix_timestamp("event_ts"))) / 2)).scalar()
+    first = facts.where(F.col("event_ts") <= middle)
+    # closed by the first increment: windows that end before its last completed ride, less the delay
+    last = first.where("event_type = 'end'").agg(F.max("event_ts")).scalar()
+    closed = first.where(F.date_trunc("hour", "event_ts") + F.expr("INTERVAL 1 HOUR") <= last - F.expr("INTERVAL 1 MINUTE"))
+    late = closed.withColumn("ride_id", F.concat(F.lit("late-"), "ride_id"))
+    first.write.parquet(lake.table("gold", "fact_rides"))
+    f.fact_telemetry.limit(0).write.parquet(lake.table("gold", "fact_telemetry"))
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True, state_partitions=_cores(f))
+    facts.where(F.col("event_ts") > middle).union(late).write.mode("append").parquet(lake.table("gold", "fact_rides"))
+    L.run_incremental(f.spark, lake, layers=("mart",), window=K.HOURLY, exact=True, state_partitions=_cores(f))
+    return lake.read(f.spark, "mart", "mart_revenue_hourly")
+
+
+@_register("stream_resume", BATCH_ORACLE["silver_rides_valid"])
+def stream_resume(f: Frames):
+    """Two increments of messages, and a third without any: each run resumes from its
+    checkpoint, and every message is in the table once (W6)."""
+    lake = Lake.fresh(f.spark, "resume")
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1, F.lit(False)):
+        L.publish(sample.messages(f.events.where(part), "rides"), lake, TOPICS["rides"])
+        L.publish(sample.messages(f.events.where(part), "telemetry"), lake, TOPICS["telemetry"])
+        L.run_incremental(f.spark, lake, layers=("bronze", "silver"))
+    return lake.read(f.spark, "silver", TOPICS["rides"])
+
+
+@_register("stream_bronze_continuous", BATCH_ORACLE["bronze_parse_rides"])
+def stream_bronze_continuous(f: Frames):
+    """Continuous ingest (S4) until one of its queries stops, which ends the layer."""
+    from velolake.operators import silver
+    from velolake.streaming.sinks import run_layer
+    lake = _published(f, "continuous")
+    queries = L.start_bronze(f.spark, lake, trigger="continuous")
+    for q in queries:
+        q.processAllAvailable()
+    queries[-1].stop()
+    run_layer(queries, wait="any", timeout_s=600)
+    return silver.parse_rides(lake.read(f.spark, "bronze", TOPICS["rides"]))
+
+
+@_register("folder_scan", BASE + "SELECT * FROM fact_rides UNION ALL SELECT * FROM fact_rides")
+def folder_scan(f: Frames):
+    """Every file of a stream's table folder, also one its log does not list."""
+    from velolake import schemas
+    from velolake.sources.tables import read_folder
+    lake = _with_batch_facts(f, "folder")
+    out = lake.table("gold", "copy")
+    L.run_layer([L.append_sink(lake.read_stream(f.spark, "gold", "fact_rides"), out, lake.checkpoint("gold", "copy"))])
+    f.fact_rides.write.mode("append").parquet(out)
+    return read_folder(f.spark, out, schemas.FACT_RIDES)
+
+
+@_register("mart_folder_listing", BASE + """
+    SELECT 'mart_revenue_hourly' AS "table", CAST(3 AS BIGINT) AS files, true AS has_time
+    UNION ALL SELECT 'not there', 0, false""")
+def mart_folder_listing(f: Frames):
+    """The file card of a mart written as three files, and of a folder that is not there."""
+    from velolake.sources.tables import folder_inventory
+    lake = Lake.fresh(f.spark, "listing")
+    f.mart_revenue.repartition(3).write.parquet(lake.table("mart", "mart_revenue_hourly"))
+
+    def card(path: str, name: str) -> DataFrame:
+        return folder_inventory(f.spark, path).select(
+            F.lit(name).alias("table"), "files", F.col("latest_file_time").isNotNull().alias("has_time"))
+
+    return card(lake.table("mart", "mart_revenue_hourly"), "mart_revenue_hourly").union(
+        card(lake.table("mart", "nothing"), "not there"))
+
+
 @_register("mart_file_freshness")
 def mart_file_freshness(f: Frames):
     """Data files and newest file time of both marts as written by a stream.

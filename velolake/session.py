@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # SQL settings every velolake plan relies on, applied to any session it runs in:
 # event-time logic (hour truncation, calendar parts, window bounds) is defined in UTC.
@@ -21,6 +20,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Splits follow the data (row groups of up to 128 MB); a small open cost lets a table of
+    # many small files use all cores.
+    "spark.sql.files.openCostInBytes": "1m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -104,25 +106,13 @@ def apply_required_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-def min_parallel(df: DataFrame) -> DataFrame:
-    """Spread a source over at least ``defaultParallelism`` partitions.
-
-    Only a source with fewer scan splits than cores (a small single-file table) is
-    repartitioned; a large input already has more splits than cores and is left as is,
-    so no shuffle is added at scale.  Used before CPU-heavy per-row work (JSON).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and written tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only where
-    neither is set (local tests) do we create one and register it as the checkpoint
-    dir, so later ``DataFrame.checkpoint()`` calls land in the same place.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Where neither is
+    set, a session that runs in one process (``local[...]``, as in tests) gets a folder of
+    its own, registered as the checkpoint dir; on a cluster that is an error, as executors
+    would each write to their own disk.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -130,6 +120,9 @@ def shared_dir(spark: SparkSession) -> str:
     ctx_dir = spark.sparkContext.getCheckpointDir()
     if ctx_dir:
         return ctx_dir.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that the whole cluster shares (master {master})")
     local = tempfile.mkdtemp(prefix="velolake-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
@@ -137,7 +130,4 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_lake_root(spark: SparkSession, label: str = "lake") -> str:
     """A fresh lake folder under the shared dir, so a run never resumes an old checkpoint."""
-    root = f"{shared_dir(spark)}/velolake/{label}-{uuid.uuid4().hex[:12]}"
-    if root.startswith("/"):
-        os.makedirs(root, exist_ok=True)
-    return root
+    return f"{shared_dir(spark)}/velolake/{label}-{uuid.uuid4().hex[:12]}"

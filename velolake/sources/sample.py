@@ -13,9 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velolake.constants import CITIES
 from velolake.session import per_context
 
+# City names of the derived rides; two differ in case only, as cities are not case-folded.
+CITIES = ["Aarhus", "Bergen", "bergen", "Cork", "Dresden", "Esbjerg", "Fes", "Graz", "Hull", "Izmir"]
+
 # --- fixed values: test-payload domains that fall outside the allowed sets ---------
 PAYMENT_CYCLE = ["card", "wallet", "cash", "crypto"]
 STATUS_CYCLE = ["available", "in_use", "charging", "maintenance", "lost"]
@@ -44,19 +46,20 @@ def ride_payload() -> Column:
     et = F.col("event_type")
     eid = F.col("event_id")
     return F.struct(
-        F.concat(F.lit("R-"), eid.cast("string")).alias("ride_id"),
-        F.col("user_id").alias("user_id"),
-        _scooter().alias("scooter_id"),
+        F.when(eid % 101 != 7, F.concat(F.lit("R-"), eid.cast("string"))).alias("ride_id"),
+        F.when(eid % 103 != 5, F.col("user_id")).alias("user_id"),
+        F.when(eid % 107 != 3, _scooter()).alias("scooter_id"),
         (F.when(et.isin("purchase", "click"), F.lit("end"))
           .when(et == "view", F.lit("start"))
           .when(et == "error", F.lit("error"))).alias("event_type"),
-        _epoch_ms().alias("timestamp"),
+        F.when(eid % 109 != 2, _epoch_ms()).alias("timestamp"),
         (eid % 200).alias("duration_mins"),
         F.col("value").alias("distance_km"),
         (F.col("value") - F.lit(1.0)).alias("fare_amount"),
         F.when(eid % 17 != 0, _pick(CITIES, eid % 10)).alias("city"),
         _pick(PAYMENT_CYCLE, eid % 4).alias("payment_method"),
-        (F.when(et == "view", F.lit("in_progress"))
+        (F.when(eid % 113 == 1, F.lit("paused"))
+          .when(et == "view", F.lit("in_progress"))
           .when(et == "purchase", F.lit("completed"))
           .when(et == "click", F.lit("cancelled"))).alias("ride_status"),
     )
@@ -67,11 +70,11 @@ def telemetry_payload() -> Column:
     eid = F.col("event_id")
     v = F.col("value")
     return F.struct(
-        _scooter().alias("scooter_id"),
+        F.when(eid % 101 != 3, _scooter()).alias("scooter_id"),
         F.when(eid % 13 != 0, eid % 121 - 10).alias("battery_level"),
         (v - F.lit(90)).alias("latitude"),
         (F.lit(180) - v).alias("longitude"),
-        _epoch_ms().alias("timestamp"),
+        F.when(eid % 103 != 4, _epoch_ms()).alias("timestamp"),
         (v / F.lit(8)).alias("speed_kmh"),
         (v * F.lit(10) - F.lit(5)).alias("odometer_km"),
         (v - F.lit(20)).alias("temperature_c"),
@@ -83,8 +86,13 @@ def telemetry_payload() -> Column:
 
 @per_context
 def _envelopes() -> dict[str, list[Column]]:
-    return {kind: [F.to_json(make()).cast("binary").alias("value"), _arrival().alias("timestamp")]
-            for kind, make in (("rides", ride_payload), ("telemetry", telemetry_payload))}
+    eid = F.col("event_id")
+    ride, telemetry = F.to_json(ride_payload()), F.to_json(telemetry_payload())
+    # some rides carry text where a number belongs, some messages are no JSON at all
+    mistyped = F.regexp_replace(ride, '"duration_mins":[0-9]+', '"duration_mins":"long"')
+    text = {"rides": F.when(eid % 131 == 6, mistyped).otherwise(ride), "telemetry": telemetry}
+    return {kind: [F.when(eid % 127 == 9, F.lit("{broken")).otherwise(json).cast("binary").alias("value"),
+                   _arrival().alias("timestamp")] for kind, json in text.items()}
 
 
 def messages(events: DataFrame, kind: str) -> DataFrame:

@@ -15,19 +15,35 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def is_missing(exc: AnalysisException) -> bool:
+    """True for a path that does not exist or holds no data file; any other error is real."""
+    return exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                merge_schema: bool = False) -> DataFrame:
     """Snapshot of a lake table.  A Parquet streaming sink's folder is read through its
     ``_spark_metadata`` log, so only committed files are seen.  A missing or empty
-    table gives an empty frame of ``schema`` when one is known.
+    table gives an empty frame of ``schema`` when one is given, and is an error otherwise.
     """
     reader = spark.read
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
     try:
         return reader.parquet(path)
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as exc:
+        if schema is None or not is_missing(exc):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_folder(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows of every ``*.parquet`` file in ``path``, whether a sink's log lists it or not; an
+    empty frame when there is none."""
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/*.parquet")
+    except AnalysisException as exc:
+        if not is_missing(exc):
             raise
         return spark.createDataFrame([], schema)
 
@@ -45,9 +61,11 @@ def folder_inventory(spark: SparkSession, path: str) -> DataFrame:
     plain folder listing sees them: count, newest modification time, and that time as
     ``yyyy-MM-dd HH:mm:ss`` text or ``"No files"``.  File contents are never read."""
     try:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .load(path).select("path", "modificationTime"))
-    except AnalysisException:
+        # A pattern, not the folder: a folder with a sink's log is listed by that log only.
+        files = spark.read.format("binaryFile").load(f"{path}/*.parquet").select("path", "modificationTime")
+    except AnalysisException as exc:
+        if not is_missing(exc):
+            raise
         files = spark.createDataFrame([], "path string, modificationTime timestamp")
     return files.agg(F.count(F.lit(1)).alias("files"),
                      F.max("modificationTime").alias("latest_file_time")) \

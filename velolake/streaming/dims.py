@@ -3,9 +3,10 @@
 ``merge`` mode (default) runs each micro-batch as a batch job: the batch's distinct
 keys (partial aggregation, so a key carried by a third of the rows leaves every task
 as one row), minus the keys already written by *earlier* batches (left anti join),
-written to the folder ``batch_id=<id>``.  Re-running a batch id after a failure
+written to a folder of the batch's own.  Re-running a batch id after a failure
 overwrites that folder with the same rows, so the table stays exactly-once; the table
-itself is the dedup state and grows with distinct keys only.
+itself is the dedup state and grows with distinct keys only.  The number of folders is
+bounded: see :func:`merge_writer`.
 
 ``state`` mode is the plain ``withWatermark`` + ``dropDuplicates([key])`` operator.
 As the key has no event-time column, the watermark never expires state (every key is
@@ -21,41 +22,82 @@ from pyspark.errors import AnalysisException
 
 from velolake import constants as K
 from velolake.functions.time import calendar_parts, hour_start
+from velolake.sources.tables import is_missing
 
 BATCH_COL = "batch_id"
+FULL_COL = "full"        # 1: the folder holds the whole table up to its batch
+COMPACT_AFTER = 16       # folders after which a batch writes the whole table
 
 
-def _existing(spark, path: str, batch_id: int, keys: list[str]) -> DataFrame | None:
+def _parts(spark, path: str) -> DataFrame | None:
     try:
-        prior = spark.read.parquet(path)
-    except AnalysisException:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if not is_missing(exc):
+            raise
         return None
-    return prior.filter(F.col(BATCH_COL) < F.lit(batch_id)).select(*keys)
 
 
-def merge_writer(path: str, keys: list[str], finish=None):
+def _current(parts: DataFrame, before: int | None = None) -> tuple[DataFrame, int]:
+    """The table's rows as of the batches before ``before``, and in how many folders they
+    are: the last whole table, and what came after it.  Only folder names are looked at."""
+    if before is not None:
+        parts = parts.filter(F.col(BATCH_COL) < before)
+    folders = parts.select(FULL_COL, BATCH_COL).distinct().collect()  # at most COMPACT_AFTER and some
+    base = max((r[BATCH_COL] for r in folders if r[FULL_COL] == 1), default=-1)
+    return parts.filter(F.col(BATCH_COL) >= base), sum(r[BATCH_COL] >= base for r in folders)
+
+
+def _drop_folders(spark, path: str, below: int) -> None:
+    """Remove the folders of batches below a whole table that an earlier batch has written."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for flag in (0, 1):
+        kind = jvm.org.apache.hadoop.fs.Path(root, f"{FULL_COL}={flag}")
+        for status in (fs.listStatus(kind) if fs.exists(kind) else []):
+            name = status.getPath().getName()
+            if name.startswith(f"{BATCH_COL}=") and int(name.split("=")[1]) < below:
+                fs.delete(status.getPath(), True)
+
+
+def merge_writer(path: str, keys: list[str], finish=None, compact_after: int = COMPACT_AFTER):
     """``foreachBatch`` function appending new distinct ``keys`` to the table at ``path``.
-    ``finish`` maps the new keys to the stored columns (e.g. adds calendar parts)."""
+    ``finish`` maps the new keys to the stored columns (e.g. adds calendar parts).
+
+    A batch without new keys writes nothing.  Once ``compact_after`` folders have gathered,
+    a batch with new keys writes the whole table, and the batch after that drops the older
+    folders: a batch that is run again still finds all it was run on."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         fresh = batch_df.select(*keys).dropna(subset=keys).distinct()
-        prior = _existing(spark, path, batch_id, keys)
+        parts = _parts(spark, path)
+        prior, folders = (None, 0) if parts is None else _current(parts, batch_id)
         if prior is not None:
-            fresh = fresh.join(prior, on=keys, how="left_anti")
-        out = finish(fresh) if finish else fresh
-        out.write.mode("overwrite").parquet(f"{path}/{BATCH_COL}={batch_id}")
+            fresh = fresh.join(prior.select(*keys), on=keys, how="left_anti")
+        new = (finish(fresh) if finish else fresh).persist()
+        try:
+            if new.isEmpty():
+                return
+            out = new
+            full = folders >= compact_after
+            if full:
+                _drop_folders(spark, path, min(r[0] for r in prior.select(F.min(BATCH_COL)).collect()))
+                out = prior.drop(FULL_COL, BATCH_COL).unionByName(new).coalesce(1)
+            out.write.mode("overwrite").parquet(f"{path}/{FULL_COL}={int(full)}/{BATCH_COL}={batch_id}")
+        finally:
+            new.unpersist()
     return write
 
 
 def read_dimension(spark, path: str, schema=None) -> DataFrame:
-    """Batch read of a ``merge``-mode dimension, without the batch column."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
+    """Batch read of a dimension of either mode, without the folder columns."""
+    parts = _parts(spark, path)
+    if parts is None:
         if schema is None:
-            raise
+            raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
-    return df.drop(BATCH_COL)
+    return _current(parts)[0].drop(FULL_COL, BATCH_COL) if FULL_COL in parts.columns else parts
 
 
 def dedup_state(stream: DataFrame, key: str, watermark: str = K.DEDUP_WATERMARK) -> DataFrame:

@@ -37,12 +37,14 @@ class Lake:
         layer = "silver" if route == "valid" else "silver_bad_data"
         return self.table(layer, name), self.checkpoint(layer, name)
 
-    def read(self, spark: SparkSession, layer: str, name: str, merge_schema: bool = False) -> DataFrame:
-        """Batch snapshot; an absent table reads as empty with its known schema.
+    def read(self, spark: SparkSession, layer: str, name: str, merge_schema: bool = False,
+             strict: bool = False) -> DataFrame:
+        """Batch snapshot; an absent table reads as empty with its known schema, or is an
+        error if ``strict``.
         ``merge_schema`` unions the columns of files written before and after a payload
         gained fields (older rows read NULL there)."""
-        return read_table(spark, self.table(layer, name), schemas.TABLE_SCHEMAS.get(f"{layer}/{name}"),
-                          merge_schema=merge_schema)
+        schema = None if strict else schemas.TABLE_SCHEMAS.get(f"{layer}/{name}")
+        return read_table(spark, self.table(layer, name), schema, merge_schema=merge_schema)
 
     def read_stream(self, spark: SparkSession, layer: str, name: str,
                     max_files_per_trigger: int | None = None, schema=None) -> DataFrame:

@@ -16,6 +16,7 @@ run.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from velolake import constants as K
@@ -25,6 +26,7 @@ from velolake.streaming import dims as D
 from velolake.streaming.lake import TOPICS, Lake
 from velolake.streaming.sinks import append_sink, batch_sink, run_layer
 
+DAY_FILES = 4  # files a day in one batch of date-partitioned facts
 GOLD_TABLES = ("fact_rides", "fact_telemetry", "dim_payment_method", "dim_city", "dim_time_hourly")
 
 
@@ -74,7 +76,11 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
     ``date_partitioned`` stores the facts by ``event_date`` (see :func:`gold.with_event_date`)."""
     def facts_sink(df: DataFrame, path: str, ckpt: str):
         if date_partitioned:
-            return append_sink(gold.with_event_date(df), path, ckpt, trigger, partition_by=["event_date"])
+            # A day's rows go to DAY_FILES tasks, so a batch writes at most that many files a
+            # day however many tasks read it, and a hot day is still shared.
+            dated = gold.with_event_date(df)
+            salt = F.pmod(F.xxhash64(*df.columns), F.lit(DAY_FILES))
+            return append_sink(dated.repartition("event_date", salt), path, ckpt, trigger, partition_by=["event_date"])
         return append_sink(df, path, ckpt, trigger)
 
     def rides() -> DataFrame:
@@ -85,7 +91,9 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
 
     out = []
     for t in tables:
-        path, ckpt = lake.table("gold", t), lake.checkpoint("gold", t)
+        # the two kinds of dimension keep different state, so each has a checkpoint of its own
+        own = f"{t}_state" if t.startswith("dim_") and dims == "state" else t
+        path, ckpt = lake.table("gold", t), lake.checkpoint("gold", own)
         if t == "fact_rides":
             out.append(facts_sink(rides().select(*gold.FACT_RIDES_COLUMNS), path, ckpt))
         elif t == "fact_telemetry":

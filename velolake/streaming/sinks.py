@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from velolake.session import scoped_conf
 
-TRIGGERS = ("available_now", "continuous", "once_per")
+
+def _check_trigger(trigger: str) -> None:
+    if trigger not in ("available_now", "continuous"):
+        raise ValueError(f"trigger must be 'available_now' or 'continuous', got {trigger!r}")
 
 
 def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "available_now",
@@ -29,6 +34,7 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "avail
     its state every batch, so size it to the cluster's cores rather than inheriting a
     batch-oriented ``spark.sql.shuffle.partitions``.
     """
+    _check_trigger(trigger)
     w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -36,11 +42,8 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "avail
         w = w.queryName(name)
     if trigger == "available_now":
         w = w.trigger(availableNow=True)
-    elif trigger == "continuous":
-        if interval:
-            w = w.trigger(processingTime=interval)
-    else:
-        raise ValueError(f"trigger must be 'available_now' or 'continuous', got {trigger!r}")
+    elif interval:
+        w = w.trigger(processingTime=interval)
     # A stream copies the session conf when it starts, so the scope only needs to cover start().
     with scoped_conf(df.sparkSession, "spark.sql.shuffle.partitions", state_partitions):
         return w.start(path)
@@ -49,6 +52,7 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "avail
 def batch_sink(df: DataFrame, fn, checkpoint: str, trigger: str = "available_now",
                name: str | None = None) -> StreamingQuery:
     """Start a ``foreachBatch`` query; ``fn(batch_df, batch_id)`` must be idempotent per id."""
+    _check_trigger(trigger)
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -65,27 +69,28 @@ def rows_dropped_by_watermark(query: StreamingQuery) -> int:
 
 
 def run_layer(queries: list[StreamingQuery], wait: str = "all", timeout_s: float | None = None,
-              spark=None) -> None:
+              poll_s: float = 0.2) -> None:
     """Wait for a layer's queries: ``all`` (incremental layers) or ``any`` (continuous
-    ingest: return as soon as one stops, then stop the others; needs ``spark``).
-    A failed query raises its exception."""
+    ingest: return as soon as one of *these* stops, or after ``timeout_s``, then stop the
+    others).  A failed query raises its exception; ``all`` raises ``TimeoutError`` if a query
+    still runs after ``timeout_s``, as the next layer would read an incomplete table."""
+    if wait not in ("all", "any"):
+        raise ValueError("wait must be 'all' or 'any'")
+    end = None if timeout_s is None else time.monotonic() + timeout_s
     if wait == "all":
         for q in queries:
-            if timeout_s:
-                q.awaitTermination(timeout_s)
-            else:
+            if end is None:
                 q.awaitTermination()
+            elif not q.awaitTermination(max(0.001, end - time.monotonic())):
+                raise TimeoutError(f"query {q.name or q.id} still runs after {timeout_s} s")
             if q.exception():
                 raise q.exception()
         return
-    if wait != "any":
-        raise ValueError("wait must be 'all' or 'any'")
-    if not queries:
-        return
-    if timeout_s:
-        spark.streams.awaitAnyTermination(timeout_s)
-    else:
-        spark.streams.awaitAnyTermination()
+    while queries and all(q.isActive for q in queries) and (end is None or time.monotonic() < end):
+        time.sleep(poll_s)
     for q in queries:
         if q.isActive:
             q.stop()
+    for q in queries:
+        if q.exception():
+            raise q.exception()
