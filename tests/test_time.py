@@ -27,3 +27,9 @@ def test_calendar_parts_sunday_is_one(spark):
         .select(F.col("h").cast("timestamp").alias("h"))
     r = df.select(*calendar_parts("h")).first()
     assert (r.year, r.month, r.day, r.day_of_week, r.hour) == (2024, 1, 7, 1, 10)
+
+
+def test_epochs_that_no_timestamp_holds_are_counted(spark):
+    from velolake.operators import gold
+    df = spark.createDataFrame([(0,), (10 ** 18,), (-10 ** 18,), (None,), (1711425045123,)], "timestamp long")
+    assert tuple(gold.epoch_rejects(df).first()) == (2, 5)

@@ -17,6 +17,13 @@ def with_event_ts(silver: DataFrame) -> DataFrame:
     return silver.withColumn("event_ts", epoch_ms_to_ts("timestamp")).filter(F.col("event_ts").isNotNull())
 
 
+def epoch_rejects(silver: DataFrame) -> DataFrame:
+    """Valid rows whose epoch lies outside the timestamp range: the facts leave them out, and
+    nothing else reports them."""
+    lost = F.col("timestamp").isNotNull() & epoch_ms_to_ts("timestamp").isNull()
+    return silver.agg(F.count_if(lost).alias("epoch_rejects"), F.count(F.lit(1)).alias("valid_rows"))
+
+
 def fact_rides(silver_rides: DataFrame) -> DataFrame:
     return with_event_ts(silver_rides).select(*FACT_RIDES_COLUMNS)
 

@@ -104,6 +104,13 @@ def fact_telemetry(f: Frames):
     return f.fact_telemetry
 
 
+@register("fact_epoch_rejects")
+def fact_epoch_rejects(f: Frames):
+    """Valid rows of both topics that the facts leave out for their epoch."""
+    return (gold.epoch_rejects(f.silver_rides).select(F.lit("ride_events").alias("source"), "*")
+            .unionByName(gold.epoch_rejects(f.silver_telemetry).select(F.lit("telemetry").alias("source"), "*")))
+
+
 @register("dim_payment_method")
 def dim_payment_method(f: Frames):
     return gold.dim_payment_method(f.fact_rides)

@@ -312,6 +312,11 @@ ORACLE: dict[str, str] = {
         GROUP BY source, reason""",
     "fact_rides": BASE + "SELECT * FROM fact_rides",
     "fact_telemetry": BASE + "SELECT * FROM fact_tel",
+    "fact_epoch_rejects": BASE + """
+        SELECT 'ride_events' AS source, count(*) FILTER (WHERE abs("timestamp" // 1000) > 9223372036854) AS epoch_rejects,
+               count(*) AS valid_rows FROM silver_rides
+        UNION ALL
+        SELECT 'telemetry', count(*) FILTER (WHERE abs("timestamp" // 1000) > 9223372036854), count(*) FROM silver_tel""",
     "dim_payment_method": BASE + "SELECT DISTINCT payment_method FROM fact_rides WHERE payment_method IS NOT NULL",
     "dim_city": BASE + "SELECT DISTINCT city FROM fact_rides WHERE city IS NOT NULL",
     "dim_time_hourly": BASE + """
