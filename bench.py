@@ -28,6 +28,8 @@ HEADLINE = [
     "mart_revenue",
     "mart_fleet_health",
     "mart_revenue_minutely",
+    "mart_revenue_default",
+    "mart_fleet_health_default",
     "validation_report",
     "kpi_fleet",
     "last10_revenue",
