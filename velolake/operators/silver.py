@@ -94,6 +94,12 @@ def undecided_rows(validated: DataFrame) -> DataFrame:
     return validated.filter(F.col("is_valid").isNull()).drop("is_valid", "error_message")
 
 
+def _why_undecided(rules: list[R.Rule]):
+    return F.concat_ws(K.ERROR_SEPARATOR, *[
+        F.when(r.ok.isNull(), F.lit(f"{r.column} is null")) for r in rules
+    ])
+
+
 def quarantine_rows(validated: DataFrame, rules: list[R.Rule] | None = None,
                     undecided: str = "drop") -> DataFrame:
     """Rows to quarantine, keeping ``error_message``.
@@ -109,13 +115,10 @@ def quarantine_rows(validated: DataFrame, rules: list[R.Rule] | None = None,
         return validated.filter(F.col("is_valid") == F.lit(False)).drop("is_valid")
     if rules is None:
         raise ValueError("undecided='quarantine' needs the rule list")
-    why = F.concat_ws(K.ERROR_SEPARATOR, *[
-        F.when(r.ok.isNull(), F.lit(f"{r.column} is null")) for r in rules
-    ])
     return (validated
             .filter(F.coalesce(F.col("is_valid"), F.lit(False)) == F.lit(False))
             .withColumn("error_message",
-                        F.when(F.col("is_valid").isNull(), why).otherwise(F.col("error_message")))
+                        F.when(F.col("is_valid").isNull(), _why_undecided(rules)).otherwise(F.col("error_message")))
             .drop("is_valid"))
 
 
@@ -125,6 +128,26 @@ def split(validated: DataFrame, rules: list[R.Rule] | None = None,
     return valid_rows(validated), quarantine_rows(validated, rules, undecided)
 
 
+VALID, INVALID = "valid", "invalid"
+
+
+def routed(validated: DataFrame, rules: list[R.Rule] | None = None, undecided: str = "drop") -> DataFrame:
+    """Both routes in one frame, told apart by ``route``: a sink partitioned by it needs one
+    parse of the input.  ``error_message`` is NULL on the valid route."""
+    if undecided not in UNDECIDED_MODES:
+        raise ValueError(f"undecided must be one of {UNDECIDED_MODES}")
+    ok, message = F.col("is_valid"), F.col("error_message")
+    if undecided == "drop":
+        validated = validated.filter(ok.isNotNull())
+    elif rules is None:
+        raise ValueError("undecided='quarantine' needs the rule list")
+    else:
+        message = F.when(ok.isNull(), _why_undecided(rules)).otherwise(message)
+    valid = F.coalesce(ok, F.lit(False))
+    return (validated.withColumn("error_message", F.when(~valid, message))
+            .withColumn("route", F.when(valid, F.lit(VALID)).otherwise(F.lit(INVALID))).drop("is_valid"))
+
+
 def reasons(quarantine: DataFrame, source: str | None = None) -> DataFrame:
     """One row per failed rule message of each quarantined row (narrow ``explode``)."""
     r = F.explode(F.split(F.col("error_message"), r"\|")).alias("reason")

@@ -133,6 +133,9 @@ MART_FLEET = _struct(
     ("scooters_in_maintenance", LongType()),
 )
 
+# The stored silver table of a topic: both routes, in folders of their own.
+ROUTE = StructField("route", StringType(), True)
+
 # Table name -> schema, used for empty-table fallbacks and streaming sources.
 TABLE_SCHEMAS = {
     "bronze/ride_events": BRONZE,

@@ -5,11 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from velolake import schemas
 from velolake.session import new_lake_root
 from velolake.sources.tables import read_table
 
+# A topic's silver table is stored once, with a folder for each route.
+ROUTES = {"silver": "valid", "silver_bad_data": "invalid"}
 TOPICS = {"rides": "ride_events", "telemetry": "telemetry"}
 
 
@@ -32,26 +36,34 @@ class Lake:
         """Folder standing in for a message topic: envelope files (``value``, ``timestamp``)."""
         return f"{self.root}/landing/{topic}"
 
-    def silver_route(self, name: str, route: str = "valid") -> tuple[str, str]:
-        """(table path, checkpoint path) for the valid or quarantine route of a silver table."""
-        layer = "silver" if route == "valid" else "silver_bad_data"
-        return self.table(layer, name), self.checkpoint(layer, name)
-
     def read(self, spark: SparkSession, layer: str, name: str, merge_schema: bool = False,
              strict: bool = False) -> DataFrame:
         """Batch snapshot; an absent table reads as empty with its known schema, or is an
         error if ``strict``.
         ``merge_schema`` unions the columns of files written before and after a payload
         gained fields (older rows read NULL there)."""
-        schema = None if strict else schemas.TABLE_SCHEMAS.get(f"{layer}/{name}")
-        return read_table(spark, self.table(layer, name), schema, merge_schema=merge_schema)
+        known = schemas.TABLE_SCHEMAS.get(f"{layer}/{name}")
+        schema = None if strict else known
+        if layer not in ROUTES:
+            return read_table(spark, self.table(layer, name), schema, merge_schema=merge_schema)
+        df = read_table(spark, self.table("silver", name), schema, merge_schema=merge_schema)
+        if "route" not in df.columns:  # a table that a batch job wrote for one route
+            return df
+        columns = [c for c in df.columns if c != "route" and (c != "error_message" or layer != "silver")]
+        return df.where(F.col("route") == ROUTES[layer]).select(*(columns if merge_schema else known.fieldNames()))
 
     def read_stream(self, spark: SparkSession, layer: str, name: str,
                     max_files_per_trigger: int | None = None, schema=None) -> DataFrame:
         """Incremental read of a table's appends (S2); the schema is pinned, as file
         streams require (``schema`` overrides the table's default, e.g. with a partition
         column)."""
-        reader = spark.readStream.schema(schema or schemas.TABLE_SCHEMAS[f"{layer}/{name}"])
+        known = schema or schemas.TABLE_SCHEMAS[f"{layer}/{name}"]
+        stored = StructType([*known.fields, schemas.ROUTE]) if layer in ROUTES else known
+        reader = spark.readStream.schema(stored)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        return reader.parquet(self.table(layer, name))
+        if layer not in ROUTES:
+            return reader.parquet(self.table(layer, name))
+        # the route is a folder, so the other route's files are not read; a batch-written table has none
+        mine = F.coalesce("route", F.lit(ROUTES[layer])) == ROUTES[layer]
+        return reader.parquet(self.table("silver", name)).where(mine).drop("route")

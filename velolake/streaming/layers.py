@@ -53,7 +53,8 @@ def start_bronze(spark: SparkSession, lake: Lake, trigger: str = "available_now"
 
 def start_silver(spark: SparkSession, lake: Lake, undecided: str = "drop", trigger: str = "available_now",
                  max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
-    """bronze -> parse -> rules -> ``silver/<t>`` and ``silver_bad_data/<t>`` (4 queries)."""
+    """bronze -> parse -> rules -> ``silver/<t>``, one query and one parse a topic; the valid
+    and the quarantine route are folders of that table, which its readers prune on."""
     jobs = [
         (TOPICS["rides"], silver.parse_rides, silver.ride_rules),
         (TOPICS["telemetry"], silver.parse_telemetry, silver.telemetry_rules),
@@ -62,10 +63,8 @@ def start_silver(spark: SparkSession, lake: Lake, undecided: str = "drop", trigg
     for table, parse, rules in jobs:
         validated = silver.apply_rules_to(parse(lake.read_stream(spark, "bronze", table, max_files_per_trigger)),
                                           rules())
-        valid, bad = silver.split(validated, rules(), undecided)
-        for route, df in (("valid", valid), ("invalid", bad)):
-            path, ckpt = lake.silver_route(table, route)
-            out.append(append_sink(df, path, ckpt, trigger))
+        out.append(append_sink(silver.routed(validated, rules(), undecided), lake.table("silver", table),
+                               lake.checkpoint("silver", table), trigger, partition_by=["route"]))
     return out
 
 
