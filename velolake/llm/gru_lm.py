@@ -34,6 +34,7 @@ RATE = 0.1
 STREAMS = 64         # documents learned from side by side
 WINDOW = 16          # steps through which an error is passed back
 SCORED = 1024        # documents scored side by side
+SLICE = 4096         # documents whose tokens a task holds at once
 FLUSH = 1 << 19      # different words that a task counts before it passes them on
 FAN = 64             # partial averages of the parameters
 
@@ -91,7 +92,7 @@ class Vocabulary:
         words = self.words.split(b"\n") if self.words else []
         self.number = dict(zip(words, range(1, len(words) + 1)))
         tail = [HEAD_CLASSES + tail_class(w) for w in words[self.head - 1:]]
-        self.classes = np.concatenate([self.head_class, np.array(tail, np.int64)])
+        self.classes = np.concatenate([self.head_class, np.array(tail, np.int64)]).astype(np.int8)
         self.log_count = np.log10(self.counts + 1.0)
         self.log_tail = np.log10(self.tail_mass)
 
@@ -99,15 +100,15 @@ class Vocabulary:
         """Numbers of the tokens with the end (-1: not broadcast), their classes, rare words."""
         numbers, classes, rare = [], [], []
         for words in word_blocks(text.lower()):
-            got = np.array(list(map(self.number.get, words, repeat(-1))), np.int64)
+            got = np.array(list(map(self.number.get, words, repeat(-1))), np.int32)
             kind = self.classes[got]
             for at in np.flatnonzero(got < 0).tolist():
                 kind[at] = HEAD_CLASSES + tail_class(words[at])
                 rare.append(words[at])
             numbers.append(got)
             classes.append(kind)
-        return (np.concatenate([*numbers, [0]]).astype(np.int64),
-                np.concatenate([*classes, [self.classes[0]]]).astype(np.int64), rare)
+        return (np.concatenate([*numbers, [0]]).astype(np.int32),
+                np.concatenate([*classes, self.classes[:1]]).astype(np.int8), rare)
 
 
 def learn_vocabulary(counts: DataFrame, train_docs: int) -> Vocabulary:
@@ -115,11 +116,10 @@ def learn_vocabulary(counts: DataFrame, train_docs: int) -> Vocabulary:
     total = counts.agg(F.sum("n"), F.count("n")).first()
     tokens, distinct = (total[0] or 0) + train_docs, total[1] + (train_docs > 0)
     often = counts.where(F.col("n") >= TAU * tokens).orderBy(F.desc("n"), "word").toPandas()
-    raw = F.col("word").cast("binary")
     shape = F.crc32(F.expr("substring(cast(word as binary), -2, 2)")) % TAIL_CLASSES
     head = often["word"][:HEAD].tolist()
     mass = np.ones(TAIL_CLASSES)
-    rows = counts.select(shape.cast("int").alias("k"), "n", F.octet_length(raw)).groupBy("k").agg(F.sum("n"), F.count("n")).collect()
+    rows = counts.select(shape.cast("int").alias("k"), "n").groupBy("k").agg(F.sum("n"), F.count("n")).collect()
     for k, n, different in rows:
         mass[k] += n + different
     for word, n in zip(head, often["n"][:HEAD]):
@@ -168,7 +168,7 @@ class Network:
 
     def inputs_of(self, numbers: np.ndarray, classes: np.ndarray) -> np.ndarray:
         head = (numbers >= 0) & (numbers < self.vocab.head)
-        return np.where(head, numbers, self.vocab.head + classes - HEAD_CLASSES)
+        return np.where(head, numbers, self.vocab.head - HEAD_CLASSES + classes.astype(np.int64))
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         e, u = self.p["E"][x], h @ self.p["U"]
@@ -289,19 +289,21 @@ class Network:
 
 
 def average(trained: DataFrame) -> np.ndarray | None:
-    """Mean of the rows' ``flat`` parameters by ``weight``, in two levels of groups."""
+    """Mean of the rows' ``flat`` parameters by ``weight``, in two levels of groups: the second
+    has at most ``FAN`` rows of the model's size."""
     def add(group: pa.Table) -> pa.Table:
         total, weight = None, 0.0
         for flat, w in zip(group["flat"], group["weight"].to_pylist()):
-            part = np.frombuffer(flat.as_py(), np.float64)
-            total = part if total is None else total + part
+            part = np.frombuffer(flat.as_py(), np.float32) * float(w)
+            total = part.astype(np.float64) if total is None else total + part
             weight += w
-        return pa.table({"part": group["part"].slice(0, 1), "weight": [weight], "flat": [total.tobytes()]})
+        mean = (total / weight).astype(np.float32)
+        return pa.table({"part": group["part"].slice(0, 1), "weight": [weight], "flat": [mean.tobytes()]})
 
     schema = "part int, weight double, flat binary"
     parts = trained.groupBy("part").applyInArrow(add, schema).withColumn("part", F.lit(0))
     row = parts.groupBy("part").applyInArrow(add, schema).first()
-    return np.frombuffer(row["flat"], np.float64) / row["weight"] if row else None
+    return np.frombuffer(row["flat"], np.float32) if row else None
 
 
 def train_network(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
@@ -331,11 +333,11 @@ def train_network(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
                 part = TaskContext.get().partitionId() % FAN
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part], pa.int32()), pa.array([float(tokens)]),
-                     pa.array([(net.flat().astype(np.float64) * tokens).tobytes()], pa.binary())], names=["part", "weight", "flat"])
+                     pa.array([net.flat().astype(np.float32).tobytes()], pa.binary())], names=["part", "weight", "flat"])
 
         mean = average(texts.where(F.col("share") == number).select("text").mapInArrow(
             run, "part int, weight double, flat binary"))
-        flat = flat if mean is None else mean.astype(np.float32)
+        flat = flat if mean is None else mean
     return flat
 
 
@@ -361,7 +363,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         vocab = words.value
         vocab.prepare()
         net = Network(vocab, params.value)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             read = [vocab.read(t.as_py() or b"") for t in batch.column("text")]
             model = net.score([r[:2] for r in read]) / np.log(10)
             n_known, base = [], []
@@ -371,7 +373,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 base.append(vocab.log_count[seen].sum())
                 tail = classes >= HEAD_CLASSES
                 model[i] += vocab.log_count[numbers[tail & (numbers >= 0)]].sum()
-                model[i] -= vocab.log_tail[classes[tail] - HEAD_CLASSES].sum()
+                model[i] -= vocab.log_tail[classes[tail].astype(np.int64) - HEAD_CLASSES].sum()
             rare = pa.array([r[2] for r in read], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([len(r[0]) for r in read], pa.int64()),
