@@ -57,18 +57,18 @@ def simhash(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int("".join("1" if 2 * c > n else "0" for c in ones), 2)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and ``fp`` (the fingerprint as a signed long) of every row; a null text is empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``carry`` and ``fp`` (the fingerprint as a signed long) of every row; a null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [simhash(t.as_py(), shingle) for t in batch.column("text")]
             fp = np.array(prints, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), pa.array(fp)], names=[*carry, "fp"])
 
-    plain = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    plain = docs.select(*carry, F.col("text").cast("binary").alias("text"))
+    fields = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return plain.mapInArrow(run, f"{fields}, fp bigint")
 
 
 def blocks(max_bits: int) -> list[tuple[int, int]]:
@@ -251,18 +251,9 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     their other columns differ.  If all ids of a component are null its smallest text hash
     stays.  The rows' own columns come back in their order, whatever their names.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp = np.array([simhash(t.as_py(), shingle) for t in batch.column("text")], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("th"), pa.array(fp.view(np.int64))],
-                names=["doc_id", "th", "fp"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("th"))
-    prints = materialize(
-        docs.select("doc_id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
-        .mapInArrow(run, f"doc_id {kind}, th bigint, fp bigint"), "simhash-keep")
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    prints = materialize(fingerprints(named, shingle, ("doc_id", "th")), "simhash-keep")
     # nulls last: a row without id stands for its component only if no other row can
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     first = prints.groupBy("fp").agg(F.min(order).alias("first"))
