@@ -502,8 +502,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = f"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-b AS (SELECT doc_id, x, unnest(range(length(x) // 2)) AS p FROM d),
-s AS (SELECT doc_id, p, substr(x, 2 * p + 1, {2 * LENGTH}) AS g, substr(x, 2 * p + 1, 2) AS byte FROM b),
+q AS (SELECT doc_id, unnest(range((length(x) // 2 + 255) // 256)) AS k, x FROM d),
+y AS (SELECT doc_id, k, substr(x, 512 * k + 1, {512 + 2 * LENGTH}) AS z FROM q),
+b AS (SELECT doc_id, k, z, unnest(range(least(256, length(z) // 2))) AS j FROM y),
+s AS (SELECT doc_id, 256 * k + j AS p, substr(z, 2 * j + 1, {2 * LENGTH}) AS g, substr(z, 2 * j + 1, 2) AS byte FROM b),
 m AS (SELECT g, min(doc_id) AS low FROM s WHERE length(g) = {2 * LENGTH} GROUP BY g HAVING min(doc_id) <> max(doc_id)),
 f AS (SELECT s.doc_id, s.p, s.byte, m.low < s.doc_id AS hit FROM s LEFT JOIN m ON s.g = m.g),
 c AS (SELECT doc_id, p, byte, coalesce(max(CASE WHEN hit THEN p END) OVER (PARTITION BY doc_id ORDER BY p) > p - {LENGTH}, false) AS gone FROM f),
