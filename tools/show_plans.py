@@ -17,9 +17,8 @@ from velolake.plans.registry import all_queries  # noqa: E402
 from velolake.session import build_session  # noqa: E402
 
 NOTES = {
-    "silver_rides_valid": "Map-only: scan (3 pruned columns) -> round-robin spread (only because the "
-                          "test table is one split) -> serialize -> Generate (parse once) -> rule Filter "
-                          "on parsed columns -> Project.",
+    "silver_rides_valid": "Map-only: scan (pruned columns) -> serialize -> Generate (parse once) -> "
+                          "rule Filter on parsed columns -> Project.",
     "mart_fleet_health": "Two-level exact distinct counts: partial HashAggregate per (window, scooter) "
                          "before the first exchange, partial per window before the second; no Expand.",
     "mart_revenue_reference_mode": "The reference's HLL form: one partial/final aggregate per window.",
@@ -30,7 +29,9 @@ NOTES = {
                                           "is read once (the reconciliation count is a conditional "
                                           "count beside the ride checks; distinct scooters come from "
                                           "the per-scooter partial aggregate of the telemetry checks); "
-                                          "cross-table values are scalar subqueries (no join).",
+                                          "a mart's figures are one struct from a scalar subquery "
+                                          "(no join). The initial plan names it at each use; at run "
+                                          "time 14 of the 16 are reused, so each mart is read once.",
 }
 
 
