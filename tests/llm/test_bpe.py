@@ -3,7 +3,7 @@ import random
 import struct
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
@@ -25,7 +25,9 @@ def ids(raw):
 ALPHABET = st.sampled_from(list("aAbethn  \n\t'sré中🙂9.,-!\x00\x1c 　") + ["<|endoftext|>", " the", "'ll", "ing"])
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=2000, deadline=None)
+@example("aaaaaaa\x00'll'll \xa0a")
+@example("bbbbbbbbbbbbbbbb\n\naaaaaaaaaaaaaaaaaaaaaaaa  \n\nc")
 @given(st.lists(ALPHABET, max_size=60).map("".join))
 def test_same_ids_and_text_as_the_library(text):
     raw = SMALL.encode(text)
@@ -46,7 +48,7 @@ def test_tree_of_one_long_word(word):
     assert ids(SMALL.encode(word)) == plain(word)
 
 
-@settings(max_examples=100, deadline=None)
+@settings(max_examples=1000, deadline=None)
 @given(st.lists(ALPHABET, max_size=80).map("".join), st.integers(20, 60))
 def test_rows_of_long_text_make_up_the_encoding(text, size):
     got, held, last = [], [], -1
@@ -57,7 +59,7 @@ def test_rows_of_long_text_make_up_the_encoding(text, size):
         if kind >= 0:
             held.append(SMALL.model(part))
         else:
-            got += [int(part)] if kind == -2 else plain(part)
+            got += [int(part)] if kind == -2 else SMALL.models(part) if kind == -3 else plain(part)
         last = kind
     assert got == plain(text)
 
@@ -77,7 +79,7 @@ def test_query_against_the_library(spark, tmp_path, monkeypatch, limit):
     texts += [" ".join(rng.choice(["the", "ñco", "in.", "12", "é"]) for _ in range(rng.randrange(1, 90))) for _ in range(20)]
     rows = [(i, t, "c", 1, "k") for i, t in enumerate(texts)] + [(None, "null id", "c", 1, "k"), (5, texts[5], "c", 1, "k")]
     spark.createDataFrame(rows, SCHEMA).repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
-    monkeypatch.setattr(B, "encode", lambda d, p=B.TOKENIZER, f=B.encode: f(d, p, limit))
+    monkeypatch.setattr(B, "encode", lambda d, p=B.TOKENIZER, decoded=False, f=B.encode: f(d, p, limit, decoded))
     got = sorted((tuple(r) for r in B.op10_bpe(spark, str(tmp_path)).collect()), key=str)
     want = []
     for doc_id, text, *_ in rows:
@@ -87,6 +89,7 @@ def test_query_against_the_library(spark, tmp_path, monkeypatch, limit):
     assert got == sorted(want, key=str)
     whole = B.encode(spark.createDataFrame(rows, SCHEMA))
     assert sorted((tuple(r["row"]) for r in whole.collect()), key=str) == sorted(rows, key=str)
+    assert all(r["text_out"] == (r["row"]["text"] or "") for r in B.decode(whole).collect())
 
 
 def test_empty_table(spark):

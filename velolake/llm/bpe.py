@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
-from velolake.llm.common import read_table
+from velolake.llm.common import read_table, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 LEAF = 4096            # characters of one pre-token that are encoded at once
@@ -109,27 +109,30 @@ class Codec:
             yield text
 
     def units(self, piece: str) -> Iterator[tuple[str, bool]]:
-        """A long piece as runs of whole pre-tokens, and single pre-tokens over ``leaf``
-        characters, in byte characters and marked True."""
-        start = end = 0
-        for mapped, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(piece):
+        """The pre-tokens of a long piece, in byte characters: some at a time, joined by
+        spaces, which no byte is written as; and single ones over ``leaf``, marked True."""
+        held: list[str] = []
+        total = 0
+        for mapped, _ in self.tok.pre_tokenizer.pre_tokenize_str(piece):
+            if held and total + len(mapped) > self.leaf:
+                yield " ".join(held), False
+                held, total = [], 0
             if len(mapped) > self.leaf:
-                if a > start:
-                    yield piece[start:a], False
                 yield mapped, True
-                start = b
-            elif b - start > self.leaf:
-                if a > start:
-                    yield piece[start:a], False
-                start = a
-            end = b
-        if end > start:
-            yield piece[start:end], False
+            else:
+                held.append(mapped)
+                total += len(mapped)
+        if held:
+            yield " ".join(held), False
 
     def model(self, mapped: str) -> list[int]:
         """Merges of one pre-token, in byte characters."""
         return [t.id for t in self.tok.model.tokenize(mapped)]
 
+    def models(self, unit: str) -> list[int]:
+        """Merges of pre-tokens that are joined by spaces, each by itself."""
+        return [i for mapped in unit.split(" ") for i in self.model(mapped)]
+
     def leaves(self, mapped: str) -> list[str]:
         """Halves of halves, until none is longer than a leaf."""
         if len(mapped) <= self.leaf:
@@ -173,8 +176,7 @@ class Codec:
             if len(piece) > self.leaf:
                 ids: list[int] = []
                 for unit, lone in self.units(piece):
-                    ids += (self.tree([self.model(x) for x in self.leaves(unit)]) if lone
-                            else self.tok.encode(unit, add_special_tokens=False).ids)
+                    ids += self.tree([self.model(x) for x in self.leaves(unit)]) if lone else self.models(unit)
                 self.cache[piece] = np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
@@ -208,7 +210,8 @@ def codec(path: str) -> Codec:
 
 def rows_of_long_text(coder: Codec, text: str, size: int) -> Iterator[tuple[str, int]]:
     """A long text as (part, kind): kind -1 is plain text, -2 a special token's id in digits,
-    and k >= 0 a leaf of the k-th pre-token that is longer than a leaf."""
+    -3 are pre-tokens in byte characters, and k >= 0 is a leaf of the k-th pre-token that is
+    longer than a leaf."""
     lone = 0
     for part in coder.segments(text):
         if isinstance(part, int):
@@ -233,28 +236,35 @@ def rows_of_long_text(coder: Codec, text: str, size: int) -> Iterator[tuple[str,
                         yield leaf, lone
                     lone += 1
                 else:
-                    yield unit, -1
+                    yield unit, -3
         if held:
             yield "".join(held), -1
 
 
-def encode(docs: DataFrame, path: str = TOKENIZER, long_text: int = LONG_TEXT) -> DataFrame:
+def encode(docs: DataFrame, path: str = TOKENIZER, long_text: int = LONG_TEXT, decoded: bool = False) -> DataFrame:
     """The input's rows in a struct ``row`` with ``ids``, little-endian unsigned 32-bit integers.
 
     Texts up to ``long_text`` characters are encoded where they are read.  A longer one is
     cut into rows, at places that no token spans, and a pre-token too long for that into
     halves of halves; tasks share these rows, and the parts of one text then meet in one
     group, where the halves are joined level by level.  Only long texts are shuffled.
+    ``decoded`` adds ``text_out``, what the ids decode to.
 
     Nulls and odd input: a null or empty text has no ids; special-token strings in a text
     become their ids, as the library does by default; repeated rows are encoded each; null
     ids and other columns are carried; an empty table gives an empty result.
     """
+    names = ["row", "ids", *["text_out"] * decoded]
+
+    def read(coder: Codec, ids: list[bytes]) -> list[pa.Array]:
+        return [pa.array([coder.decode(i) for i in ids], pa.string())] if decoded else []
+
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [coder.encode(t) for t in batch.column("row").field("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(ids, pa.binary())], names=["row", "ids"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(ids, pa.binary()), *read(coder, ids)], names=names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
@@ -275,7 +285,7 @@ def encode(docs: DataFrame, path: str = TOKENIZER, long_text: int = LONG_TEXT) -
             ids = []
             for text, kind in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist()):
                 ids.append(coder.encode(text) if kind == -1 else np.array(
-                    [int(text)] if kind == -2 else coder.model(text), "<u4").tobytes())
+                    [int(text)] if kind == -2 else coder.models(text), "<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("key", "seq", "row", "kind")] + [pa.array(ids, pa.binary())],
                 names=["key", "seq", "row", "kind", "ids"])
@@ -295,10 +305,12 @@ def encode(docs: DataFrame, path: str = TOKENIZER, long_text: int = LONG_TEXT) -
             else:
                 out.append(ids)
             last = kind
-        return pa.table({"row": group["row"].slice(0, 1), "ids": pa.array([b"".join(out)], pa.binary())})
+        ids = [b"".join(out)]
+        return pa.table([group["row"].slice(0, 1), pa.array(ids, pa.binary()), *read(coder, ids)], names=names)
 
     rows = docs.select(F.struct("*").alias("row"))
-    result = StructType([rows.schema["row"], StructField("ids", BinaryType())])
+    made = [StructField("ids", BinaryType()), *[StructField("text_out", StringType())] * decoded]
+    result = StructType([rows.schema["row"], *made])
     is_long = F.coalesce(F.length("row.text"), F.lit(0)) > long_text
     near = rows.where(~is_long).mapInArrow(short, result)
     nullable = StructField("row", rows.schema["row"].dataType, True)
@@ -307,7 +319,7 @@ def encode(docs: DataFrame, path: str = TOKENIZER, long_text: int = LONG_TEXT) -
              .mapInArrow(cut, StructType([*key, StructField("part", StringType()), StructField("kind", IntegerType())])))
     coded = apart.repartition("key", "seq").mapInArrow(
         parts, StructType([*key, StructField("kind", IntegerType()), StructField("ids", BinaryType())]))
-    far = coded.groupBy("key").applyInArrow(meet, StructType([nullable, StructField("ids", BinaryType())]))
+    far = coded.groupBy("key").applyInArrow(meet, StructType([nullable, *made]))
     return near.unionByName(far)
 
 
@@ -315,7 +327,7 @@ def decode(encoded: DataFrame, path: str = TOKENIZER) -> DataFrame:
     """The rows of ``encode`` with ``text_out``, the text of the ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
-        for batch in batches:
+        for batch in slices(batches):
             text = [coder.decode(i) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("ids"), pa.array(text, pa.string())],
                                              names=["row", "ids", "text_out"])
@@ -325,9 +337,7 @@ def decode(encoded: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
 def token_digests(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded text of every row."""
-    coded = encode(docs.select("doc_id", "text"), path)
-    slim = coded.select(F.struct("row.doc_id").alias("row"), "ids")
-    return decode(slim, path).select(
+    return encode(docs.select("doc_id", "text"), path, decoded=True).select(
         "row.doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text_out", 256).alias("decoded_sha256"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from velolake.llm.common import read_table
+from velolake.llm.common import read_table, slices
 
 ERROR_RATE = 0.05         # edits allowed per character of a test item
 BLOCK_CHARS = 8_000_000   # item text whose automaton is held at once
@@ -166,7 +166,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     def against(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value, rate)
-            for batch in batches:
+            for batch in slices(batches):
                 texts = batch.column("row").field("text").to_pylist()
                 found = []
                 for text, before in zip(texts, batch.column("found").to_pylist()):

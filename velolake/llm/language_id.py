@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from velolake.llm.common import crc_mod, materialize, read_table
+from velolake.llm.common import crc_mod, materialize, read_table, slices
 
 UNKNOWN = "und"
 RATE = 2e-5       # an n-gram enters a language's filter from this share of its n-grams on
@@ -187,7 +187,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, score = shared.value.scores(batch.column("row").field("text").to_pylist())
             names = shared.value.names
             if names:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velolake.llm.common import materialize, read_table, word_blocks
+from velolake.llm.common import materialize, read_table, slices, word_blocks
 from velolake.llm.components import connected_components
 
 SHINGLE = 3
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: tuple[str, ...]
     """``carry`` and ``fp`` (the fingerprint as a signed long) of every row; a null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             prints = [simhash(t.as_py(), shingle) for t in batch.column("text")]
             fp = np.array(prints, dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), pa.array(fp)], names=[*carry, "fp"])

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from velolake.llm.bpe import TOKENIZER, Codec
-from velolake.llm.common import materialize, read_table, work_path
+from velolake.llm.common import materialize, read_table, slices, work_path
 
 SEPARATOR = "<|endoftext|>"
 HEADER = 5               # tokens before a document's own that spell its id
@@ -64,7 +64,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = plain_codec(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.frombuffer(codec.encode(text), "<u4").astype(kind)
