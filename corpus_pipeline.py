@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velolake.llm.bpe import token_digests
-from velolake.llm.common import materialize, read_table
+from velolake.llm.common import let_workers_import, materialize, read_table
 from velolake.llm.decontamination import keep_clean
 from velolake.llm.language_id import keep_known
 from velolake.llm.line_dedup import dedup_lines
@@ -24,6 +24,7 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that no learned language covers, such as those without a letter."""
+    let_workers_import(spark)
     return keep_known(docs)
 
 
@@ -35,6 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates, that of the smallest doc_id."""
+    let_workers_import(spark)
     return keep_first(docs)
 
 
@@ -45,6 +47,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of the documents that are left."""
+    let_workers_import(spark)
     return token_digests(docs)
 
 
