@@ -162,3 +162,14 @@ def test_nothing_to_train_on(spark, tmp_path):
     r = L.op7_gru_lm(spark, str(tmp_path / "one")).collect()[0]
     assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (True, 3, 0, 0, 0.0)
     assert math.isfinite(r["score"])
+
+
+def test_every_training_document_is_learned_from(spark, monkeypatch):
+    texts = [(k if k else None, f"word{k} a b".encode()) for k in range(40)]
+    df = spark.createDataFrame(texts, "doc_id long, text binary").select(
+        "text", L.F.pmod(L.F.xxhash64("doc_id"), L.F.lit(L.SHARES)).cast("int").alias("share"))
+    v = vocabulary([t for _, t in texts], L.HEAD)
+    seen = []
+    monkeypatch.setattr(L, "average", lambda trained: seen.append(sum(r["weight"] for r in trained.select("weight").collect())))
+    L.train_network(df, v)
+    assert sum(seen) == v.train_tokens

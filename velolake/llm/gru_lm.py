@@ -21,17 +21,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velolake.llm.common import crc_mod, materialize, read_table, word_blocks
+from velolake.llm.common import crc_mod, materialize, read_table, slices, word_blocks
 
 TAU = 1e-6           # words of at least this share of all tokens are broadcast: at most 1 / TAU
 HEAD = 1024          # most frequent words, each with an output of its own
 HEAD_CLASSES = 16    # classes of head words, of about equal mass
 TAIL_CLASSES = 8     # classes of all other words, by their last two bytes
 HIDDEN = 24
-SHARES = 16          # the training documents fall into so many shares; each round learns from one
-ROUNDS = 2
+SHARES = 4           # the training documents fall into so many shares; each round learns from one, until all are learned
 RATE = 0.1
-STREAMS = 64         # documents learned from side by side
+STREAMS = 64         # documents that a task learns from side by side at first
+STREAMS_MOST = 512   # they double after each pass over so many, up to this
 WINDOW = 16          # steps through which an error is passed back
 SCORED = 1024        # documents scored side by side
 SLICE = 4096         # documents whose tokens a task holds at once
@@ -143,6 +143,7 @@ class Network:
 
     def __init__(self, vocab: Vocabulary, flat: np.ndarray | None = None):
         self.vocab = vocab
+        self.streams = STREAMS
         self.inputs = vocab.head + TAIL_CLASSES
         classes = HEAD_CLASSES + TAIL_CLASSES
         self.shapes = {"E": (self.inputs, 3 * HIDDEN), "U": (HIDDEN, 3 * HIDDEN), "C": (HIDDEN, classes),
@@ -249,8 +250,11 @@ class Network:
         """One pass over the documents: truncated backpropagation, a step of Adagrad a window."""
         n = HIDDEN
         by_length = sorted(range(len(docs)), key=lambda i: -len(docs[i][0]))
-        for lo in range(0, len(docs), STREAMS):
-            part = [docs[i] for i in by_length[lo:lo + STREAMS]]
+        lo = 0
+        while lo < len(docs):
+            part = [docs[i] for i in by_length[lo:lo + self.streams]]
+            lo += self.streams
+            self.streams = max(self.streams, min(STREAMS_MOST, 2 * self.streams))
             h = np.zeros((len(part), n), np.float32)
             for _, open_, x, y, k in self.windows(part, WINDOW):
                 saved = []
@@ -310,13 +314,13 @@ def train_network(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
     """Parameters learned from the rows of ``texts`` (text binary, share int).
 
     In each round every task goes on from the common parameters over the documents of one
-    share that it reads, and the mean by tokens is the next common state.  What is learned
-    from grows with the input; ``SHARES`` and ``ROUNDS`` set which part of it that is.
+    share that it reads, and the mean by tokens is the next common state.  The rounds go
+    over all shares, so every document is learned from once.
     """
     sc = texts.sparkSession.sparkContext
     flat = Network(vocab).flat()
     words = sc.broadcast(vocab)
-    for number in range(ROUNDS):
+    for number in range(SHARES):
         start = sc.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
@@ -325,7 +329,7 @@ def train_network(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
             net = Network(vocab, start.value)
             squares = {k: np.full_like(v, 1e-4) for k, v in net.p.items()}
             tokens = 0
-            for batch in batches:
+            for batch in slices(batches, SLICE):
                 docs = [vocab.read(t.as_py() or b"")[:2] for t in batch.column("text")]
                 tokens += sum(len(n) for n, _ in docs)
                 net.train(docs, squares)
@@ -363,7 +367,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         vocab = words.value
         vocab.prepare()
         net = Network(vocab, params.value)
-        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+        for batch in slices(batches, SLICE):
             read = [vocab.read(t.as_py() or b"") for t in batch.column("text")]
             model = net.score([r[:2] for r in read]) / np.log(10)
             n_known, base = [], []
