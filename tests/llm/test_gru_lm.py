@@ -173,3 +173,32 @@ def test_every_training_document_is_learned_from(spark, monkeypatch):
     monkeypatch.setattr(L, "average", lambda trained: seen.append(sum(r["weight"] for r in trained.select("weight").collect())))
     L.train_network(df, v)
     assert sum(seen) == v.train_tokens
+
+
+def test_all_broadcast_words_have_outputs_and_vectors_of_their_own():
+    texts = [b" ".join(b"w%d" % k for k in range(3000) for _ in range(1 + 300 // (k + 1)))]
+    v = vocabulary(texts, L.HEAD)
+    net = L.Network(v)
+    assert v.head == 3001 and 20 < v.head_classes <= 55
+    assert len(set(net.inputs_of(np.arange(3001), v.classes).tolist())) == 3001
+    gen = np.random.default_rng(3)
+    for k, p in net.p.items():
+        net.p[k] = p + gen.normal(0, 0.3, p.shape)
+    h = gen.normal(0, 1, (2, L.HIDDEN))
+    many = np.repeat(h[:1], 3001, axis=0)
+    p = np.exp(net.output(many, np.arange(3001), v.classes)[0])
+    tail = sum(math.exp(net.output(h[:1], np.array([-1]), np.array([v.head_classes + k]))[0][0]) for k in range(L.TAIL_CLASSES))
+    assert p.sum() + tail == pytest.approx(1)
+    inside = [i for i in range(1025, 3001) if v.classes[i] == v.classes[2000]]
+    a, b = (net.output(np.repeat(x, len(inside), axis=0), np.array(inside), v.classes[inside])[0] for x in (h[:1], h[1:]))
+    assert np.ptp(a - b) > 0.1  # the state tells words of one class apart
+    lone = vocabulary([b"a"], L.HEAD)
+    assert lone.head == 2 and np.isfinite(L.Network(lone).score([lone.read(b"a")[:2]])).all()
+
+
+def test_parameters_are_averaged_by_pieces(spark, monkeypatch):
+    monkeypatch.setattr(L, "PIECE", 3)
+    flats = [(0, 1.0, np.arange(8)), (1, 3.0, np.arange(8) * 5), (0, 0.5, np.arange(8) * 2)]
+    rows = [tuple(c[0].as_py() for c in b.columns) for f in flats for b in L.pieces(*f)]
+    got = L.average(spark.createDataFrame([(a, b, c, bytearray(d)) for a, b, c, d in rows], L.TRAINED))
+    assert len(rows) == 9 and got == pytest.approx(np.arange(8) * 17 / 4.5)

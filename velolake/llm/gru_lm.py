@@ -9,6 +9,7 @@ meet their counts.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -24,19 +25,23 @@ from pyspark.sql import functions as F
 from velolake.llm.common import crc_mod, materialize, read_table, slices, word_blocks
 
 TAU = 1e-6           # words of at least this share of all tokens are broadcast: at most 1 / TAU
-HEAD = 1024          # most frequent words, each with an output of its own
-HEAD_CLASSES = 16    # classes of head words, of about equal mass
+HEAD = int(1 / TAU)  # most frequent words, each with an output of its own: all that are broadcast
+HEAD_CLASSES = 0     # classes of head words, of about equal mass; 0: the square root of their number
 TAIL_CLASSES = 8     # classes of all other words, by their last two bytes
 HIDDEN = 24
 SHARES = 4           # the training documents fall into so many shares; each round learns from one, until all are learned
 RATE = 0.1
 STREAMS = 64         # documents that a task learns from side by side at first
 STREAMS_MOST = 512   # they double after each pass over so many, up to this
-WINDOW = 16          # steps through which an error is passed back
+WINDOW = 16          # steps through which an error is passed back at least
+LONGEST = 16         # windows' lengths in steps at most, while few documents are open
 SCORED = 1024        # documents scored side by side
+ROWS = 1 << 14       # tokens whose classes are judged at once
 SLICE = 4096         # documents whose tokens a task holds at once
 FLUSH = 1 << 19      # different words that a task counts before it passes them on
 FAN = 64             # partial averages of the parameters
+PIECE = 1 << 16      # parameters that are averaged together
+TRAINED = "part int, piece int, weight double, flat binary"
 
 
 def tail_class(word: bytes) -> int:
@@ -81,8 +86,12 @@ class Vocabulary:
         self.head = min(HEAD, len(self.counts) - 1) + 1
         mass = self.counts[:self.head] + 1.0
         share = (np.cumsum(mass) - mass / 2) / mass.sum()
-        self.head_class = np.minimum((share * HEAD_CLASSES).astype(np.int64), HEAD_CLASSES - 1)
-        self.members = [np.flatnonzero(self.head_class == k) for k in range(HEAD_CLASSES)]
+        wanted = HEAD_CLASSES or math.isqrt(self.head)
+        self.head_class = np.minimum((share * wanted).astype(np.int64), wanted - 1)
+        if not HEAD_CLASSES:  # a word of much mass leaves classes empty
+            self.head_class = np.unique(self.head_class, return_inverse=True)[1]
+        self.head_classes = HEAD_CLASSES or int(self.head_class.max()) + 1
+        self.members = [np.flatnonzero(self.head_class == k) for k in range(self.head_classes)]
         self.rank = np.zeros(self.head, np.int64)
         for m in self.members:
             self.rank[m] = np.arange(len(m))
@@ -91,8 +100,8 @@ class Vocabulary:
         """The look-up table and the classes of all numbers, in a task."""
         words = self.words.split(b"\n") if self.words else []
         self.number = dict(zip(words, range(1, len(words) + 1)))
-        tail = [HEAD_CLASSES + tail_class(w) for w in words[self.head - 1:]]
-        self.classes = np.concatenate([self.head_class, np.array(tail, np.int64)]).astype(np.int8)
+        tail = [self.head_classes + tail_class(w) for w in words[self.head - 1:]]
+        self.classes = np.concatenate([self.head_class, np.array(tail, np.int64)]).astype(np.int16)
         self.log_count = np.log10(self.counts + 1.0)
         self.log_tail = np.log10(self.tail_mass)
 
@@ -103,12 +112,12 @@ class Vocabulary:
             got = np.array(list(map(self.number.get, words, repeat(-1))), np.int32)
             kind = self.classes[got]
             for at in np.flatnonzero(got < 0).tolist():
-                kind[at] = HEAD_CLASSES + tail_class(words[at])
+                kind[at] = self.head_classes + tail_class(words[at])
                 rare.append(words[at])
             numbers.append(got)
             classes.append(kind)
         return (np.concatenate([*numbers, [0]]).astype(np.int32),
-                np.concatenate([*classes, self.classes[:1]]).astype(np.int8), rare)
+                np.concatenate([*classes, self.classes[:1]]).astype(np.int16), rare)
 
 
 def learn_vocabulary(counts: DataFrame, train_docs: int) -> Vocabulary:
@@ -132,29 +141,37 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row the log probability of column ``at``, and all probabilities, in ``x`` itself."""
+    rows = np.arange(len(x))
+    x -= x.max(axis=1, keepdims=True)
+    out = x[rows, at]
+    np.exp(x, out=x)
+    total = x.sum(axis=1, keepdims=True)
+    out -= np.log(total[:, 0])
+    x /= total
+    return out, x
 
 
 class Network:
-    """Parameters and passes.  Inputs are head words and tail classes; the output is a class,
-    and in a head class a word.  Unlearned, it gives the words' plain frequencies."""
+    """Parameters and passes.  Inputs are head words, as vectors of the state's width, and tail
+    classes; the output is a class, and in a head class a word.  Unlearned, it gives the words' plain frequencies."""
 
     def __init__(self, vocab: Vocabulary, flat: np.ndarray | None = None):
         self.vocab = vocab
         self.streams = STREAMS
         self.inputs = vocab.head + TAIL_CLASSES
-        classes = HEAD_CLASSES + TAIL_CLASSES
-        self.shapes = {"E": (self.inputs, 3 * HIDDEN), "U": (HIDDEN, 3 * HIDDEN), "C": (HIDDEN, classes),
+        classes = vocab.head_classes + TAIL_CLASSES
+        self.shapes = {"E": (self.inputs, HIDDEN), "P": (HIDDEN, 3 * HIDDEN), "U": (HIDDEN, 3 * HIDDEN), "C": (HIDDEN, classes),
                        "c": (classes,), "W": (vocab.head, HIDDEN), "w": (vocab.head,)}
         if flat is None:
             rng = np.random.default_rng(7)
             self.p = {k: rng.normal(0, 0.1, s).astype(np.float32) for k, s in self.shapes.items()}
+            self.p["P"] *= 2
             for k in "CW":
                 self.p[k][:] = 0
             count = vocab.counts[:vocab.head] + 1.0
-            mass = np.concatenate([np.bincount(vocab.head_class, count, HEAD_CLASSES), vocab.tail_mass])
+            mass = np.concatenate([np.bincount(vocab.head_class, count, vocab.head_classes), vocab.tail_mass])
             self.p["c"][:] = np.log(np.maximum(mass, 1e-3) / mass.sum())
             self.p["w"][:] = np.log(count)
         else:
@@ -169,10 +186,10 @@ class Network:
 
     def inputs_of(self, numbers: np.ndarray, classes: np.ndarray) -> np.ndarray:
         head = (numbers >= 0) & (numbers < self.vocab.head)
-        return np.where(head, numbers, self.vocab.head - HEAD_CLASSES + classes.astype(np.int64))
+        return np.where(head, numbers, self.vocab.head - self.vocab.head_classes + classes.astype(np.int64))
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        e, u = self.p["E"][x], h @ self.p["U"]
+        e, u = self.p["E"][x] @ self.p["P"], h @ self.p["U"]
         n = HIDDEN
         gates = _sigmoid(e[:, :2 * n] + u[:, :2 * n])
         z, r = gates[:, :n], gates[:, n:]
@@ -183,44 +200,52 @@ class Network:
         """Natural log probability of each target (class, and word where it is a head word);
         with ``grads`` also the gradient of the mean loss in ``h``."""
         scale = 1 / max(1, len(h))
-        logp = _log_softmax(h @ self.p["C"] + self.p["c"])
-        out = logp[np.arange(len(h)), kind].astype(np.float64)
-        dh = None
-        if grads is not None:
-            d = np.exp(logp)
-            d[np.arange(len(h)), kind] -= 1
-            d *= scale
-            grads["C"] += h.T @ d
-            grads["c"] += d.sum(axis=0)
-            dh = d @ self.p["C"].T
+        out = np.zeros(len(h))
+        dh = None if grads is None else np.zeros_like(h)
+        for lo in range(0, len(h), ROWS):
+            some = slice(lo, lo + ROWS)
+            x = h[some] @ self.p["C"]
+            x += self.p["c"]
+            out[some], d = _softmax(x, kind[some])
+            if grads is not None:
+                d[np.arange(len(d)), kind[some]] -= 1
+                d *= scale
+                grads["C"] += h[some].T @ d
+                grads["c"] += d.sum(axis=0)
+                dh[some] = d @ self.p["C"].T
         order = np.argsort(kind, kind="stable")
-        edge = np.searchsorted(kind[order], np.arange(HEAD_CLASSES + 1))
-        for k, (lo, hi) in enumerate(zip(edge[:-1], edge[1:])):
-            words = self.vocab.members[k]
-            if lo == hi or len(words) < 2:
+        edge = np.searchsorted(kind[order], np.arange(self.vocab.head_classes + 1))
+        for k in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
+            lo, hi, words = edge[k], edge[k + 1], self.vocab.members[k]
+            if len(words) < 2:
                 continue
+            words = slice(words[0], words[-1] + 1)  # a class is a run of the words by their count
             at = order[lo:hi]
             rank = self.vocab.rank[target[at]]
             weight = self.p["W"][words]
-            logw = _log_softmax(h[at] @ weight.T + self.p["w"][words])
-            out[at] += logw[np.arange(len(at)), rank]
+            x = h[at] @ weight.T
+            x += self.p["w"][words]
+            got, d = _softmax(x, rank)
+            out[at] += got
             if grads is not None:
-                d = np.exp(logw)
                 d[np.arange(len(at)), rank] -= 1
                 d *= scale
                 grads["W"][words] += d.T @ h[at]
                 grads["w"][words] += d.sum(axis=0)
+                grads.setdefault("runs", []).append(words)
                 dh[at] += d @ weight
         return out, dh
 
-    def windows(self, docs: list[tuple[np.ndarray, np.ndarray]], width: int) -> Iterator[tuple]:
+    def windows(self, docs: list[tuple[np.ndarray, np.ndarray]], width: int, least: int) -> Iterator[tuple]:
         """Windows over documents that stand by falling length: (first step, documents still
-        open at each step, inputs, targets, classes), all step by step."""
+        open at each step, inputs, targets, classes), all step by step.  A window has ``width``
+        steps, or more where few documents are left, for ``least`` tokens."""
         lens = np.array([len(n) for n, _ in docs])
         feeds = [np.concatenate([[0], self.inputs_of(n, c)[:-1]]) for n, c in docs]
-        for t in range(0, int(lens[0]), width):
+        t = span = 0
+        while (t := t + span) < lens[0]:
             some = int((lens > t).sum())
-            span = min(width, int(lens[0]) - t)
+            span = min(max(width, min(least // some, LONGEST * width)), int(lens[0]) - t)
             x, y, k = (np.zeros((span, some), np.int64) for _ in range(3))
             for i in range(some):
                 n = min(span, lens[i] - t)
@@ -234,7 +259,7 @@ class Network:
         for lo in range(0, len(docs), SCORED):
             part = by_length[lo:lo + SCORED]
             h = np.zeros((len(part), HIDDEN), np.float32)
-            for _, open_, x, y, k in self.windows([docs[i] for i in part], 4 * WINDOW):
+            for _, open_, x, y, k in self.windows([docs[i] for i in part], 4 * WINDOW, 4 * ROWS):
                 seen = []
                 for s, n in enumerate(open_):
                     h[:n] = self.step(x[s, :n], h[:n])[0]
@@ -249,21 +274,23 @@ class Network:
     def train(self, docs: list[tuple[np.ndarray, np.ndarray]], squares: dict[str, np.ndarray]) -> None:
         """One pass over the documents: truncated backpropagation, a step of Adagrad a window."""
         n = HIDDEN
+        wide = {name: np.zeros_like(self.p[name]) for name in "Ww"}  # zero outside of the classes met
         by_length = sorted(range(len(docs)), key=lambda i: -len(docs[i][0]))
         lo = 0
         while lo < len(docs):
-            part = [docs[i] for i in by_length[lo:lo + self.streams]]
-            lo += self.streams
-            self.streams = max(self.streams, min(STREAMS_MOST, 2 * self.streams))
+            streams = self.streams
+            part = [docs[i] for i in by_length[lo:lo + streams]]
+            lo += streams
+            self.streams = max(streams, min(STREAMS_MOST, 2 * streams))
             h = np.zeros((len(part), n), np.float32)
-            for _, open_, x, y, k in self.windows(part, WINDOW):
+            for _, open_, x, y, k in self.windows(part, WINDOW, WINDOW * streams):
                 saved = []
                 for s, m in enumerate(open_):
                     before = h[:m].copy()
                     after, *rest = self.step(x[s, :m], before)
                     h[:m] = after
                     saved.append((before, after, *rest))
-                grads = {name: np.zeros_like(v) for name, v in self.p.items() if name != "E"}
+                grads = {name: wide[name] if name in wide else np.zeros_like(v) for name, v in self.p.items() if name != "E"}
                 target = np.concatenate([y[s, :m] for s, m in enumerate(open_)])
                 kind = np.concatenate([k[s, :m] for s, m in enumerate(open_)])
                 _, dout = self.output(np.concatenate([a[1] for a in saved]), target, kind, grads)
@@ -281,20 +308,36 @@ class Network:
                     grads["U"] += before.T @ down
                     dh[:m] = d * z + down @ self.p["U"].T
                     rows[at[s]:at[s + 1]] = np.concatenate([dz, dr, dnew], axis=1)
-                used, place = np.unique(np.concatenate([x[s, :m] for s, m in enumerate(open_)]), return_inverse=True)
+                fed = np.concatenate([x[s, :m] for s, m in enumerate(open_)])
+                grads["P"] += self.p["E"][fed].T @ rows
+                rows = rows @ self.p["P"].T
+                used, place = np.unique(fed, return_inverse=True)
                 order = np.argsort(place, kind="stable")
                 first = np.searchsorted(place[order], np.arange(len(used)))
                 summed = np.add.reduceat(rows[order], first, axis=0)
                 squares["E"][used] += summed * summed
                 self.p["E"][used] -= RATE * summed / (np.sqrt(squares["E"][used]) + 1e-6)
+                runs = grads.pop("runs", [])
                 for name, g in grads.items():
-                    squares[name] += g * g
-                    self.p[name] -= RATE * g / (np.sqrt(squares[name]) + 1e-6)
+                    for run in runs if name in wide else [slice(None)]:
+                        part = g[run]
+                        squares[name][run] += part * part
+                        self.p[name][run] -= RATE * part / (np.sqrt(squares[name][run]) + 1e-6)
+                        part[:] = 0
+
+
+def pieces(part: int, weight: float, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's parameters as ``average`` takes them."""
+    for piece, at in enumerate(range(0, len(flat), PIECE)):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([piece], pa.int32()), pa.array([weight]),
+             pa.array([flat[at:at + PIECE].astype(np.float32).tobytes()], pa.binary())],
+            names=["part", "piece", "weight", "flat"])
 
 
 def average(trained: DataFrame) -> np.ndarray | None:
-    """Mean of the rows' ``flat`` parameters by ``weight``, in two levels of groups: the second
-    has at most ``FAN`` rows of the model's size."""
+    """Mean of the rows' ``flat`` parameters by ``weight``, for each piece of them by itself in
+    two levels of groups: the second has at most ``FAN`` rows of a piece's size."""
     def add(group: pa.Table) -> pa.Table:
         total, weight = None, 0.0
         for flat, w in zip(group["flat"], group["weight"].to_pylist()):
@@ -302,12 +345,12 @@ def average(trained: DataFrame) -> np.ndarray | None:
             total = part.astype(np.float64) if total is None else total + part
             weight += w
         mean = (total / weight).astype(np.float32)
-        return pa.table({"part": group["part"].slice(0, 1), "weight": [weight], "flat": [mean.tobytes()]})
+        return pa.table({"part": group["part"].slice(0, 1), "piece": group["piece"].slice(0, 1),
+                         "weight": [weight], "flat": [mean.tobytes()]})
 
-    schema = "part int, weight double, flat binary"
-    parts = trained.groupBy("part").applyInArrow(add, schema).withColumn("part", F.lit(0))
-    row = parts.groupBy("part").applyInArrow(add, schema).first()
-    return np.frombuffer(row["flat"], np.float32) if row else None
+    parts = trained.groupBy("part", "piece").applyInArrow(add, TRAINED).withColumn("part", F.lit(0))
+    rows = parts.groupBy("part", "piece").applyInArrow(add, TRAINED).select("piece", "flat").collect()
+    return np.concatenate([np.frombuffer(r["flat"], np.float32) for r in sorted(rows)]) if rows else None
 
 
 def train_network(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
@@ -334,13 +377,9 @@ def train_network(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
                 tokens += sum(len(n) for n, _ in docs)
                 net.train(docs, squares)
             if tokens:
-                part = TaskContext.get().partitionId() % FAN
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([float(tokens)]),
-                     pa.array([net.flat().astype(np.float32).tobytes()], pa.binary())], names=["part", "weight", "flat"])
+                yield from pieces(TaskContext.get().partitionId() % FAN, float(tokens), net.flat())
 
-        mean = average(texts.where(F.col("share") == number).select("text").mapInArrow(
-            run, "part int, weight double, flat binary"))
+        mean = average(texts.where(F.col("share") == number).select("text").mapInArrow(run, TRAINED))
         flat = flat if mean is None else mean
     return flat
 
@@ -375,9 +414,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 seen = numbers[numbers >= 0]
                 n_known.append(int((vocab.counts[seen] > 0).sum()))
                 base.append(vocab.log_count[seen].sum())
-                tail = classes >= HEAD_CLASSES
+                tail = classes >= vocab.head_classes
                 model[i] += vocab.log_count[numbers[tail & (numbers >= 0)]].sum()
-                model[i] -= vocab.log_tail[classes[tail].astype(np.int64) - HEAD_CLASSES].sum()
+                model[i] -= vocab.log_tail[classes[tail].astype(np.int64) - vocab.head_classes].sum()
             rare = pa.array([r[2] for r in read], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([len(r[0]) for r in read], pa.int64()),
