@@ -3,12 +3,24 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.accumulators import AccumulatorParam
 
 from velolake.llm import suffix_dedup as S
 
 SCHEMA = "doc_id long, text string, key string, h1 int, bucket int"
 
 
+class Lists(AccumulatorParam):
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, a, b):
+        return a + b
+
+
+LISTS = Lists()
+
+
 def brute(rows, length=50):
     low = {}
     for d, text in rows:
@@ -91,3 +103,32 @@ def test_query_against_brute_force(spark, tmp_path, monkeypatch, chunk):
 
 def test_empty_table(spark):
     assert S.dedup(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("split", [1 << 18, 40])
+def test_a_hot_minimizer_is_split(spark, tmp_path, monkeypatch, split):
+    rng = random.Random(split)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    stem = " " * 20
+    shared = [letters(30) + stem + letters(30) for _ in range(4)]
+    texts = [letters(40) + stem + letters(40) + stem + rng.choice(shared) for _ in range(60)] + make(rng)
+    rows = [((i * 37) % 211, t) for i, t in enumerate(texts)] + [(None, texts[3])]
+    spark.createDataFrame([(d, t, "k", 1, 2) for d, t in rows], SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(S, "SPLIT", split)
+    for hot, group, chunk in ((5, 1 << 15, 1 << 23), (0, 3, 700)):
+        monkeypatch.setattr(S, "HOT", hot)
+        monkeypatch.setattr(S, "GROUP", group)
+        monkeypatch.setattr(S, "CHUNK", chunk)
+        assert sorted(map(tuple, S.op8_suffix_dedup(spark, str(tmp_path)).collect()), key=str) == brute(rows)
+
+
+def test_no_group_grows_with_a_hot_minimizer(spark, monkeypatch):
+    rng = random.Random(2)
+    monkeypatch.setattr(S, "HOT", 50)
+    sizes = spark.sparkContext.accumulator([], LISTS)
+    monkeypatch.setattr(S, "covered", lambda contexts, *a, f=S.covered: (sizes.add([sum(len(c) - 49 for c in contexts)]), f(contexts, *a))[1])
+    stem = "0123456789abcdefghij" * 2
+    rows = [(k, "".join(rng.choice("klmnopqrs") for _ in range(60)) + stem + "".join(rng.choice("klmnopqrs") for _ in range(60)))
+            for k in range(400)]
+    S.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(sizes.value) and max(sizes.value) < sum(sizes.value) / 4

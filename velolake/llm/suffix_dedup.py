@@ -6,13 +6,15 @@ below minimizers that occur in more than one text are sorted, each bucket of min
 one group.  Steps, each a Spark stage over all documents:
 
 1. every text's minimizers go to buckets, which tell the texts the repeated ones;
-2. the bytes around those go to the same buckets, which sort the suffixes and find each
-   string's smallest doc_id;
+2. the bytes around those go to buckets, which sort the suffixes and find each string's
+   smallest doc_id; around a minimizer of very many places every string goes by its own
+   bytes, so that no bucket grows with a minimizer;
 3. the covered ranges go back to the texts.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,9 @@ GRAM = 20
 SHALLOW = 3                # words of eight bytes that the multikey quicksort looks at
 CHUNK = 1 << 23            # bytes of text whose minimizers are found together
 BLOCK = 1 << 20            # bytes hashed at once, at some 200 bytes of arrays each
+HOT = 1 << 14              # surroundings of one minimizer from which its strings are dealt out one by one
+GROUP = 1 << 15            # surroundings that a bucket gets on average at most
+SPLIT = 1 << 18            # strings of such minimizers that are compared at once before they are sent
 LOWEST = -(1 << 63)        # stands for a null doc_id, below all others
 _POS = np.uint64(0xFFFFFF)  # low bits of a sort key, the place in a chunk
 
@@ -288,7 +293,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[dict]
 
 
 def repeated_seeds(texts: DataFrame, length: int, gram: int, buckets: int) -> DataFrame:
-    """(key, h1, h2, seeds): the minimizers of each text that occur in another text too.
+    """(key, h1, h2, seeds): the minimizers of each text that occur in another text too, as
+    (seed, n), ``n`` the number of runs it has in the text (up to 65,535).
 
     A task tells of a seed once for each chunk of texts, and passes on itself what a chunk
     shows to be repeated, so a seed that very many texts hold makes no large group.  Equal
@@ -309,6 +315,7 @@ def repeated_seeds(texts: DataFrame, length: int, gram: int, buckets: int) -> Da
             order = np.lexsort((text, seed))
             text, seed = text[order], seed[order]
             fresh = np.concatenate(([True], (seed[1:] != seed[:-1]) | (text[1:] != text[:-1])))[:len(seed)]
+            times = np.minimum(np.diff(np.append(np.flatnonzero(fresh), len(seed))), 0xFFFF).astype(np.uint16)
             text, seed = text[fresh], seed[fresh]
             first = np.concatenate(([True], seed[1:] != seed[:-1]))[:len(seed)]
             run = np.cumsum(first) - 1
@@ -320,13 +327,15 @@ def repeated_seeds(texts: DataFrame, length: int, gram: int, buckets: int) -> Da
             for lo, hi in zip(cut, np.append(cut[1:], len(at))):
                 part = at[lo:hi]
                 low = seed[part].view(np.uint8).reshape(-1, 8)[:, :5]
-                out.append((int(bucket[lo]), chunk, low.tobytes(), text[part].astype(np.uint32).tobytes(), None))
+                out.append((int(bucket[lo]), chunk, low.tobytes(), text[part].astype(np.uint32).tobytes(),
+                            times[part].tobytes(), None))
             # What goes to no bucket in particular: repeated seeds, and whose texts these are.
             ids = np.array([[r["key"], r["h1"], r["h2"]] for r in rows], np.int64)
-            out.append((chunk % buckets, chunk, seed[many].tobytes(), text[many].astype(np.uint32).tobytes(), ids.tobytes()))
+            out.append((chunk % buckets, chunk, seed[many].tobytes(), text[many].astype(np.uint32).tobytes(),
+                        times[many].tobytes(), ids.tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
-                names=["bucket", "chunk", "seed", "text", "ids"])
+                [pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int64(), *[pa.binary()] * 4))],
+                names=["bucket", "chunk", "seed", "text", "times", "ids"])
 
     def judge(group: pa.Table) -> pa.Table:
         test = group.filter(pa.compute.is_null(group["ids"])).to_pylist()
@@ -336,33 +345,36 @@ def repeated_seeds(texts: DataFrame, length: int, gram: int, buckets: int) -> Da
             low[:, :5] = np.frombuffer(b"".join(r["seed"] for r in test), np.uint8).reshape(-1, 5)
             seed = low.view(np.uint64).ravel()
             text = np.frombuffer(b"".join(r["text"] for r in test), np.uint32).astype(np.int64)
+            times = np.frombuffer(b"".join(r["times"] for r in test), np.uint16)
             chunk = np.repeat([r["chunk"] for r in test], [len(r["seed"]) // 5 for r in test])
             order = np.argsort(seed, kind="stable")
-            seed, text, chunk = seed[order], text[order], chunk[order]
+            seed, text, chunk, times = seed[order], text[order], chunk[order], times[order]
             same = np.concatenate(([False], seed[1:] == seed[:-1]))
             many = same | np.append(same[1:], False)  # a chunk names a seed once
             bucket = np.uint64(group["bucket"][0].as_py()) << np.uint64(40)
-            parts.append((chunk[many], text[many], (seed[many] | bucket).view(np.int64), None))
+            parts.append((chunk[many], text[many], (seed[many] | bucket).view(np.int64), times[many], None))
         for r in group.filter(pa.compute.is_valid(group["ids"])).to_pylist():
             seed = np.frombuffer(r["seed"], np.int64)
-            parts.append((np.full(len(seed), r["chunk"]), np.frombuffer(r["text"], np.uint32).astype(np.int64), seed, None))
+            parts.append((np.full(len(seed), r["chunk"]), np.frombuffer(r["text"], np.uint32).astype(np.int64), seed,
+                          np.frombuffer(r["times"], np.uint16), None))
             ids = np.frombuffer(r["ids"], np.int64).reshape(-1, 3)
-            parts.append((np.full(len(ids), r["chunk"]), np.arange(len(ids)), None, ids))
+            parts.append((np.full(len(ids), r["chunk"]), np.arange(len(ids)), None, None, ids))
         tables = []
-        for chunk, text, seed, ids in parts:
+        for chunk, text, seed, times, ids in parts:
             none = pa.nulls(len(chunk), pa.int64())
             tables.append(pa.table({
                 "chunk": pa.array(chunk, pa.int64()), "text": pa.array(text, pa.int64()),
                 "seed": none if seed is None else pa.array(seed),
+                "n": none if times is None else pa.array(times.astype(np.int64)),
                 **{k: none if ids is None else pa.array(ids[:, i]) for i, k in enumerate(("key", "h1", "h2"))}}))
         return pa.concat_tables(tables)
 
     told = texts.select("key", "h1", "h2", "text").where(F.octet_length("text") >= length).mapInArrow(
-        tell, "bucket int, chunk long, seed binary, text binary, ids binary")
-    found = told.groupBy("bucket").applyInArrow(judge, "chunk long, text long, seed long, key long, h1 long, h2 long")
+        tell, "bucket int, chunk long, seed binary, text binary, times binary, ids binary")
+    found = told.groupBy("bucket").applyInArrow(judge, "chunk long, text long, seed long, n long, key long, h1 long, h2 long")
     return found.groupBy("chunk", "text").agg(
         F.max("key").alias("key"), F.max("h1").alias("h1"), F.max("h2").alias("h2"),
-        F.collect_set("seed").alias("seeds")).where(F.size("seeds") > 0).select("key", "h1", "h2", "seeds")
+        F.collect_set(F.when(F.col("seed").isNotNull(), F.struct("seed", "n"))).alias("seeds")).where(F.size("seeds") > 0).select("key", "h1", "h2", "seeds")
 
 
 def packed(texts: DataFrame, carry: list[str]) -> DataFrame:
@@ -383,7 +395,13 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     seeds = materialize(repeated_seeds(texts, length, gram, buckets), "suffix-seeds")
     ident = ["key", "h1", "h2"]
-    met = packed(texts, ident).join(seeds, ident)
+    per_seed = seeds.select(F.explode("seeds").alias("s")).groupBy("s.seed").agg(F.sum("s.n").alias("n"))
+    total, hot = per_seed.agg(F.sum("n"), F.collect_list(F.when(F.col("n") > HOT, F.col("seed")))).first()
+    hot = spark.sparkContext.broadcast(np.sort(np.array(hot, np.int64).view(np.uint64)))
+    groups = max(buckets, -(-(total or 0) // GROUP))
+    met = packed(texts, ident).join(seeds.select(*ident, F.col("seeds.seed").alias("seeds")), ident)
+
+    names, kinds = ["bucket", "ids", "start", "count", "body"], [pa.int32()] + [pa.binary()] * 4
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
@@ -403,39 +421,78 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
             hit = np.concatenate([np.zeros(0, np.int64)] + [
                 lo + np.flatnonzero(np.isin(seed[lo:hi], np.array(r["seeds"], np.int64).view(np.uint64)))
                 for r, lo, hi in zip(rows, edge[:-1].tolist(), edge[1:].tolist())])
-            bucket = (seed[hit] >> np.uint64(40)).astype(np.int64)
-            hit = hit[np.argsort(bucket, kind="stable")]
-            bucket = np.sort(bucket)
             ids = np.array([[r[c] for c in ident] for r in rows], np.int64)
             raw = [r["text"] for r in rows]
-            cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))[:len(hit)]
-            out = []
-            for lo, hi in zip(cut, np.append(cut[1:], len(hit))):
-                part = hit[lo:hi]
-                body = b"".join([raw[t][a:b] for t, a, b in zip(
-                    text[part].tolist(), start[part].tolist(), (start[part] + count[part] + length - 1).tolist())])
-                out.append((int(bucket[lo]), _pack(ids[text[part]].T), _pack(start[part]),
-                            _pack(count[part].astype(np.int32)), _pack(body)))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*out), [pa.int32()] + [pa.binary()] * 4)],
-                    names=["bucket", "ids", "start", "count", "body"])
+            many = np.isin(seed[hit], hot.value)
+            alone = hit[~many]
+            bucket = ((seed[alone] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(groups)).astype(np.int64)
+            yield from dealt(raw, ids, bucket, text[alone], start[alone], count[alone])
+            hit, step = hit[many], max(1, SPLIT // (length - gram + 1))
+            for lo in range(0, len(hit), step):
+                part = hit[lo:lo + step]
+                n = count[part]
+                owner = np.repeat(text[part], n)
+                place = np.repeat(start[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                known: dict[bytes, int] = {}
+                which = np.array([known.setdefault(raw[t][a:a + length], len(known))
+                                  for t, a in zip(owner.tolist(), place.tolist())])
+                low = np.full(len(known), np.iinfo(np.int64).max)
+                np.minimum.at(low, which, ids[owner, 0])
+                least = ids[owner, 0] == low[which]
+                bucket = np.array([zlib.crc32(x) % groups for x in known])[which[least]]
+                yield from dealt(raw, ids, bucket, owner[least], place[least], np.ones(least.sum(), np.int64))
+                yield from settled(ids, owner[~least], place[~least])
+
+    def dealt(raw: list[bytes], ids: np.ndarray, bucket: np.ndarray, text: np.ndarray, start: np.ndarray,
+              count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(bucket, kind="stable")
+        bucket, text, start, count = bucket[order], text[order], start[order], count[order]
+        cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))[:len(bucket)]
+        out = []
+        for lo, hi in zip(cut, np.append(cut[1:], len(bucket))):
+            part = slice(lo, hi)
+            body = b"".join([raw[t][a:b] for t, a, b in zip(
+                text[part].tolist(), start[part].tolist(), (start[part] + count[part] + length - 1).tolist())])
+            out.append((int(bucket[lo]), _pack(ids[text[part]].T), _pack(start[part]),
+                        _pack(count[part].astype(np.int32)), _pack(body)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=names)
+
+    def settled(ids: np.ndarray, text: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Strings that a smaller key of the same chunk has, as ranges without a body."""
+        if not len(text):
+            return
+        order = np.lexsort((start, text))
+        text, start = text[order], start[order]
+        first = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (start[1:] > start[:-1] + length))))
+        last = np.append(first[1:], len(text)) - 1
+        size = start[last] + length - start[first]
+        out = (int(text[0] + start[0]) % groups, _pack(ids[text[first]].T), _pack(start[first]), _pack(size.astype(np.int32)), None)
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(out, kinds)], names=names)
 
     def judge(group: pa.Table) -> pa.Table:
         which: list[int] = []
         known: dict[bytes, int] = {}
-        ids, starts = [], []
+        ids, starts, done = [], [], []
         for r in group.select(["ids", "start", "count", "body"]).to_pylist():
+            if r["body"] is None:
+                lo = _unpack(r["start"], np.int64)
+                done.append(ranges(_unpack(r["ids"], np.int64).reshape(3, -1), lo, lo + _unpack(r["count"], np.int32)))
+                continue
             ids.append(_unpack(r["ids"], np.int64).reshape(3, -1))
             starts.append(_unpack(r["start"], np.int64))
             ends = np.cumsum(_unpack(r["count"], np.int32) + length - 1)
             body = zstandard.decompress(r["body"])
             which += [known.setdefault(body[a:b], len(known))
                       for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        if not ids:
+            return pa.concat_tables(done)
         ids, start = np.concatenate(ids, axis=1), np.concatenate(starts)
         record, lo, hi = covered(list(known), ids[0], np.array(which), length)
-        return pa.table({**{c: pa.array(ids[k][record]) for k, c in enumerate(ident)},
-                         "lo": pa.array(start[record] + lo), "hi": pa.array(start[record] + hi)})
+        return pa.concat_tables([*done, ranges(ids[:, record], start[record] + lo, start[record] + hi)])
+
+    def ranges(ids: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Table:
+        return pa.table({**{c: pa.array(ids[k]) for k, c in enumerate(ident)}, "lo": pa.array(lo), "hi": pa.array(hi)})
 
     sent = met.mapInArrow(contexts, "bucket int, ids binary, start binary, count binary, body binary")
     return sent.groupBy("bucket").applyInArrow(judge, "key long, h1 long, h2 long, lo long, hi long").groupBy(
