@@ -94,3 +94,13 @@ def test_query_against_the_library(spark, tmp_path, monkeypatch, limit):
 
 def test_empty_table(spark):
     assert B.token_digests(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_very_many_special_tokens(spark):
+    coder = B.codec(B.TOKENIZER)
+    text = "<|endoftext|>" * 50_000 + "a b<|endoftext|>" * 50_000
+    assert ids(coder.encode(text)) == plain(text)
+    assert sum(kind == -2 for _, kind in B.rows_of_long_text(coder, text, 1000)) == 100_000
+    got = B.token_digests(spark.createDataFrame([(1, text, "c", 1, "k")], SCHEMA)).collect()
+    assert [(r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in got] == [
+        (1, 200_000, hashlib.sha256(text.encode()).hexdigest())]

@@ -50,6 +50,7 @@ class Codec:
             file = json.load(f)
         special = {t["id"]: t["content"] for t in file.get("added_tokens", [])}
         self.special = {text: i for i, text in special.items()}
+        self.special_or_rest = re.compile(f"({'|'.join(map(re.escape, sorted(self.special, key=len, reverse=True)))})")
         back = {ch: b for b, ch in byte_characters().items()}
         self.bytes_of: dict[int, bytes] = {}
         for text, i in self.tok.get_vocab(with_added_tokens=True).items():
@@ -98,15 +99,11 @@ class Codec:
 
     def segments(self, text: str) -> Iterator[str | int]:
         """Text between special tokens, and the special tokens' ids."""
-        for name, i in self.special.items():
-            if name in text:
-                head, _, tail = text.partition(name)
-                yield from self.segments(head)
-                yield i
-                yield from self.segments(tail)
-                return
-        if text:
-            yield text
+        for part in self.special_or_rest.split(text) if self.special else [text]:
+            if part in self.special:
+                yield self.special[part]
+            elif part:
+                yield part
 
     def units(self, piece: str) -> Iterator[tuple[str, bool]]:
         """The pre-tokens of a long piece, in byte characters: some at a time, joined by
