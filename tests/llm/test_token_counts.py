@@ -62,3 +62,16 @@ def test_ids_are_spelled_without_the_separator():
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     assert T.op3_token_counts(spark, str(tmp_path)).collect() == []
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "FILE_BYTES", 4000)
+    rows = [(k, "the in " * (k % 7 * 50)) for k in range(300)] + [(900, "the " * 9000), (901, ""), (902, None)]
+    path = str(tmp_path / "files")
+    T.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), path)
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "files").glob("part-*"))
+    assert len(sizes) > 20 and sizes[-2] <= 4000 < sizes[-1] < 18_100
+    kind, end = T.token_type(TOKENIZER)
+    tok = Tokenizer.from_file(TOKENIZER)
+    want = sorted((d, len(tok.encode(t or "").ids)) for d, t in rows)
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in T.token_counts(spark, path, kind, end, T.HEADER, 64).collect()) == want

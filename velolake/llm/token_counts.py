@@ -21,7 +21,7 @@ SEPARATOR = "<|endoftext|>"
 HEADER = 5               # tokens before a document's own that spell its id
 BLOCK_TOKENS = 1 << 19
 SUPER = 4096             # blocks that the first level of the prefix scan goes over
-FILE_DOCS = 50_000       # documents in one file, as a file is read by one task
+FILE_BYTES = 1 << 24     # of one file, as a file is read by one task; a longer document is a file of its own
 NO_ID = 1 << 64          # spelled for a null doc_id
 
 
@@ -58,23 +58,35 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) ->
     """Flat files of little-endian ids: each document's header and tokens, then a separator.
 
     Spark's text writer puts the bytes out as they are, with the separator's bytes as the
-    end of a line, to whatever store ``path`` is on.  Nothing is shuffled.
+    end of a line, to whatever store ``path`` is on.  Nothing is shuffled.  A line holds
+    documents up to ``FILE_BYTES`` in all, or one longer document, and is a file of its own.
     """
     kind, end = token_type(tokenizer)
+    end_bytes = np.array([end], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = plain_codec(tokenizer)
+        held: list[bytes] = []
+        size = 0
+
+        def line() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([end_bytes.join(held)], pa.binary())], names=["value"])
+
         for batch in slices(batches):
-            out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.frombuffer(codec.encode(text), "<u4").astype(kind)
-                out.append(np.array(spell(doc_id, end), kind).tobytes() + ids.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+                ids = np.frombuffer(codec.encode(text.as_py()), "<u4").astype(kind)
+                one = np.array(spell(doc_id.as_py(), end), kind).tobytes() + ids.tobytes()
+                if held and size + len(one) > FILE_BYTES:
+                    yield line()
+                    held, size = [], 0
+                held.append(one)
+                size += len(one) + len(end_bytes)
+        if held:
+            yield line()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "value binary")
-    end_bytes = np.array([end], kind).tobytes().decode("latin-1")
-    (rows.select(F.col("value").cast("string")).write.option("lineSep", end_bytes).option("encoding", "ISO-8859-1")
-     .option("maxRecordsPerFile", FILE_DOCS).text(path))
+    (rows.select(F.col("value").cast("string")).write.option("lineSep", end_bytes.decode("latin-1"))
+     .option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(path))
 
 
 def scan_blocks(spark: SparkSession, path: str, kind: str, end: int, header: int, block_tokens: int) -> DataFrame:
