@@ -97,3 +97,25 @@ def test_table_against_counting(spark):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     assert S.op1_secrets(spark, str(tmp_path)).collect() == []
+
+
+PATHS = ["org/licenses/LICENSE-2", "src/main/java/example/service", "usr/local/lib/python/site-packages/",
+         "com/news/politics/the-ordinary-title-of-the-article", "home/user/documents/reports/summary", "a-list-of-things-to-do-today"]
+
+
+def test_ordinary_paths_are_not_random(spark):
+    rng = random.Random(4)
+    words = """the of and in to a is that for it as was with be by on not he his but at are this have from or had an they which one
+        you were her all she there would their we him been has when who will more no if out so said what up its about into than them
+        can only other new some could time these two may then do first any my now such like our over man me even most made after also
+        did many before must through back years where much your way well down should because each just those people too how little
+        state good very make world still own see men work long get here between both life being under never day same another know
+        while last might us great old year off come since against go came right used take three house use during without again place
+        service local library package title article license main example news politics python user home report document""".split()
+    docs = [(i, " ".join(rng.choice(words) for _ in range(80))) for i in range(300)]
+    tables = S.train(spark.createDataFrame(docs, "doc_id long, text string"))
+    runs = [b64(f"q{k}", 32) for k in range(100)]
+    df = spark.createDataFrame([(i, f"see {s} here") for i, s in enumerate(PATHS + runs)], "doc_id long, text string")
+    hit = {r["row"]["doc_id"] for r in S.scan(df, tables).where(F.size("markov") > 0).collect()}
+    assert not hit & set(range(len(PATHS)))
+    assert len(hit) >= 97

@@ -31,7 +31,8 @@ SAMPLE_DOCS = 2000      # documents whose strings train the models, by smallest
 _CLASS = "[A-Za-z0-9+/_-]"
 RUN = rf"(?<!{_CLASS}){_CLASS}{{{MIN_RUN},}}"
 BASE_IN_RUN = rf"[0-9a-f]{{{LEAST['hex']}}}|AKIA[A-Z0-9]{{{LEAST['access'] - 4}}}"
-IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_-]{5,}"
+ORDINARY = rf"(?<!{_CLASS}){_CLASS}{{6,}}"
+JOINTS = "/-_"          # what words are joined by in paths, titles and names
 
 
 def _prefix_sums(values: Column, block: int = 256) -> Column:
@@ -133,7 +134,8 @@ def labelled_strings(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFra
     Random strings are labelled by their alphabet: hex, upper (capitals and digits) or mixed.
     They are what the fixed patterns find, and the digest of each document's id in hex, in
     base 36 and in base 64, as such tokens are made from random bytes.  Ordinary are the
-    identifiers of the texts outside of these matches.
+    texts' runs of the judged characters outside of these matches, and each joined to itself
+    and to a number, as paths and names are made from words whether or not the sampled texts hold any.
     """
     mark = F.xxhash64("doc_id")
     top = docs.select(mark.alias("h")).orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
@@ -143,11 +145,16 @@ def labelled_strings(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFra
     made = F.array(F.substring(digest, 1, 40), F.rtrim(F.base64(F.unhex(digest)), F.lit("=")),
                    F.conv(F.substring(digest, 1, 15), 16, 36), F.conv(F.substring(digest, 17, 15), 16, 36))
     values = F.concat(*[F.transform(k, lambda m: m["value"]) for k in LEAST], made)
-    plain = F.filter(F.regexp_extract_all("masked", F.lit(IDENTIFIER), F.lit(0)), lambda s: ~s.rlike(BASE_IN_RUN))
+    plain = F.filter(F.regexp_extract_all("masked", F.lit(ORDINARY), F.lit(0)), lambda s: ~s.rlike(BASE_IN_RUN))
     cut = F.regexp_replace("s", "[^A-Za-z0-9+/_-]", "")
     kind = F.when(F.col("s").rlike("^[0-9a-f]+$"), "hex").when(F.col("s").rlike("^[0-9A-Z]+$"), "upper").otherwise("mixed")
     random = found.select(F.explode(values).alias("s")).select(cut.alias("s")).select(kind.alias("label"), "s")
-    ordinary = found.select(F.lit("ordinary").alias("label"), F.explode(plain).alias("s"))
+    words = found.select(F.explode(plain).alias("s")).distinct()
+    joint = F.substring(F.lit(JOINTS), F.pmod(F.xxhash64("s"), F.lit(len(JOINTS))).cast("int") + 1, F.lit(1))
+    number = F.pmod(F.xxhash64(F.lit(1), "s"), F.element_at(
+        F.array(*map(F.lit, (10, 100, 10_000))), F.pmod(F.length("s"), F.lit(3)) + 1)).cast("string")
+    ordinary = words.select(F.lit("ordinary").alias("label"), F.explode(F.array(
+        "s", F.concat("s", joint, "s"), F.concat("s", joint, number, joint, "s"))).alias("s"))
     return random.union(ordinary).where("s <> ''").distinct()
 
 
