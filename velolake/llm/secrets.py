@@ -30,7 +30,6 @@ SAMPLE_DOCS = 2000      # documents whose strings train the models, by smallest
 
 _CLASS = "[A-Za-z0-9+/_-]"
 RUN = rf"(?<!{_CLASS}){_CLASS}{{{MIN_RUN},}}"
-BASE_IN_RUN = rf"[0-9a-f]{{{LEAST['hex']}}}|AKIA[A-Z0-9]{{{LEAST['access'] - 4}}}"
 ORDINARY = rf"(?<!{_CLASS}){_CLASS}{{6,}}"
 JOINTS = "/-_"          # what words are joined by in paths, titles and names
 
@@ -77,23 +76,30 @@ def located(df: DataFrame, text: str, pattern: str, out: str, group: int = 0, wh
         F.get(F.col("_v"), i).alias("value")))).alias(out))
 
 
+def blanked(text: Column, spans: str) -> Column:
+    """``text`` with spaces in place of the spans of an array that ``located`` made."""
+    def stop(i: Column) -> Column:
+        return F.when(i == 0, 0).otherwise(F.get(F.col(spans), i - 1)["end"])
+
+    parts = F.transform(spans, lambda m, i: F.concat(
+        F.substring(text, stop(i) + 1, m["start"] - stop(i)), F.repeat(F.lit(" "), m["end"] - m["start"])))
+    rest = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(parts, ""), rest))
+
+
 def base_spans(df: DataFrame, text: str) -> DataFrame:
     """Add arrays ``assign``, ``access``, ``hex`` of the spans that are long enough, and
-    ``masked``, the text with every assign match blanked out."""
+    ``masked``, the text with every assign match and these spans blanked out."""
     t = F.col(text)
     df = located(df, text, ASSIGN, "assign", 2, t.contains("=") | t.contains(":"))
     df = located(df, text, ACCESS, "access", 0, t.contains("AKIA"))
     # A run of hex digits is found whole or not at all, so short ones can be left out early.
     df = located(df, text, rf"[0-9a-f]{{{LEAST['hex']},}}", "hex", 0, t.rlike(rf"[0-9a-f]{{{LEAST['hex']}}}"))
-    blank = F.concat(F.array_join(F.transform("assign", lambda m, i: F.concat(
-        F.substring(t, F.when(i == 0, 1).otherwise(F.get(F.col("assign"), i - 1)["end"] + 1),
-                    m["start"] - F.when(i == 0, 0).otherwise(F.get(F.col("assign"), i - 1)["end"])),
-        F.repeat(F.lit(" "), m["end"] - m["start"]))), ""),
-        F.substring(t, F.element_at("assign", -1)["end"] + 1, F.length(t)))
-    masked = F.when(F.size("assign") == 0, t).otherwise(blank)
-    df = df.withColumn("masked", masked)
+    df = df.withColumn("masked", once(blanked(t, "assign")))
     for kind, least in LEAST.items():
         df = df.withColumn(kind, F.filter(kind, lambda m: F.length(m["value"]) >= least))
+    for kind in ("access", "hex"):
+        df = df.withColumn("masked", once(blanked(F.col("masked"), kind)))
     return df
 
 
@@ -145,7 +151,7 @@ def labelled_strings(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFra
     made = F.array(F.substring(digest, 1, 40), F.rtrim(F.base64(F.unhex(digest)), F.lit("=")),
                    F.conv(F.substring(digest, 1, 15), 16, 36), F.conv(F.substring(digest, 17, 15), 16, 36))
     values = F.concat(*[F.transform(k, lambda m: m["value"]) for k in LEAST], made)
-    plain = F.filter(F.regexp_extract_all("masked", F.lit(ORDINARY), F.lit(0)), lambda s: ~s.rlike(BASE_IN_RUN))
+    plain = F.regexp_extract_all("masked", F.lit(ORDINARY), F.lit(0))
     cut = F.regexp_replace("s", "[^A-Za-z0-9+/_-]", "")
     kind = F.when(F.col("s").rlike("^[0-9a-f]+$"), "hex").when(F.col("s").rlike("^[0-9A-Z]+$"), "upper").otherwise("mixed")
     random = found.select(F.explode(values).alias("s")).select(cut.alias("s")).select(kind.alias("label"), "s")
@@ -179,8 +185,8 @@ def scan(docs: DataFrame, tables: dict[str, list[float]], min_rate: float = MIN_
     """The input's rows in a struct ``row``, with the arrays ``assign``, ``access``, ``hex``
     and ``markov`` of (start, end, value) in code points.
 
-    ``markov`` holds the runs of at least ``MIN_RUN`` letters, digits and +/_- that touch no
-    other span and whose ratio is at least ``min_rate`` a character.
+    ``markov`` holds the runs of at least ``MIN_RUN`` letters, digits and +/_- outside of
+    all other spans whose ratio is at least ``min_rate`` a character.
 
     A null text is empty; a text of any length is read whole; repeated rows are scanned
     each; null ids and other columns are carried; an empty table gives an empty result.
@@ -188,9 +194,7 @@ def scan(docs: DataFrame, tables: dict[str, list[float]], min_rate: float = MIN_
     df = docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     df = base_spans(df, "text").drop("text")
     df = located(df, "masked", RUN, "run", 0, F.col("masked").rlike(RUN)).drop("masked")
-    # A hex or access span lies within one run, as its characters all are of the run's class.
-    own = F.filter("run", lambda m: ~m["value"].rlike(BASE_IN_RUN))
-    markov = F.filter(own, lambda m: log_ratio(m["value"], tables) >= min_rate * F.length(m["value"]))
+    markov = F.filter("run", lambda m: log_ratio(m["value"], tables) >= min_rate * F.length(m["value"]))
     return df.withColumn("markov", markov).drop("run")
 
 
