@@ -80,3 +80,12 @@ def test_training_counts_are_exact(spark):
     code = {g: L.trigrams(f" {g} ", [0])[0][0] for g in ("ab", "cd", "zz")}
     mask = {g: int(model.masks(np.array([c]))[0, 0]) for g, c in code.items()}
     assert mask == {"ab": 3, "cd": 1, "zz": 2}
+
+
+def test_the_stage_learns_from_all_labelled_documents(spark):
+    fifth = [k for k in range(2000) if zlib.crc32(str(k).encode()) % 5 == 0]
+    rest = [k for k in range(2000) if zlib.crc32(str(k).encode()) % 5]
+    data = [(k, "the quick brown fox jumps over lazy dogs", "en", None, None) for k in rest[:20]]
+    data += [(k, "żółw gęś źdźbło ćma łąka", "pl", None, None) for k in fifth[:3]]
+    kept = L.keep_known(spark.createDataFrame(data, SCHEMA))
+    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == sorted(k for k, *_ in data)

@@ -216,6 +216,6 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents that some learned language covers to at least ``min_score``."""
-    model = train(docs.where(crc_mod(F.col("doc_id"), 5) != 0))
+    model = train(docs)
     return predict(docs, model).where(
         (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
