@@ -83,3 +83,13 @@ def word_blocks(data: bytes, block: int = 1 << 22) -> Iterator[list[bytes]]:
             end += 1
         yield data[at:end].split()
         at = end
+
+
+# Every byte of a term by itself in lower case, and a space for what separates terms: terms are
+# maximal runs of 0-9, A-Z, a-z and of characters from U+0080 on, which UTF-8 writes in high bytes.
+_TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def term_blocks(data: bytes, block: int = 1 << 22) -> Iterator[list[bytes]]:
+    """The terms of UTF-8 ``data`` with A-Z lower-cased, in lists as ``word_blocks`` gives them."""
+    yield from word_blocks(data.translate(_TERM_BYTES), block)
