@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from velolake import constants as K
 from velolake import schemas
@@ -52,12 +53,12 @@ def ride_rules() -> list[R.Rule]:
     ]
 
 
-def parse_rides(bronze: DataFrame) -> DataFrame:
-    return parse_payload(bronze, schemas.RIDE_PAYLOAD)
+def parse_rides(bronze: DataFrame, payload: StructType = schemas.RIDE_PAYLOAD) -> DataFrame:
+    return parse_payload(bronze, payload)
 
 
-def parse_telemetry(bronze: DataFrame) -> DataFrame:
-    return parse_payload(bronze, schemas.TELEMETRY_PAYLOAD)
+def parse_telemetry(bronze: DataFrame, payload: StructType = schemas.TELEMETRY_PAYLOAD) -> DataFrame:
+    return parse_payload(bronze, payload)
 
 
 @per_context

@@ -236,6 +236,27 @@ def stream_resume(f: Frames):
     return lake.read(f.spark, "silver", TOPICS["rides"])
 
 
+@_register("stream_schema_evolution", BASE + """
+    SELECT * EXCLUDE n, CASE WHEN n % 3 = 1 THEN 'P-' || CAST(n % 10 AS VARCHAR) END AS promo_code
+    FROM (SELECT *, CAST(substr(ride_id, 3) AS BIGINT) AS n FROM fact_rides)""")
+def stream_schema_evolution(f: Frames):
+    """Three increments of rides through silver and gold; the messages of the second, and its
+    plan, have one more field.  The facts have it as a column, NULL before and after (S8)."""
+    from velolake import schemas
+    lake = Lake.fresh(f.spark, "evolution")
+    grown = schemas.StructType([*schemas.RIDE_PAYLOAD, schemas.StructField("promo_code", schemas.StringType())])
+    promo = F.concat(F.lit("P-"), (F.col("event_id") % 10).cast("string"))
+    for k in range(3):
+        part = f.events.where(F.col("event_id") % 3 == k)
+        L.publish(sample.messages(part, "rides", {"promo_code": promo} if k == 1 else None), lake, TOPICS["rides"])
+        if not k:  # the telemetry topic stays as it is
+            L.publish(sample.messages(f.events, "telemetry"), lake, TOPICS["telemetry"])
+        L.run_layer(L.start_bronze(f.spark, lake))
+        L.run_layer(L.start_silver(f.spark, lake, payloads={"rides": grown} if k == 1 else None))
+        L.run_layer(L.start_gold(f.spark, lake, tables=("fact_rides",)))
+    return L.read_gold(f.spark, lake, "fact_rides")
+
+
 @_register("stream_bronze_continuous", BATCH_ORACLE["bronze_parse_rides"])
 def stream_bronze_continuous(f: Frames):
     """Continuous ingest (S4) until one of its queries stops, which ends the layer."""

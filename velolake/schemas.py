@@ -61,6 +61,7 @@ TELEMETRY_PAYLOAD = _struct(
 _INGEST = [StructField("bronze_ingestion_time", TimestampType(), True)]
 _ERR = [StructField("error_message", StringType(), True)]
 
+QUARANTINE_ERROR = _ERR
 SILVER_RIDES = StructType(_INGEST + RIDE_PAYLOAD.fields)
 SILVER_TELEMETRY = StructType(_INGEST + TELEMETRY_PAYLOAD.fields)
 QUARANTINE_RIDES = StructType(SILVER_RIDES.fields + _ERR)

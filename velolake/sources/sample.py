@@ -41,8 +41,8 @@ def _epoch_ms() -> Column:
     return F.unix_millis(_arrival())
 
 
-def ride_payload() -> Column:
-    """The ride message as a struct over ``events`` columns."""
+def ride_payload(extra: dict[str, Column] | None = None) -> Column:
+    """The ride message as a struct over ``events`` columns; ``extra`` adds fields to it."""
     et = F.col("event_type")
     eid = F.col("event_id")
     return F.struct(
@@ -62,6 +62,7 @@ def ride_payload() -> Column:
           .when(et == "view", F.lit("in_progress"))
           .when(et == "purchase", F.lit("completed"))
           .when(et == "click", F.lit("cancelled"))).alias("ride_status"),
+        *[c.alias(k) for k, c in (extra or {}).items()],
     )
 
 
@@ -84,10 +85,9 @@ def telemetry_payload() -> Column:
     )
 
 
-@per_context
-def _envelopes() -> dict[str, list[Column]]:
+def _envelopes(extra: dict[str, Column] | None = None) -> dict[str, list[Column]]:
     eid = F.col("event_id")
-    ride, telemetry = F.to_json(ride_payload()), F.to_json(telemetry_payload())
+    ride, telemetry = F.to_json(ride_payload(extra)), F.to_json(telemetry_payload())
     # some rides carry text where a number belongs, some messages are no JSON at all
     mistyped = F.regexp_replace(ride, '"duration_mins":[0-9]+', '"duration_mins":"long"')
     text = {"rides": F.when(eid % 131 == 6, mistyped).otherwise(ride), "telemetry": telemetry}
@@ -95,6 +95,10 @@ def _envelopes() -> dict[str, list[Column]]:
                    _arrival().alias("timestamp")] for kind, json in text.items()}
 
 
-def messages(events: DataFrame, kind: str) -> DataFrame:
-    """Kafka-shaped envelope ``(value BINARY, timestamp TIMESTAMP)`` for one topic."""
-    return events.select(*_envelopes()[kind])
+_plain_envelopes = per_context(_envelopes)
+
+
+def messages(events: DataFrame, kind: str, extra: dict[str, Column] | None = None) -> DataFrame:
+    """Kafka-shaped envelope ``(value BINARY, timestamp TIMESTAMP)`` for one topic; ``extra``
+    fields are sent with the rides."""
+    return events.select(*(_envelopes(extra) if extra else _plain_envelopes())[kind])

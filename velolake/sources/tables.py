@@ -21,12 +21,14 @@ def is_missing(exc: AnalysisException) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
-               merge_schema: bool = False) -> DataFrame:
+               merge_schema: bool = False, columns: StructType | None = None) -> DataFrame:
     """Snapshot of a lake table.  A Parquet streaming sink's folder is read through its
     ``_spark_metadata`` log, so only committed files are seen.  A missing or empty
     table gives an empty frame of ``schema`` when one is given, and is an error otherwise.
+    ``columns`` are read from every file, NULL where a file has none of a name; without them
+    they are those of some file, or with ``merge_schema`` of all.
     """
-    reader = spark.read
+    reader = spark.read if columns is None else spark.read.schema(columns)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
     try:

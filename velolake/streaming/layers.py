@@ -18,11 +18,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from velolake import constants as K
+from velolake import schemas
 from velolake.operators import gold, marts, silver
 from velolake.sources.envelope import read_landing
 from velolake.streaming import dims as D
+from velolake.streaming.evolution import conform
 from velolake.streaming.lake import TOPICS, Lake
 from velolake.streaming.sinks import append_sink, batch_sink, run_layer
 
@@ -52,27 +55,45 @@ def start_bronze(spark: SparkSession, lake: Lake, trigger: str = "available_now"
 
 
 def start_silver(spark: SparkSession, lake: Lake, undecided: str = "drop", trigger: str = "available_now",
-                 max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
+                 max_files_per_trigger: int | None = None,
+                 payloads: dict[str, StructType] | None = None) -> list[StreamingQuery]:
     """bronze -> parse -> rules -> ``silver/<t>``, one query and one parse a topic; the valid
-    and the quarantine route are folders of that table, which its readers prune on."""
+    and the quarantine route are folders of that table, which its readers prune on.
+
+    ``payloads`` gives the message fields of ``rides`` or ``telemetry`` where they have grown.
+    From that start on the table has them (S8), whether or not a later start names them again."""
     jobs = [
-        (TOPICS["rides"], silver.parse_rides, silver.ride_rules),
-        (TOPICS["telemetry"], silver.parse_telemetry, silver.telemetry_rules),
+        ("rides", silver.parse_rides, silver.ride_rules, schemas.RIDE_PAYLOAD),
+        ("telemetry", silver.parse_telemetry, silver.telemetry_rules, schemas.TELEMETRY_PAYLOAD),
     ]
     out = []
-    for table, parse, rules in jobs:
-        validated = silver.apply_rules_to(parse(lake.read_stream(spark, "bronze", table, max_files_per_trigger)),
-                                          rules())
+    for kind, parse, rules, payload in jobs:
+        table = TOPICS[kind]
+        planned = (payloads or {}).get(kind, payload)
+        columns = lake.evolve(spark, "silver", table, planned)
+        validated = silver.apply_rules_to(parse(
+            lake.read_stream(spark, "bronze", table, max_files_per_trigger), StructType(columns.fields[1:])), rules())
         out.append(append_sink(silver.routed(validated, rules(), undecided), lake.table("silver", table),
                                lake.checkpoint("silver", table), trigger, partition_by=["route"]))
     return out
 
 
+FACT_SOURCES = {"fact_rides": (TOPICS["rides"], gold.FACT_RIDES_COLUMNS),
+                "fact_telemetry": (TOPICS["telemetry"], gold.FACT_TELEMETRY_COLUMNS)}
+
+
+def evolved_facts(spark: SparkSession, lake: Lake, table: str, silver_rows: DataFrame) -> DataFrame:
+    """The fact columns, those the silver table has gained, and those the facts had before."""
+    source, columns = FACT_SOURCES[table]
+    facts = silver_rows.select(*columns, *[f.name for f in lake.gained(spark, "silver", source)])
+    return conform(facts, lake.evolve(spark, "gold", table, facts.schema))
+
+
 def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str = "merge",
                trigger: str = "available_now", max_files_per_trigger: int | None = None,
                state_partitions: int | None = None, date_partitioned: bool = False) -> list[StreamingQuery]:
-    """silver -> facts (append) and dimensions (``merge`` or ``state`` mode).
-    ``date_partitioned`` stores the facts by ``event_date`` (see :func:`gold.with_event_date`)."""
+    """silver -> facts (append) and dimensions (``merge`` or ``state`` mode).  Columns that a
+    silver table has gained go on to its facts (S8).  ``date_partitioned`` stores the facts by ``event_date`` (see :func:`gold.with_event_date`)."""
     def facts_sink(df: DataFrame, path: str, ckpt: str):
         if date_partitioned:
             # A day's rows go to DAY_FILES tasks, so a batch writes at most that many files a
@@ -94,9 +115,9 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
         own = f"{t}_state" if t.startswith("dim_") and dims == "state" else t
         path, ckpt = lake.table("gold", t), lake.checkpoint("gold", own)
         if t == "fact_rides":
-            out.append(facts_sink(rides().select(*gold.FACT_RIDES_COLUMNS), path, ckpt))
+            out.append(facts_sink(evolved_facts(spark, lake, t, rides()), path, ckpt))
         elif t == "fact_telemetry":
-            out.append(facts_sink(telemetry().select(*gold.FACT_TELEMETRY_COLUMNS), path, ckpt))
+            out.append(facts_sink(evolved_facts(spark, lake, t, telemetry()), path, ckpt))
         elif t in ("dim_payment_method", "dim_city"):
             key = t[len("dim_"):]
             if dims == "merge":
@@ -124,7 +145,6 @@ def start_marts(spark: SparkSession, lake: Lake, window: str = K.MART_WINDOW_DUR
                 state_partitions: int | None = None, date_partitioned: bool = False) -> list[StreamingQuery]:
     """gold facts -> windowed marts under a watermark (append: a window is written once,
     when the watermark passes its end; rows for an already-closed window are dropped)."""
-    from velolake import schemas
     fr = lake.read_stream(spark, "gold", "fact_rides", max_files_per_trigger,
                           schema=schemas.FACT_RIDES_BY_DATE if date_partitioned else None)
     ft = lake.read_stream(spark, "gold", "fact_telemetry", max_files_per_trigger,
@@ -138,7 +158,6 @@ def start_marts(spark: SparkSession, lake: Lake, window: str = K.MART_WINDOW_DUR
 
 
 def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    from velolake import schemas
     if table.startswith("dim_"):
         return D.read_dimension(spark, lake.table("gold", table), schemas.TABLE_SCHEMAS[f"gold/{table}"])
     return lake.read(spark, "gold", table)
@@ -148,7 +167,7 @@ def run_incremental(spark: SparkSession, lake: Lake, layers=("bronze", "silver",
                     window: str = K.MART_WINDOW_DURATION, watermark: str = K.MART_WATERMARK,
                     exact: bool = False, dims: str = "merge", undecided: str = "drop",
                     max_files_per_trigger: int | None = None, state_partitions: int | None = None,
-                    date_partitioned: bool = False) -> None:
+                    date_partitioned: bool = False, payloads: dict[str, StructType] | None = None) -> None:
     """Run the given layers in order, each as an ``availableNow`` increment (the manual
     run sheet: Silver, then Gold, then Mart).  Safe to repeat: each query resumes from
     its checkpoint and only new input is processed.  ``state_partitions``: see
@@ -158,7 +177,7 @@ def run_incremental(spark: SparkSession, lake: Lake, layers=("bronze", "silver",
         if layer == "bronze":
             run_layer(start_bronze(spark, lake, max_files_per_trigger=m))
         elif layer == "silver":
-            run_layer(start_silver(spark, lake, undecided=undecided, max_files_per_trigger=m))
+            run_layer(start_silver(spark, lake, undecided=undecided, max_files_per_trigger=m, payloads=payloads))
         elif layer == "gold":
             run_layer(start_gold(spark, lake, dims=dims, max_files_per_trigger=m,
                                  state_partitions=state_partitions, date_partitioned=date_partitioned))
