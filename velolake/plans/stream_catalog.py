@@ -257,6 +257,48 @@ def stream_schema_evolution(f: Frames):
     return L.read_gold(f.spark, lake, "fact_rides")
 
 
+def _one_read(f: Frames) -> Lake:
+    """Two increments through silver, and gold with one read of it a topic."""
+    lake = Lake.fresh(f.spark, "oneread")
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        for kind, topic in TOPICS.items():
+            L.publish(sample.messages(f.events.where(part), kind), lake, topic)
+        L.run_incremental(f.spark, lake, layers=("bronze", "silver", "gold"), one_read=True)
+    return lake
+
+
+@_register("stream_facts_one_read", BASE + """
+    SELECT 'rides' AS topic, ride_id, scooter_id, event_ts, city, fare_amount, battery_level FROM
+      (SELECT *, CAST(NULL AS BIGINT) AS battery_level FROM fact_rides)
+    UNION ALL
+    SELECT 'telemetry', NULL, scooter_id, event_ts, NULL, NULL, battery_level FROM fact_tel""")
+def stream_facts_one_read(f: Frames):
+    """Both fact tables as the two one-read queries write them."""
+    lake = _one_read(f)
+    names = ["ride_id", "scooter_id", "event_ts", "city", "fare_amount", "battery_level"]
+    rides, telemetry = (L.read_gold(f.spark, lake, t) for t in ("fact_rides", "fact_telemetry"))
+    both = rides.select(F.lit("rides").alias("topic"), *[c for c in names if c in rides.columns]).unionByName(
+        telemetry.select(F.lit("telemetry").alias("topic"), *[c for c in names if c in telemetry.columns]), allowMissingColumns=True)
+    return both.select("topic", *names)
+
+
+@_register("stream_dims_one_read", BASE + """
+    SELECT 'city' AS dimension, city AS key, CAST(NULL AS TIMESTAMP) AS hour_start, CAST(NULL AS INTEGER) AS day_of_week
+    FROM (SELECT DISTINCT city FROM fact_rides WHERE city IS NOT NULL)
+    UNION ALL SELECT 'payment_method', payment_method, NULL, NULL FROM (SELECT DISTINCT payment_method FROM fact_rides WHERE payment_method IS NOT NULL)
+    UNION ALL SELECT 'time_hourly', NULL, h, CAST(dayofweek(h) + 1 AS INTEGER) FROM
+      (SELECT DISTINCT date_trunc('hour', event_ts) AS h FROM (SELECT event_ts FROM fact_rides UNION ALL SELECT event_ts FROM fact_tel))""")
+def stream_dims_one_read(f: Frames):
+    """The three dimensions as the two one-read queries maintain them."""
+    lake = _one_read(f)
+    hours = L.read_gold(f.spark, lake, "dim_time_hourly").select(
+        F.lit("time_hourly").alias("dimension"), F.lit(None).cast("string").alias("key"), "hour_start", "day_of_week")
+    for t in ("city", "payment_method"):
+        hours = hours.unionByName(L.read_gold(f.spark, lake, f"dim_{t}").select(F.lit(t).alias("dimension"), F.col(t).alias("key")),
+                                  allowMissingColumns=True)
+    return hours
+
+
 @_register("stream_bronze_continuous", BATCH_ORACLE["bronze_parse_rides"])
 def stream_bronze_continuous(f: Frames):
     """Continuous ingest (S4) until one of its queries stops, which ends the layer."""

@@ -98,9 +98,11 @@ FACT_TELEMETRY = _struct(
 )
 
 # Facts stored partitioned by event date (``partitionBy("event_date")``).
-_DATE = [StructField("event_date", DateType(), True)]
-FACT_RIDES_BY_DATE = StructType(FACT_RIDES.fields + _DATE)
-FACT_TELEMETRY_BY_DATE = StructType(FACT_TELEMETRY.fields + _DATE)
+DATE = [StructField("event_date", DateType(), True)]
+FACT_RIDES_BY_DATE = StructType(FACT_RIDES.fields + DATE)
+FACT_TELEMETRY_BY_DATE = StructType(FACT_TELEMETRY.fields + DATE)
+# Facts that a foreachBatch query writes, a folder a batch.
+BATCH = [StructField("batch_id", LongType(), True)]
 
 DIM_PAYMENT_METHOD = _struct(("payment_method", StringType()))
 DIM_CITY = _struct(("city", StringType()))

@@ -16,6 +16,9 @@ one task each batch.  Kept for parity; ``merge`` gives the same table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -26,6 +29,7 @@ from velolake.sources.tables import is_missing
 
 BATCH_COL = "batch_id"
 FULL_COL = "full"        # 1: the folder holds the whole table up to its batch
+TOPIC_COL = "topic"      # parts of a dimension that two queries write
 COMPACT_AFTER = 16       # folders after which a batch writes the whole table
 
 
@@ -83,13 +87,33 @@ def merge_writer(path: str, keys: list[str], finish=None, compact_after: int = C
             full = folders >= compact_after
             if full:
                 _drop_folders(spark, path, min(r[0] for r in prior.select(F.min(BATCH_COL)).collect()))
-                out = prior.drop(FULL_COL, BATCH_COL).unionByName(new).coalesce(1)
+                out = prior.drop(FULL_COL, BATCH_COL).unionByName(new)
             out.write.mode("overwrite").parquet(f"{path}/{FULL_COL}={int(full)}/{BATCH_COL}={batch_id}")
         finally:
             new.unpersist()
     return write
 
 
+def topic_writer(fact_path: str, facts, dimensions: list[tuple[str, str, Callable | None]]):
+    """``foreachBatch`` function of one topic: a batch's facts, and its new keys of every
+    dimension, under the batch's id (W8).
+
+    The batch is read once, for ``facts(batch_df)``, which overwrites the batch's own folder of
+    the fact table; the keys come from the two or three columns of that folder.  ``dimensions``
+    are (path, key, finish) as :func:`merge_writer` takes them.  Every write is idempotent under
+    its batch id, so a batch that fails between two of them is simply run again, whole."""
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        rows = facts(batch_df)
+        folder = f"{fact_path}/{BATCH_COL}={batch_id}"
+        rows.write.mode("overwrite").parquet(folder)
+        written = spark.read.schema(rows.schema).parquet(folder)
+        for path, key, finish in dimensions:
+            keys = hours_of(written) if key == "hour_start" else written
+            merge_writer(path, [key], finish)(keys.select(key), batch_id)
+    return write
+
+
 def read_dimension(spark, path: str, schema=None) -> DataFrame:
     """Batch read of a dimension of either mode, without the folder columns."""
     parts = _parts(spark, path)
@@ -97,6 +121,10 @@ def read_dimension(spark, path: str, schema=None) -> DataFrame:
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
+    if TOPIC_COL in parts.columns:
+        topics = [r[0] for r in parts.select(TOPIC_COL).distinct().collect()]  # one or two
+        each = [read_dimension(spark, f"{path}/{TOPIC_COL}={t}") for t in sorted(topics)]
+        return reduce(DataFrame.unionByName, each).distinct()
     return _current(parts)[0].drop(FULL_COL, BATCH_COL) if FULL_COL in parts.columns else parts
 
 

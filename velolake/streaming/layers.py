@@ -139,16 +139,40 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
     return out
 
 
+def start_gold_topics(spark: SparkSession, lake: Lake, trigger: str = "available_now",
+                      max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
+    """silver -> all five gold tables by two queries, one a topic, each of which reads its silver
+    rows once (W8): :func:`start_gold` reads the rides four times and telemetry twice.
+
+    Facts lie in a folder a batch, dimensions as in ``merge`` mode.  Both topics bring hours, so
+    ``dim_time_hourly`` has a part for each and :func:`read_gold` returns an hour once.  A lake
+    has its gold from one of the two forms: their checkpoints are different ones."""
+    out = []
+    for kind, table in (("rides", "fact_rides"), ("telemetry", "fact_telemetry")):
+        silver_rows = lake.read_stream(spark, "silver", TOPICS[kind], max_files_per_trigger)
+        columns = evolved_facts(spark, lake, table, gold.with_event_ts(silver_rows)).schema
+        dimensions = [(f"{lake.table('gold', 'dim_time_hourly')}/{D.TOPIC_COL}={kind}", "hour_start", gold.with_calendar)]
+        if kind == "rides":
+            dimensions += [(lake.table("gold", f"dim_{k}"), k, None) for k in ("payment_method", "city")]
+
+        def facts(df: DataFrame, columns=columns) -> DataFrame:
+            return conform(gold.with_event_ts(df), columns).select(*columns.fieldNames())
+
+        out.append(batch_sink(silver_rows, D.topic_writer(lake.table("gold", table), facts, dimensions),
+                              lake.checkpoint("gold", f"topic_{kind}"), trigger, name=f"gold_{kind}"))
+    return out
+
+
 def start_marts(spark: SparkSession, lake: Lake, window: str = K.MART_WINDOW_DURATION,
                 watermark: str = K.MART_WATERMARK, exact: bool = False, trigger: str = "available_now",
                 max_files_per_trigger: int | None = None,
-                state_partitions: int | None = None, date_partitioned: bool = False) -> list[StreamingQuery]:
+                state_partitions: int | None = None, date_partitioned: bool = False,
+                by_batch: bool = False) -> list[StreamingQuery]:
     """gold facts -> windowed marts under a watermark (append: a window is written once,
     when the watermark passes its end; rows for an already-closed window are dropped)."""
-    fr = lake.read_stream(spark, "gold", "fact_rides", max_files_per_trigger,
-                          schema=schemas.FACT_RIDES_BY_DATE if date_partitioned else None)
-    ft = lake.read_stream(spark, "gold", "fact_telemetry", max_files_per_trigger,
-                          schema=schemas.FACT_TELEMETRY_BY_DATE if date_partitioned else None)
+    folders = StructType([*(schemas.DATE if date_partitioned else []), *(schemas.BATCH if by_batch else [])])
+    fr = lake.read_stream(spark, "gold", "fact_rides", max_files_per_trigger, schema=folders)
+    ft = lake.read_stream(spark, "gold", "fact_telemetry", max_files_per_trigger, schema=folders)
     jobs = [
         ("mart_revenue_hourly", marts.revenue_mart(fr, window=window, exact=exact, watermark=watermark)),
         ("mart_fleet_health_hourly", marts.fleet_mart(ft, window=window, exact=exact, watermark=watermark)),
@@ -158,32 +182,36 @@ def start_marts(spark: SparkSession, lake: Lake, window: str = K.MART_WINDOW_DUR
 
 
 def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    known = schemas.TABLE_SCHEMAS.get(f"gold/{table}")
     if table.startswith("dim_"):
-        return D.read_dimension(spark, lake.table("gold", table), schemas.TABLE_SCHEMAS[f"gold/{table}"])
-    return lake.read(spark, "gold", table)
+        return D.read_dimension(spark, lake.table("gold", table), known)
+    return lake.read(spark, "gold", table).drop(D.BATCH_COL)
 
 
 def run_incremental(spark: SparkSession, lake: Lake, layers=("bronze", "silver", "gold", "mart"),
                     window: str = K.MART_WINDOW_DURATION, watermark: str = K.MART_WATERMARK,
                     exact: bool = False, dims: str = "merge", undecided: str = "drop",
                     max_files_per_trigger: int | None = None, state_partitions: int | None = None,
-                    date_partitioned: bool = False, payloads: dict[str, StructType] | None = None) -> None:
+                    date_partitioned: bool = False, payloads: dict[str, StructType] | None = None,
+                    one_read: bool = False) -> None:
     """Run the given layers in order, each as an ``availableNow`` increment (the manual
     run sheet: Silver, then Gold, then Mart).  Safe to repeat: each query resumes from
-    its checkpoint and only new input is processed.  ``state_partitions``: see
-    :func:`velolake.streaming.sinks.append_sink`."""
+    its checkpoint and only new input is processed.  ``one_read`` takes :func:`start_gold_topics`
+    for gold.  ``state_partitions``: see :func:`velolake.streaming.sinks.append_sink`."""
     m = max_files_per_trigger
     for layer in layers:
         if layer == "bronze":
             run_layer(start_bronze(spark, lake, max_files_per_trigger=m))
         elif layer == "silver":
             run_layer(start_silver(spark, lake, undecided=undecided, max_files_per_trigger=m, payloads=payloads))
+        elif layer == "gold" and one_read:
+            run_layer(start_gold_topics(spark, lake, max_files_per_trigger=m))
         elif layer == "gold":
             run_layer(start_gold(spark, lake, dims=dims, max_files_per_trigger=m,
                                  state_partitions=state_partitions, date_partitioned=date_partitioned))
         elif layer == "mart":
             run_layer(start_marts(spark, lake, window=window, watermark=watermark, exact=exact,
                                   max_files_per_trigger=m, state_partitions=state_partitions,
-                                  date_partitioned=date_partitioned))
+                                  date_partitioned=date_partitioned, by_batch=one_read))
         else:
             raise ValueError(f"unknown layer {layer!r}")

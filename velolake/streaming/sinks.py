@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -72,19 +73,25 @@ def run_layer(queries: list[StreamingQuery], wait: str = "all", timeout_s: float
               poll_s: float = 0.2) -> None:
     """Wait for a layer's queries: ``all`` (incremental layers) or ``any`` (continuous
     ingest: return as soon as one of *these* stops, or after ``timeout_s``, then stop the
-    others).  A failed query raises its exception; ``all`` raises ``TimeoutError`` if a query
+    others).  A failed query raises its exception, after the layer's others were stopped; they
+    resume where they were.  ``all`` raises ``TimeoutError`` if a query
     still runs after ``timeout_s``, as the next layer would read an incomplete table."""
     if wait not in ("all", "any"):
         raise ValueError("wait must be 'all' or 'any'")
     end = None if timeout_s is None else time.monotonic() + timeout_s
     if wait == "all":
-        for q in queries:
-            if end is None:
-                q.awaitTermination()
-            elif not q.awaitTermination(max(0.001, end - time.monotonic())):
-                raise TimeoutError(f"query {q.name or q.id} still runs after {timeout_s} s")
-            if q.exception():
-                raise q.exception()
+        try:
+            for q in queries:
+                if end is None:
+                    q.awaitTermination()
+                elif not q.awaitTermination(max(0.001, end - time.monotonic())):
+                    raise TimeoutError(f"query {q.name or q.id} still runs after {timeout_s} s")
+                if q.exception():
+                    raise q.exception()
+        except StreamingQueryException:
+            for q in queries:  # so that a next run of the layer finds none of them active
+                q.stop()
+            raise
         return
     while queries and all(q.isActive for q in queries) and (end is None or time.monotonic() < end):
         time.sleep(poll_s)
