@@ -183,7 +183,7 @@ def within_hll_bound(approx: Column, exact: Column, slack: int = HLL_SLACK, rel:
     return F.abs(approx - exact) <= F.greatest(F.lit(float(slack)), F.lit(rel) * exact)
 
 
-def beside_exact(estimated: DataFrame, exact: DataFrame, counts: list[str]) -> DataFrame:
+def beside_exact(estimated: DataFrame, exact: DataFrame, counts: list[str], rel: float = HLL_BOUND) -> DataFrame:
     """The windows of a default-mode mart: its own measures, and for each estimated count
     the exact one and whether the estimate is within the sketch's bound.  Lined up by union
     and group-by; both sides are one row a window."""
@@ -194,7 +194,7 @@ def beside_exact(estimated: DataFrame, exact: DataFrame, counts: list[str]) -> D
     per_window = both.groupBy("hour_start", "hour_end").agg(
         *[F.max(c).alias(c) for c in both.columns if c not in ("hour_start", "hour_end")]).where("own = 1")
     return per_window.select("hour_start", "hour_end", *counts, *[
-        within_hll_bound(F.col(f"est_{c}"), F.col(c)).alias(f"{c}_within_bound") for c in counts], *others)
+        within_hll_bound(F.col(f"est_{c}"), F.col(c), rel=rel).alias(f"{c}_within_bound") for c in counts], *others)
 
 
 REVENUE_COUNTS = ["completed_rides"]

@@ -339,3 +339,63 @@ def silver_schema_merge(f: Frames):
     f.silver_rides.where("user_id % 2 = 0").drop("city").write.mode("append").parquet(path)
     f.silver_rides.where("user_id % 2 <> 0").write.mode("append").parquet(path)
     return lake.read(f.spark, "silver", "ride_events", merge_schema=True).select(*schemas.SILVER_RIDES.fieldNames())
+
+
+# --- marts of sketches ------------------------------------------------------------------
+
+def _minute_sketches(f: Frames, rides: bool):
+    """Stored facts, and beside them their mart of minute sketches, stored too."""
+    from velolake.operators import sketches
+    from velolake.streaming.lake import Lake
+    lake = Lake.fresh(f.spark, "sketches")
+    fact, mart = ("fact_rides", "mart_revenue_sketch") if rides else ("fact_telemetry", "mart_fleet_sketch")
+    make = sketches.revenue_sketch_mart if rides else sketches.fleet_sketch_mart
+    (f.fact_rides if rides else f.fact_telemetry).write.parquet(lake.table("gold", fact))
+    facts = lake.read(f.spark, "gold", fact)
+    make(facts, "1 minute").write.parquet(lake.table("mart", mart))
+    return facts, lake.read(f.spark, "mart", mart), make
+
+
+def _rolled_up(f: Frames, rides: bool):
+    """Hours from minute sketches, with the exact counts, whether each estimate is within its
+    bound, and whether all equal those of sketches taken over the hour directly."""
+    from velolake.operators import marts, sketches
+    facts, minutes, make = _minute_sketches(f, rides)
+    counts = sketches.REVENUE_SKETCHES if rides else sketches.FLEET_SKETCHES
+    hours = sketches.estimates(sketches.rollup(minutes, f.window))
+    direct = sketches.estimates(make(facts, f.window)).select("hour_start", F.struct(*counts).alias("direct"))
+    both = hours.select("hour_start", F.struct(*counts).alias("rolled")).unionByName(direct, allowMissingColumns=True)
+    same = both.groupBy("hour_start").agg((F.max("rolled") == F.max("direct")).alias("equals_direct"))
+    exact = (marts.revenue_mart if rides else marts.fleet_mart)(facts, window=f.window, exact=True)
+    shown = marts.beside_exact(hours, exact, counts, sketches.BOUND)
+    return shown.unionByName(same, allowMissingColumns=True).groupBy("hour_start").agg(
+        *[F.max(c).alias(c) for c in [*shown.columns[1:], "equals_direct"]])
+
+
+@register("mart_revenue_rollup", digits=6)
+def mart_revenue_rollup(f: Frames):
+    """The hourly revenue mart rolled up from stored minute sketches (A5, M1)."""
+    return _rolled_up(f, True)
+
+
+@register("mart_fleet_rollup", digits=6)
+def mart_fleet_rollup(f: Frames):
+    """The hourly fleet mart rolled up from stored minute sketches."""
+    return _rolled_up(f, False)
+
+
+@register("fleet_totals_distinct")
+def fleet_totals_distinct(f: Frames):
+    """Fleet totals that count a scooter once however many windows it is in (V6), from the minute
+    sketches alone; beside each whether it is within its bound of the exact count over the facts."""
+    from velolake import constants as K
+    from velolake.operators import sketches
+    facts, minutes, _ = _minute_sketches(f, False)
+    sid, status = F.col("scooter_id"), F.col("scooter_status")
+    flags = [F.lit(True), F.col("battery_level") < K.LOW_BATTERY_THRESHOLD, status == "in_use", status == "maintenance"]
+    per_scooter = facts.where(sid.isNotNull()).groupBy(sid).agg(
+        *[F.max(flag).alias(c) for c, flag in zip(sketches.FLEET_SKETCHES, flags)])
+    exact = per_scooter.agg(F.struct(*[F.count_if(c).alias(c) for c in sketches.FLEET_SKETCHES])).scalar()
+    total = sketches.total_distinct(minutes)
+    return total.select("windows", *[exact[c].alias(c) for c in sketches.FLEET_SKETCHES], *[
+        sketches.within_bound(F.col(c), exact[c]).alias(f"{c}_within_bound") for c in sketches.FLEET_SKETCHES])

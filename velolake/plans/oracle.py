@@ -414,4 +414,13 @@ ORACLE: dict[str, str] = {
         FROM mart_fleet""",
     "silver_schema_merge": BASE + """
         SELECT * REPLACE (CASE WHEN user_id % 2 <> 0 THEN city END AS city) FROM silver_rides""",
+    "mart_revenue_rollup": BASE + f"SELECT *, true AS equals_direct FROM ({REV_DEFAULT} mart_revenue)",
+    "mart_fleet_rollup": BASE + f"SELECT *, true AS equals_direct FROM ({FLEET_DEFAULT} mart_fleet))",
+    "fleet_totals_distinct": MINUTE + f"""
+        SELECT (SELECT count(*) FROM mart_fleet) AS windows, count(DISTINCT scooter_id) AS fleet_size_seen,
+               count(DISTINCT CASE WHEN battery_level < {LOW_BATTERY} THEN scooter_id END) AS low_battery_scooters,
+               count(DISTINCT CASE WHEN scooter_status = 'in_use' THEN scooter_id END) AS scooters_in_use,
+               count(DISTINCT CASE WHEN scooter_status = 'maintenance' THEN scooter_id END) AS scooters_in_maintenance,
+               true AS fleet_size_seen_within_bound, true AS low_battery_scooters_within_bound,
+               true AS scooters_in_use_within_bound, true AS scooters_in_maintenance_within_bound FROM fact_tel""",
 }

@@ -299,6 +299,28 @@ def stream_dims_one_read(f: Frames):
     return hours
 
 
+@_register("stream_mart_rollup", MINUTE + """
+    SELECT date_trunc('hour', event_ts) AS hour_start, date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS hour_end,
+           count(DISTINCT ride_id) AS completed_rides, true AS completed_rides_within_bound,
+           round(sum(fare_amount), 6) AS total_revenue, round(avg(fare_amount), 6) AS avg_fare_amount
+    FROM fact_rides WHERE event_type = 'end' AND date_trunc('minute', event_ts) + INTERVAL 1 MINUTE <=
+      (SELECT max(event_ts) FROM fact_rides WHERE event_type = 'end') - INTERVAL 1 MINUTE
+    GROUP BY 1, 2""", digits=6)
+def stream_mart_rollup(f: Frames):
+    """Minute sketches as a stream under the 1-minute watermark, their closed windows rolled up to
+    hours, the exact count of the same rows beside the estimate (A5, W1-W3)."""
+    from velolake.operators import marts, sketches
+    lake = _with_batch_facts(f, "sketchstream")
+    L.run_layer(L.start_sketch_marts(f.spark, lake, state_partitions=_cores(f)))
+    minutes = lake.read(f.spark, "mart", "mart_revenue_sketch")
+    hours = sketches.estimates(sketches.rollup(minutes, K.HOURLY))
+    closed = lake.read(f.spark, "gold", "fact_rides").where(
+        F.date_trunc("minute", "event_ts") <= minutes.agg(F.max("hour_start")).scalar())
+    exact = marts.revenue_mart(closed, window=K.HOURLY, exact=True)
+    return marts.beside_exact(hours, exact, sketches.REVENUE_SKETCHES, sketches.BOUND).select(
+        "hour_start", "hour_end", "completed_rides", "completed_rides_within_bound", "total_revenue", "avg_fare_amount")
+
+
 @_register("stream_bronze_continuous", BATCH_ORACLE["bronze_parse_rides"])
 def stream_bronze_continuous(f: Frames):
     """Continuous ingest (S4) until one of its queries stops, which ends the layer."""

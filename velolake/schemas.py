@@ -136,6 +136,19 @@ MART_FLEET = _struct(
     ("scooters_in_maintenance", LongType()),
 )
 
+
+def _sketch_mart(counts, sums):
+    return _struct(("hour_start", TimestampType()), ("hour_end", TimestampType()),
+                   *[(f"{c}_sketch", BinaryType()) for c in counts],
+                   *[x for c, t in sums for x in ((f"sum_{c}", t), (f"count_{c}", LongType()))])
+
+
+# Marts that keep distinct counts as sketches (velolake.operators.sketches).
+SKETCH_REVENUE = _sketch_mart(["completed_rides"], [("fare_amount", DoubleType()), ("distance_km", DoubleType()),
+                                                    ("duration_mins", LongType())])
+SKETCH_FLEET = _sketch_mart(["fleet_size_seen", "low_battery_scooters", "scooters_in_use", "scooters_in_maintenance"],
+                            [("battery_level", LongType())])
+
 # The stored silver table of a topic: both routes, in folders of their own.
 ROUTE = StructField("route", StringType(), True)
 
@@ -154,4 +167,6 @@ TABLE_SCHEMAS = {
     "gold/dim_time_hourly": DIM_TIME_HOURLY,
     "mart/mart_revenue_hourly": MART_REVENUE,
     "mart/mart_fleet_health_hourly": MART_FLEET,
+    "mart/mart_revenue_sketch": SKETCH_REVENUE,
+    "mart/mart_fleet_sketch": SKETCH_FLEET,
 }

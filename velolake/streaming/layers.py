@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from velolake import constants as K
 from velolake import schemas
-from velolake.operators import gold, marts, silver
+from velolake.operators import gold, marts, silver, sketches
 from velolake.sources.envelope import read_landing
 from velolake.streaming import dims as D
 from velolake.streaming.evolution import conform
@@ -181,6 +181,19 @@ def start_marts(spark: SparkSession, lake: Lake, window: str = K.MART_WINDOW_DUR
                         state_partitions=state_partitions) for t, df in jobs]
 
 
+def start_sketch_marts(spark: SparkSession, lake: Lake, window: str = K.MART_WINDOW_DURATION,
+                       watermark: str = K.MART_WATERMARK, trigger: str = "available_now",
+                       max_files_per_trigger: int | None = None,
+                       state_partitions: int | None = None) -> list[StreamingQuery]:
+    """gold facts -> marts of sketches, which roll up to wider windows and to totals (see
+    :mod:`velolake.operators.sketches`); state is one row of a fixed size a window."""
+    jobs = [("fact_rides", "mart_revenue_sketch", sketches.revenue_sketch_mart),
+            ("fact_telemetry", "mart_fleet_sketch", sketches.fleet_sketch_mart)]
+    return [append_sink(mart(lake.read_stream(spark, "gold", fact, max_files_per_trigger), window, watermark),
+                        lake.table("mart", t), lake.checkpoint("mart", t), trigger, state_partitions=state_partitions)
+            for fact, t, mart in jobs]
+
+
 def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     known = schemas.TABLE_SCHEMAS.get(f"gold/{table}")
     if table.startswith("dim_"):
