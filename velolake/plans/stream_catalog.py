@@ -351,6 +351,49 @@ def stream_late_ledger(f: Frames):
     return ledger.read_late(f.spark, path).select("batch_id", "rows", "late_rows", "watermark")
 
 
+def _dims_in_two_runs(f: Frames, label: str, dims: str, tables: tuple[str, ...]) -> Lake:
+    """Dimensions from silver rides in two runs: the newer half first, so that the second run's
+    rows are all older than the first one's, many behind the watermark."""
+    lake = Lake.fresh(f.spark, label)
+    ts = F.col("timestamp")
+    middle = f.silver_rides.agg((F.min(ts) + F.max(ts)) / 2).scalar()
+    f.silver_telemetry.write.parquet(lake.table("silver", TOPICS["telemetry"]))
+    for newer in (True, False):
+        rows = f.silver_rides.where(ts > middle if newer else (ts <= middle) | ts.isNull())
+        rows.write.mode("append").parquet(lake.table("silver", TOPICS["rides"]))
+        L.run_layer(L.start_gold(f.spark, lake, tables=tables, dims=dims, state_partitions=_cores(f)))
+    return lake
+
+
+@_register("stream_dedup_state_rows", BASE + """
+    SELECT city, CAST(1 AS BIGINT) AS state_partitions, true AS in_table, true AS kept_from_first_run
+    FROM (SELECT DISTINCT city FROM fact_rides WHERE city IS NOT NULL)""")
+def stream_dedup_state_rows(f: Frames):
+    """The state of the stateful city dedup as a table, after a second run of rows that are far
+    behind the watermark: every city of the facts is in it, in one partition, and in the dimension,
+    and none that the first run left in it has gone, as nothing expires (W5, W6)."""
+    from velolake.streaming import state
+    lake = _dims_in_two_runs(f, "staterows", "state", ("dim_city",))
+    checkpoint = lake.checkpoint("gold", "dim_city_state")
+    operator = state.state_operators(f.spark, checkpoint)
+    first = state.dedup_keys(f.spark, checkpoint, "city", batch_id=0).select("city", F.lit(1).alias("early"))
+    now = state.dedup_keys(f.spark, checkpoint, "city").withColumn("now", F.lit(1))
+    table = L.read_gold(f.spark, lake, "dim_city").select("city", F.lit(1).alias("stored"))
+    rows = now.unionByName(first, allowMissingColumns=True).unionByName(table, allowMissingColumns=True).groupBy("city").agg(
+        F.max("state_partitions").alias("state_partitions"), F.count("stored").alias("stored"), F.count("now").alias("now"),
+        F.count("early").alias("early"))
+    kept = (F.col("now") >= F.col("early")) & (operator.agg(F.max("maxBatchId")).scalar() >= 1)
+    return rows.select("city", "state_partitions", (F.col("stored") == 1).alias("in_table"), kept.alias("kept_from_first_run"))
+
+
+@_register("stream_dim_payment_method_salted", BATCH_ORACLE["dim_payment_method"])
+def stream_dim_payment_method_salted(f: Frames):
+    """Three payment methods carry every row: two chained stateful dedups, the first by (key,
+    salt), in two runs (U3, W5)."""
+    lake = _dims_in_two_runs(f, "salted", "salted", ("dim_payment_method",))
+    return L.read_gold(f.spark, lake, "dim_payment_method")
+
+
 @_register("stream_bronze_continuous", BATCH_ORACLE["bronze_parse_rides"])
 def stream_bronze_continuous(f: Frames):
     """Continuous ingest (S4) until one of its queries stops, which ends the layer."""

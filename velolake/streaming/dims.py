@@ -8,6 +8,9 @@ overwrites that folder with the same rows, so the table stays exactly-once; the
 itself is the dedup state and grows with distinct keys only.  The number of folders is
 bounded: see :func:`merge_writer`.
 
+``salted`` mode is the same operator in two steps, by (key, salt) and then by key, so a hot key's
+rows go to as many tasks as there are salts, and one row a salt to one task.
+
 ``state`` mode is the plain ``withWatermark`` + ``dropDuplicates([key])`` operator.
 As the key has no event-time column, the watermark never expires state (every key is
 kept forever, and late rows still emit new keys); every row of a key is shuffled to
@@ -137,6 +140,31 @@ def dedup_state(stream: DataFrame, key: str, watermark: str = K.DEDUP_WATERMARK)
             .select(key))
 
 
+SALTS = 32  # tasks that share a key's rows in ``salted`` mode
+
+
+def dedup_salted(stream: DataFrame, key: str, watermark: str = K.DEDUP_WATERMARK, salts: int = SALTS) -> DataFrame:
+    """:func:`dedup_state` for keys that many rows carry: two chained dedups, the first by key and
+    salt.  The salt comes from the event time, so a batch that runs again salts alike; the second
+    step gets a key at most ``salts`` times in the life of the checkpoint."""
+    return (stream.withWatermark("event_ts", watermark)
+            .select("event_ts", key, F.pmod(F.xxhash64("event_ts"), F.lit(salts)).cast("int").alias("salt"))
+            .filter(F.col(key).isNotNull())
+            .dropDuplicates([key, "salt"])
+            .dropDuplicates([key])
+            .select(key))
+
+
+def hours_salted(times: DataFrame, watermark: str = K.DEDUP_WATERMARK, salts: int = SALTS) -> DataFrame:
+    """``dim_time_hourly`` by two chained dedups: the current hour has most rows of a batch."""
+    return (times.withWatermark("event_ts", watermark)
+            .select("event_ts", hour_start("event_ts").alias("hour_start"),
+                    F.pmod(F.xxhash64("event_ts"), F.lit(salts)).cast("int").alias("salt"))
+            .dropDuplicates(["hour_start", "salt"])
+            .dropDuplicates(["hour_start"])
+            .select("hour_start", *calendar_parts("hour_start")))
+
+
 def hours_of(stream: DataFrame) -> DataFrame:
     return stream.select(hour_start("event_ts").alias("hour_start"))
 

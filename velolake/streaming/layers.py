@@ -92,7 +92,8 @@ def evolved_facts(spark: SparkSession, lake: Lake, table: str, silver_rows: Data
 def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str = "merge",
                trigger: str = "available_now", max_files_per_trigger: int | None = None,
                state_partitions: int | None = None, date_partitioned: bool = False) -> list[StreamingQuery]:
-    """silver -> facts (append) and dimensions (``merge`` or ``state`` mode).  Columns that a
+    """silver -> facts (append) and dimensions (``merge``, ``state`` or ``salted`` mode, see
+    :mod:`velolake.streaming.dims`).  Columns that a
     silver table has gained go on to its facts (S8).  ``date_partitioned`` stores the facts by ``event_date`` (see :func:`gold.with_event_date`)."""
     def facts_sink(df: DataFrame, path: str, ckpt: str):
         if date_partitioned:
@@ -109,10 +110,12 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
     def telemetry() -> DataFrame:
         return gold.with_event_ts(lake.read_stream(spark, "silver", TOPICS["telemetry"], max_files_per_trigger))
 
+    if dims not in ("merge", "state", "salted"):
+        raise ValueError(f"unknown kind of dimensions {dims!r}")
     out = []
     for t in tables:
-        # the two kinds of dimension keep different state, so each has a checkpoint of its own
-        own = f"{t}_state" if t.startswith("dim_") and dims == "state" else t
+        # the kinds of dimension keep different state, so each has a checkpoint of its own
+        own = f"{t}_{dims}" if t.startswith("dim_") and dims != "merge" else t
         path, ckpt = lake.table("gold", t), lake.checkpoint("gold", own)
         if t == "fact_rides":
             out.append(facts_sink(evolved_facts(spark, lake, t, rides()), path, ckpt))
@@ -123,8 +126,8 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
             if dims == "merge":
                 out.append(batch_sink(rides().select(key), D.merge_writer(path, [key]), ckpt, trigger))
             else:
-                out.append(append_sink(D.dedup_state(rides(), key), path, ckpt, trigger,
-                                       state_partitions=state_partitions))
+                dedup = D.dedup_salted if dims == "salted" else D.dedup_state
+                out.append(append_sink(dedup(rides(), key), path, ckpt, trigger, state_partitions=state_partitions))
         elif t == "dim_time_hourly":
             if dims == "merge":
                 hours = D.hours_of(rides()).unionByName(D.hours_of(telemetry()))
@@ -132,8 +135,8 @@ def start_gold(spark: SparkSession, lake: Lake, tables=GOLD_TABLES, dims: str =
                                       ckpt, trigger))
             else:
                 times = rides().select("event_ts").unionByName(telemetry().select("event_ts"))
-                out.append(append_sink(D.hours_state(times), path, ckpt, trigger,
-                                       state_partitions=state_partitions))
+                hours = D.hours_salted(times) if dims == "salted" else D.hours_state(times)
+                out.append(append_sink(hours, path, ckpt, trigger, state_partitions=state_partitions))
         else:
             raise ValueError(f"unknown gold table {t!r}")
     return out
