@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from velolake import constants as K
 from velolake.plans.frames import Frames, as_ntz
-from velolake.plans.oracle import BASE, FLEET, FLEET_DEFAULT, MINUTE, ORACLE as BATCH_ORACLE, REV, REV_DEFAULT
+from velolake.plans.oracle import BASE, FLEET, FLEET_DEFAULT, MINUTE, ORACLE as BATCH_ORACLE, REV, REV_DEFAULT, _report
 from velolake.sources import sample
 from velolake.streaming import layers as L
 from velolake.streaming.lake import TOPICS, Lake
@@ -394,6 +394,30 @@ def stream_dim_payment_method_salted(f: Frames):
     return L.read_gold(f.spark, lake, "dim_payment_method")
 
 
+def _in_three_increments(f: Frames, label: str) -> Lake:
+    """All layers in three increments of messages by arrival, each followed by an audit run."""
+    from velolake.streaming import audit
+    lake = Lake.fresh(f.spark, label)
+    second = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    bounds = f.events.agg(F.struct(F.min(second).alias("lo"), F.max(second).alias("hi"))).scalar()
+    third = F.floor((second - bounds["lo"]) * 3 / (bounds["hi"] - bounds["lo"] + 1))
+    for k in range(3):
+        for kind, topic in TOPICS.items():
+            L.publish(sample.messages(f.events.where(third == k), kind), lake, topic)
+        L.run_incremental(f.spark, lake, window=K.HOURLY, exact=True, one_read=True, state_partitions=_cores(f))
+        audit.run_audit(f.spark, lake, K.HOURLY)
+    return lake
+
+
+@_register("stream_incremental_report", BASE + f", rev_cut AS ({REV_CUT}), fleet_cut AS ({FLEET_CUT})"
+           + _report(revenue="rev_cut", fleet="fleet_cut") + "SELECT * FROM report")
+def stream_incremental_report(f: Frames):
+    """The nine checks after three increments, each audited by itself: figures of the ledger, not of
+    the tables (V3, V5, V16)."""
+    from velolake.streaming import audit
+    return audit.audit_report(f.spark, _in_three_increments(f, "audit"))
+
+
 @_register("stream_bronze_continuous", BATCH_ORACLE["bronze_parse_rides"])
 def stream_bronze_continuous(f: Frames):
     """Continuous ingest (S4) until one of its queries stops, which ends the layer."""
