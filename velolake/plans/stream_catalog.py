@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from velolake import constants as K
 from velolake.plans.frames import Frames, as_ntz
-from velolake.plans.oracle import BASE, FLEET, FLEET_DEFAULT, MINUTE, ORACLE as BATCH_ORACLE, REV, REV_DEFAULT, _report
+from velolake.plans.oracle import BASE, FLEET, FLEET_DEFAULT, MINUTE, ORACLE as BATCH_ORACLE, REV, REV_DEFAULT, RIDE_COLS, _report, _unless_broken
 from velolake.sources import sample
 from velolake.streaming import layers as L
 from velolake.streaming.lake import TOPICS, Lake
@@ -418,6 +418,44 @@ def stream_incremental_report(f: Frames):
     return audit.audit_report(f.spark, _in_three_increments(f, "audit"))
 
 
+@_register("stream_start_and_loss", BASE + f"""
+    SELECT bronze_ingestion_time, {_unless_broken(RIDE_COLS.replace('"', '').removeprefix("bronze_ingestion_time, "))}
+    FROM rides_sent WHERE event_id % 4 IN (1, 2)""")
+def stream_start_and_loss(f: Frames):
+    """Four lots of messages: the first is there before the stream's first start, which begins at
+    the latest, and the last one's files have gone when their turn comes (S1)."""
+    from velolake.operators import silver
+    from velolake.sources.envelope import read_landing
+    from velolake.streaming.sinks import batch_sink
+    lake = Lake.fresh(f.spark, "start")
+    landing, out = lake.landing(TOPICS["rides"]), lake.table("bronze", TOPICS["rides"])
+
+    def publish(k: int) -> set[str]:
+        before = files() if k else set()
+        L.publish(sample.messages(f.events.where(F.col("event_id") % 4 == k), "rides"), lake, TOPICS["rides"])
+        return files() - before
+
+    def files() -> set[str]:
+        return {r[0] for r in f.spark.read.format("binaryFile").load(f"{landing}/*.parquet").select("path").collect()}
+
+    def run(gone: set[str]) -> None:
+        def write(batch_df: DataFrame, batch_id: int) -> None:
+            for path in gone:  # listed with this run's other files, gone before their batch
+                p = f.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(f.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+            batch_df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        messages = read_landing(f.spark, landing, 1, "latest", f"{lake.root}/bronze/starts/rides", fail_on_data_loss=False)
+        L.run_layer([batch_sink(messages, write, lake.checkpoint("bronze", "rides"))])
+
+    publish(0)
+    run(set())
+    publish(1)
+    run(set())
+    publish(2)
+    run(publish(3))
+    return silver.parse_rides(lake.read(f.spark, "bronze", TOPICS["rides"]))
+
+
 @_register("stream_bronze_continuous", BATCH_ORACLE["bronze_parse_rides"])
 def stream_bronze_continuous(f: Frames):
     """Continuous ingest (S4) until one of its queries stops, which ends the layer."""

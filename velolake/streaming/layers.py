@@ -39,17 +39,20 @@ def publish(messages: DataFrame, lake: Lake, topic: str) -> None:
 
 
 def start_bronze(spark: SparkSession, lake: Lake, trigger: str = "available_now",
-                 sources: dict[str, DataFrame] | None = None,
-                 max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
+                 sources: dict[str, DataFrame] | None = None, max_files_per_trigger: int | None = None,
+                 starting: str = "earliest", fail_on_data_loss: bool = True) -> list[StreamingQuery]:
     """Envelope stream -> ``bronze/<topic>`` (raw_json, kafka_timestamp).
 
     ``sources`` maps ``rides`` / ``telemetry`` to streams already in bronze shape
     (``raw_json``, ``kafka_timestamp``), e.g. :func:`velolake.sources.envelope.read_topic` or
-    :func:`velolake.sources.envelope.read_json_lines`; by default the landing folders are read.
+    :func:`velolake.sources.envelope.read_json_lines`; by default the landing folders are
+    read, with ``starting`` and ``fail_on_data_loss`` as
+    :func:`velolake.sources.envelope.read_landing` takes them.
     """
     out = []
     for kind, topic in TOPICS.items():
-        src = sources[kind] if sources else read_landing(spark, lake.landing(topic), max_files_per_trigger)
+        src = sources[kind] if sources else read_landing(
+            spark, lake.landing(topic), max_files_per_trigger, starting, f"{lake.root}/bronze/starts/{topic}", fail_on_data_loss)
         out.append(append_sink(src, lake.table("bronze", topic), lake.checkpoint("bronze", topic), trigger))
     return out
 
