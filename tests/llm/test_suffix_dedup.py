@@ -132,3 +132,28 @@ def test_no_group_grows_with_a_hot_minimizer(spark, monkeypatch):
             for k in range(400)]
     S.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sum(sizes.value) and max(sizes.value) < sum(sizes.value) / 4
+
+
+def test_marks_hold_every_hot_seed_in_bounded_space(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    hot, other = rng.integers(0, 1 << 63, 3000), rng.integers(0, 1 << 63, 20000)
+    seeds = spark.createDataFrame([(int(x),) for x in hot], "seed long").repartition(3)
+    marks = S.mark_seeds(seeds, len(hot))
+    assert S.marked(marks, hot.astype(np.uint64)).all()
+    assert S.marked(marks, other.astype(np.uint64)).mean() < 0.02
+    monkeypatch.setattr(S, "MARKS", 1 << 10)
+    marks = S.mark_seeds(seeds, len(hot))
+    assert len(marks) == 16 and S.marked(marks, hot.astype(np.uint64)).all()
+    assert not S.marked(S.mark_seeds(seeds.limit(0), 0), other.astype(np.uint64)).any()
+
+
+def test_pairs_and_larger_groups_of_long_common_prefixes():
+    rng = random.Random(9)
+    stem = b"s" * 40
+    parts = [stem + bytes(rng.choice(b"pq") for _ in range(10)) for _ in range(60)] + [b"t" * 24 + b"z" * 26, b"t" * 24 + b"y" * 26]
+    parts += [b"u" * 50, b"u" * 50, b"u" * 49 + b"t"]
+    rng.shuffle(parts)
+    data, places = b"".join(parts), np.arange(len(parts)) * 50
+    order, new = S.sort_suffixes(data, places, 50)
+    got = [parts[i] for i in order]
+    assert got == sorted(parts) and new.tolist() == [i == 0 or got[i] != got[i - 1] for i in range(len(got))]

@@ -32,9 +32,11 @@ GRAM = 20
 SHALLOW = 3                # words of eight bytes that the multikey quicksort looks at
 CHUNK = 1 << 23            # bytes of text whose minimizers are found together
 BLOCK = 1 << 20            # bytes hashed at once, at some 200 bytes of arrays each
+BUCKET_BYTES = 1 << 25     # text whose minimizers meet in one bucket of the first stage, on average at most
 HOT = 1 << 14              # surroundings of one minimizer from which its strings are dealt out one by one
 GROUP = 1 << 15            # surroundings that a bucket gets on average at most
 SPLIT = 1 << 18            # strings of such minimizers that are compared at once before they are sent
+MARKS = 1 << 27            # bits that tell the hot minimizers, at most
 LOWEST = -(1 << 63)        # stands for a null doc_id, below all others
 _POS = np.uint64(0xFFFFFF)  # low bits of a sort key, the place in a chunk
 
@@ -198,34 +200,47 @@ def blind_trie_order(strings: list[bytes]) -> list[int]:
 def sort_suffixes(data: bytes, places: np.ndarray, length: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings of ``length`` bytes at ``places`` of ``data``, and a mark at the
     first of each run of equal ones: shallow multikey quicksort, then blind tries."""
-    raw = np.frombuffer(data + b"\0" * 8, np.uint8)
+    raw = data + b"\0" * 8
+    eight = np.ndarray((len(data) + 1,), ">u8", raw, strides=(1,))  # eight bytes from every place on
 
     def word(level: int, items: np.ndarray) -> np.ndarray:
-        at = places[items] + 8 * level
-        out = np.zeros(len(at), np.uint64)
-        for b in range(8):
-            out = out << np.uint64(8) | (raw[at + b] if 8 * level + b < length else 0)
-        return out
+        out = eight[places[items] + 8 * level].astype(np.uint64)
+        beyond = np.uint64(max(0, 64 * level + 64 - 8 * length))
+        return out >> beyond << beyond
 
     order, starts = multikey_quicksort(word, len(places), min(shallow, -(-length // 8)))
     new = np.zeros(len(order), bool)
     new[starts] = True
     ends = np.append(starts[1:], len(order))
     wide = ends - starts > 1
-    for lo, hi in zip(starts[wide].tolist(), ends[wide].tolist()):
+    starts, ends = starts[wide], ends[wide]
+    size = ends - starts
+    at = np.repeat(starts - np.cumsum(size) + size, size) + np.arange(size.sum())
+    begin = np.cumsum(size) - size
+    first = np.repeat(begin, size)
+    side = np.zeros(len(at), np.int8)  # of each string to the first of its group: equal, below or above
+    for level in range(shallow, -(-length // 8)):
+        value = word(level, order[at])
+        side = np.where(side == 0, (value > value[first]).astype(np.int8) - (value < value[first]), side)
+    differ = np.add.reduceat(side != 0, begin) > 0 if len(begin) else np.zeros(0, bool)
+    # Two different strings need no trie.
+    two = differ & (size == 2)
+    low = starts[two]
+    swap = low[side[begin[two] + 1] < 0]
+    order[swap], order[swap + 1] = order[swap + 1], order[swap]
+    new[low + 1] = True
+    more = differ & (size > 2)
+    for lo, hi in zip(starts[more].tolist(), ends[more].tolist()):
         members = order[lo:hi].tolist()
         equal: dict[bytes, list[int]] = {}
-        for m, at in zip(members, places[order[lo:hi]].tolist()):
-            equal.setdefault(data[at:at + length], []).append(m)
-        if len(equal) == 1:
-            continue
+        for m, place in zip(members, places[order[lo:hi]].tolist()):
+            equal.setdefault(data[place:place + length], []).append(m)
         strings = list(equal)
-        at = lo
         for k in blind_trie_order(strings):
             same = equal[strings[k]]
-            order[at:at + len(same)] = same
-            new[at] = True
-            at += len(same)
+            order[lo:lo + len(same)] = same
+            new[lo] = True
+            lo += len(same)
     return order, new
 
 
@@ -377,6 +392,42 @@ def repeated_seeds(texts: DataFrame, length: int, gram: int, buckets: int) -> Da
         F.collect_set(F.when(F.col("seed").isNotNull(), F.struct("seed", "n"))).alias("seeds")).where(F.size("seeds") > 0).select("key", "h1", "h2", "seeds")
 
 
+def _mark_places(seeds: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    for mult in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9):
+        x = (seeds ^ (seeds >> np.uint64(31))) * np.uint64(mult)
+        yield (x >> np.uint64(24)) & np.uint64(bits - 1)
+
+
+def mark_seeds(seeds: DataFrame, count: int) -> np.ndarray:
+    """A Bloom filter of the column ``seed``, of at most ``MARKS`` bits however many seeds there
+    are, put together in Spark.  A seed marked by chance is dealt out like a hot one, which
+    gives the same ranges."""
+    bits = 64
+    while bits < min(MARKS, 16 * count):
+        bits *= 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(np.concatenate(list(_mark_places(batch.column("seed").to_numpy().view(np.uint64), bits))))
+            word = (at >> np.uint64(6)).view(np.int64)
+            new = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))[:len(word)]
+            mark = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), new) if len(new) else at
+            yield pa.RecordBatch.from_arrays([pa.array(word[new]), pa.array(mark.view(np.int64))], names=["word", "mark"])
+
+    out = np.zeros(bits // 64, np.uint64)
+    if count:
+        rows = seeds.select("seed").mapInArrow(run, "word long, mark long").groupBy("word").agg(F.bit_or("mark").alias("mark")).toArrow()
+        out[rows["word"].to_numpy()] = rows["mark"].to_numpy().view(np.uint64)
+    return out
+
+
+def marked(marks: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    out = np.ones(len(seeds), bool)
+    for at in _mark_places(seeds, 64 * len(marks)):
+        out &= (marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out
+
+
 def packed(texts: DataFrame, carry: list[str]) -> DataFrame:
     """``carry`` and the compressed text: what a shuffle of whole texts moves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,12 +443,13 @@ def packed(texts: DataFrame, carry: list[str]) -> DataFrame:
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(key, h1, h2, starts, ends): the ranges of each text that a smaller key's text covers."""
     spark = texts.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(1 << 24, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES)))
     seeds = materialize(repeated_seeds(texts, length, gram, buckets), "suffix-seeds")
     ident = ["key", "h1", "h2"]
     per_seed = seeds.select(F.explode("seeds").alias("s")).groupBy("s.seed").agg(F.sum("s.n").alias("n"))
-    total, hot = per_seed.agg(F.sum("n"), F.collect_list(F.when(F.col("n") > HOT, F.col("seed")))).first()
-    hot = spark.sparkContext.broadcast(np.sort(np.array(hot, np.int64).view(np.uint64)))
+    total, hot = per_seed.agg(F.sum("n"), F.count_if(F.col("n") > HOT)).first()
+    marks = spark.sparkContext.broadcast(mark_seeds(per_seed.where(F.col("n") > HOT), hot))
     groups = max(buckets, -(-(total or 0) // GROUP))
     met = packed(texts, ident).join(seeds.select(*ident, F.col("seeds.seed").alias("seeds")), ident)
 
@@ -423,7 +475,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
                 for r, lo, hi in zip(rows, edge[:-1].tolist(), edge[1:].tolist())])
             ids = np.array([[r[c] for c in ident] for r in rows], np.int64)
             raw = [r["text"] for r in rows]
-            many = np.isin(seed[hit], hot.value)
+            many = marked(marks.value, seed[hit])
             alone = hit[~many]
             bucket = ((seed[alone] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(groups)).astype(np.int64)
             yield from dealt(raw, ids, bucket, text[alone], start[alone], count[alone])
