@@ -85,7 +85,11 @@ def test_gradient_of_the_output(small):
     target = np.array([0, 1, 2, 3, 4, 5, 6, -1, -1])
     kind = np.concatenate([v.classes[:7], [L.HEAD_CLASSES, L.HEAD_CLASSES + 2]])
     grads = {k: np.zeros_like(p) for k, p in net.p.items()}
-    _, dh = net.output(h, target, kind, grads)
+
+    def learn(words, dW, dw):
+        grads["W"][words], grads["w"][words] = dW, dw
+
+    _, dh = net.output(h, target, kind, grads, learn)
     loss = lambda: -net.output(h, target, kind)[0].mean()
     for array, grad in [(h, dh), (net.p["C"], grads["C"]), (net.p["W"], grads["W"]), (net.p["w"], grads["w"]), (net.p["c"], grads["c"])]:
         for at in [0, array.size // 2, array.size - 1]:
@@ -103,7 +107,7 @@ def test_gradient_through_time(small, monkeypatch):
     monkeypatch.setattr(L, "RATE", 0.0)
     monkeypatch.setattr(L, "WINDOW", 200)
     monkeypatch.setattr(L, "STREAMS", 100)
-    squares = {k: np.zeros_like(p) for k, p in net.p.items()}
+    squares = {k: np.zeros_like(v, dtype=float) for k, v in net.squares().items()}
     net.train(docs, squares)  # one window, so the squares are those of the whole gradient
     tokens = sum(len(n) for n, _ in docs)
     loss = lambda: -net.score(docs).sum() / tokens
@@ -170,7 +174,8 @@ def test_every_training_document_is_learned_from(spark, monkeypatch):
         "text", L.F.pmod(L.F.xxhash64("doc_id"), L.F.lit(L.SHARES)).cast("int").alias("share"))
     v = vocabulary([t for _, t in texts], L.HEAD)
     seen = []
-    monkeypatch.setattr(L, "average", lambda trained: seen.append(sum(r["weight"] for r in trained.select("weight").collect())))
+    monkeypatch.setattr(L, "average", lambda trained, size, levels: seen.append(
+        sum(r["weight"] for r in trained.where("piece = -1").collect())))
     L.train_network(df, v)
     assert sum(seen) == v.train_tokens
 
@@ -196,9 +201,43 @@ def test_all_broadcast_words_have_outputs_and_vectors_of_their_own():
     assert lone.head == 2 and np.isfinite(L.Network(lone).score([lone.read(b"a")[:2]])).all()
 
 
-def test_parameters_are_averaged_by_pieces(spark, monkeypatch):
+@pytest.mark.parametrize("levels", [1, 2])
+def test_changes_are_averaged_by_pieces(spark, monkeypatch, levels):
     monkeypatch.setattr(L, "PIECE", 3)
-    flats = [(0, 1.0, np.arange(8)), (1, 3.0, np.arange(8) * 5), (0, 0.5, np.arange(8) * 2)]
+    flats = [(0, 1e6, np.arange(8) / 8), (1, 3e6, np.arange(8) / 8 * 5), (0, 5e5, np.array([0, 0, 0, 1, 0, 0, 0, 0.0]))]
     rows = [tuple(c[0].as_py() for c in b.columns) for f in flats for b in L.pieces(*f)]
-    got = L.average(spark.createDataFrame([(a, b, c, bytearray(d)) for a, b, c, d in rows], L.TRAINED))
-    assert len(rows) == 9 and got == pytest.approx(np.arange(8) * 17 / 4.5)
+    got = L.average(spark.createDataFrame([(a, b, c, bytearray(d)) for a, b, c, d in rows], L.TRAINED), 8, levels)
+    assert len(rows) == 4 + 4 + 2  # a piece without a change is not sent
+    want = (np.arange(8) * 2 + np.array([0, 0, 0, 0.5, 0, 0, 0, 0])) / 4.5
+    assert got == pytest.approx(want, rel=2e-3)
+    assert L.average(spark.createDataFrame([], L.TRAINED), 8, levels) is None
+
+
+def test_scores_of_the_query_step_by_step(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(L, "TAU", 5e-3)
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(150)] + ["ß", "Éa"]
+    rows = [(k, " ".join(rng.choices(words, [1 / (i + 1) for i in range(len(words))], k=rng.randrange(0, 300))), "w", 1, 2) for k in range(60)]
+    rows += [(None, None, "w", 1, 2), (70, "w0 W1 " * 700 + "unseen", "w", 1, 2)]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    kept = {}
+
+    def learned(texts, vocab):
+        net = L.Network(vocab)
+        kept["flat"] = net.flat() + np.random.default_rng(2).normal(0, 0.2, len(net.flat())).astype(np.float32)
+        kept["vocab"] = vocab
+        return kept["flat"]
+
+    monkeypatch.setattr(L, "train_network", learned)
+    got = {r["doc_id"]: r["score"] for r in L.op7_gru_lm(spark, str(tmp_path)).collect()}
+    vocab = kept["vocab"]
+    vocab.prepare()
+    net = L.Network(vocab, kept["flat"])
+    counts = Counter(w for d, t, *_ in rows if zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2 for w in (t or "").encode().lower().split())
+    for d, t, *_ in rows:
+        numbers, classes, rare = vocab.read((t or "").encode())
+        want = plain_score(net, numbers, classes) / math.log(10)
+        for n, k in zip(numbers, classes):
+            if n < 0:
+                want += math.log10((counts[rare.pop(0)] + 1) / vocab.tail_mass[k - vocab.head_classes])
+        assert got[d] == pytest.approx(want, rel=1e-4), d

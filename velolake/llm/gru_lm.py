@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -30,16 +30,16 @@ HEAD_CLASSES = 0     # classes of head words, of about equal mass; 0: the square
 TAIL_CLASSES = 8     # classes of all other words, by their last two bytes
 HIDDEN = 24
 SHARES = 4           # the training documents fall into so many shares; each round learns from one, until all are learned
-RATE = 0.1
+RATE = 0.2
 STREAMS = 64         # documents that a task learns from side by side at first
-STREAMS_MOST = 512   # they double after each pass over so many, up to this
-WINDOW = 16          # steps through which an error is passed back at least
+STREAMS_MOST = 256   # they double after each pass over so many, up to this
+WINDOW = 16          # steps through which an error is passed back at least; twice as many with most streams
 LONGEST = 16         # windows' lengths in steps at most, while few documents are open
 SCORED = 1024        # documents scored side by side
 ROWS = 1 << 14       # tokens whose classes are judged at once
 SLICE = 4096         # documents whose tokens a task holds at once
 FLUSH = 1 << 19      # different words that a task counts before it passes them on
-FAN = 64             # partial averages of the parameters
+FAN = 64             # tasks whose changes meet at once; of more, each root of their number
 PIECE = 1 << 16      # parameters that are averaged together
 TRAINED = "part int, piece int, weight double, flat binary"
 
@@ -84,9 +84,11 @@ class Vocabulary:
 
     def __post_init__(self) -> None:
         self.head = min(HEAD, len(self.counts) - 1) + 1
-        mass = self.counts[:self.head] + 1.0
-        share = (np.cumsum(mass) - mass / 2) / mass.sum()
-        wanted = HEAD_CLASSES or math.isqrt(self.head)
+        # Classes of equal sums of the roots of frequencies, as many as such a sum of 1 gives: that
+        # makes the number of classes and the mean width of a token's class least together.
+        root = np.sqrt((self.counts[:self.head] + 1.0) / (self.counts[:self.head] + 1.0).sum())
+        share = (np.cumsum(root) - root / 2) / root.sum()
+        wanted = HEAD_CLASSES or max(1, round(root.sum()))
         self.head_class = np.minimum((share * wanted).astype(np.int64), wanted - 1)
         if not HEAD_CLASSES:  # a word of much mass leaves classes empty
             self.head_class = np.unique(self.head_class, return_inverse=True)[1]
@@ -160,6 +162,7 @@ class Network:
     def __init__(self, vocab: Vocabulary, flat: np.ndarray | None = None):
         self.vocab = vocab
         self.streams = STREAMS
+        self.runs = [slice(int(m[0]), int(m[-1]) + 1) for m in vocab.members]  # a class is a run of the words by their count
         self.inputs = vocab.head + TAIL_CLASSES
         classes = vocab.head_classes + TAIL_CLASSES
         self.shapes = {"E": (self.inputs, HIDDEN), "P": (HIDDEN, 3 * HIDDEN), "U": (HIDDEN, 3 * HIDDEN), "C": (HIDDEN, classes),
@@ -181,6 +184,10 @@ class Network:
                 self.p[k] = flat[at:at + n].reshape(s).astype(np.float32)
                 at += n
 
+    def squares(self) -> dict[str, np.ndarray]:
+        """Adagrad's sums at the start."""
+        return {k: np.full(v.shape[:1] if k == "W" else v.shape, 1e-4, np.float32) for k, v in self.p.items()}
+
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in self.shapes])
 
@@ -196,9 +203,11 @@ class Network:
         new = np.tanh(e[:, 2 * n:] + r * u[:, 2 * n:])
         return new + z * (h - new), z, r, new, u[:, 2 * n:]
 
-    def output(self, h: np.ndarray, target: np.ndarray, kind: np.ndarray, grads: dict | None = None):
+    def output(self, h: np.ndarray, target: np.ndarray, kind: np.ndarray, grads: dict | None = None,
+               learn: Callable[[slice, np.ndarray, np.ndarray], None] | None = None):
         """Natural log probability of each target (class, and word where it is a head word);
-        with ``grads`` also the gradient of the mean loss in ``h``."""
+        with ``grads`` also the gradient of the mean loss in ``h``, and ``learn`` gets that in W
+        and w of each class of words met, once the class is done with."""
         scale = 1 / max(1, len(h))
         out = np.zeros(len(h))
         dh = None if grads is None else np.zeros_like(h)
@@ -215,25 +224,31 @@ class Network:
                 dh[some] = d @ self.p["C"].T
         order = np.argsort(kind, kind="stable")
         edge = np.searchsorted(kind[order], np.arange(self.vocab.head_classes + 1))
+        order = order[:edge[-1]]  # without tail classes
+        h, rank = h[order], self.vocab.rank[target[order]]
+        found, down = np.zeros(len(h), h.dtype), np.zeros_like(h)
+        places = np.arange(len(h))
         for k in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
-            lo, hi, words = edge[k], edge[k + 1], self.vocab.members[k]
-            if len(words) < 2:
+            lo, hi, words = edge[k], edge[k + 1], self.runs[k]
+            if words.stop - words.start < 2:
                 continue
-            words = slice(words[0], words[-1] + 1)  # a class is a run of the words by their count
-            at = order[lo:hi]
-            rank = self.vocab.rank[target[at]]
-            weight = self.p["W"][words]
-            x = h[at] @ weight.T
+            weight, some = self.p["W"][words], h[lo:hi]
+            x = some @ weight.T
             x += self.p["w"][words]
-            got, d = _softmax(x, rank)
-            out[at] += got
+            x -= x.max(axis=1, keepdims=True)
+            at = (places[:hi - lo], rank[lo:hi])
+            found[lo:hi] = x[at]
+            np.exp(x, out=x)
+            total = x.sum(axis=1, keepdims=True)
+            found[lo:hi] -= np.log(total[:, 0])
             if grads is not None:
-                d[np.arange(len(at)), rank] -= 1
-                d *= scale
-                grads["W"][words] += d.T @ h[at]
-                grads["w"][words] += d.sum(axis=0)
-                grads.setdefault("runs", []).append(words)
-                dh[at] += d @ weight
+                x *= scale / total
+                x[at] -= scale
+                down[lo:hi] = x @ weight
+                learn(words, x.T @ some, x.sum(axis=0))
+        out[order] += found
+        if grads is not None:
+            dh[order] += down
         return out, dh
 
     def windows(self, docs: list[tuple[np.ndarray, np.ndarray]], width: int, least: int) -> Iterator[tuple]:
@@ -274,26 +289,35 @@ class Network:
     def train(self, docs: list[tuple[np.ndarray, np.ndarray]], squares: dict[str, np.ndarray]) -> None:
         """One pass over the documents: truncated backpropagation, a step of Adagrad a window."""
         n = HIDDEN
-        wide = {name: np.zeros_like(self.p[name]) for name in "Ww"}  # zero outside of the classes met
+
+        def learn(words: slice, dW: np.ndarray, dw: np.ndarray) -> None:
+            sums, single = squares["W"][words], squares["w"][words]
+            sums += np.einsum("ij,ij->i", dW, dW) / n  # a word's vector has one sum of squares
+            single += dw * dw
+            dW *= (RATE / (np.sqrt(sums) + 1e-6))[:, None]
+            self.p["W"][words] -= dW
+            self.p["w"][words] -= RATE * dw / (np.sqrt(single) + 1e-6)
+
         by_length = sorted(range(len(docs)), key=lambda i: -len(docs[i][0]))
-        lo = 0
-        while lo < len(docs):
+        hi = len(docs)
+        while hi:  # from short to long documents, so that few tokens are learned from in small steps
             streams = self.streams
-            part = [docs[i] for i in by_length[lo:lo + streams]]
-            lo += streams
+            part = [docs[i] for i in by_length[max(0, hi - streams):hi]]
+            hi = max(0, hi - streams)
             self.streams = max(streams, min(STREAMS_MOST, 2 * streams))
             h = np.zeros((len(part), n), np.float32)
-            for _, open_, x, y, k in self.windows(part, WINDOW, WINDOW * streams):
+            width = WINDOW << (streams >= STREAMS_MOST)
+            for _, open_, x, y, k in self.windows(part, width, width * streams):
                 saved = []
                 for s, m in enumerate(open_):
                     before = h[:m].copy()
                     after, *rest = self.step(x[s, :m], before)
                     h[:m] = after
                     saved.append((before, after, *rest))
-                grads = {name: wide[name] if name in wide else np.zeros_like(v) for name, v in self.p.items() if name != "E"}
+                grads = {name: np.zeros_like(self.p[name]) for name in "PUCc"}
                 target = np.concatenate([y[s, :m] for s, m in enumerate(open_)])
                 kind = np.concatenate([k[s, :m] for s, m in enumerate(open_)])
-                _, dout = self.output(np.concatenate([a[1] for a in saved]), target, kind, grads)
+                _, dout = self.output(np.concatenate([a[1] for a in saved]), target, kind, grads, learn)
                 at = np.cumsum([0, *open_])
                 dh = np.zeros((open_[0], n), np.float32)
                 rows = np.zeros((at[-1], 3 * n), np.float32)
@@ -317,40 +341,47 @@ class Network:
                 summed = np.add.reduceat(rows[order], first, axis=0)
                 squares["E"][used] += summed * summed
                 self.p["E"][used] -= RATE * summed / (np.sqrt(squares["E"][used]) + 1e-6)
-                runs = grads.pop("runs", [])
                 for name, g in grads.items():
-                    for run in runs if name in wide else [slice(None)]:
-                        part = g[run]
-                        squares[name][run] += part * part
-                        self.p[name][run] -= RATE * part / (np.sqrt(squares[name][run]) + 1e-6)
-                        part[:] = 0
-
-
-def pieces(part: int, weight: float, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A task's parameters as ``average`` takes them."""
-    for piece, at in enumerate(range(0, len(flat), PIECE)):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([piece], pa.int32()), pa.array([weight]),
-             pa.array([flat[at:at + PIECE].astype(np.float32).tobytes()], pa.binary())],
-            names=["part", "piece", "weight", "flat"])
-
-
-def average(trained: DataFrame) -> np.ndarray | None:
-    """Mean of the rows' ``flat`` parameters by ``weight``, for each piece of them by itself in
-    two levels of groups: the second has at most ``FAN`` rows of a piece's size."""
+                    squares[name] += g * g
+                    self.p[name] -= RATE * g / (np.sqrt(squares[name]) + 1e-6)
+
+
+def pieces(part: int, weight: float, change: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What a task learned, as ``average`` takes it: the pieces of the parameters that changed, in
+    16 bits, and a row with the weight alone."""
+    rows = [(part, -1, weight, b"")]
+    for piece, at in enumerate(range(0, len(change), PIECE)):
+        some = change[at:at + PIECE].astype(np.float16)
+        if some.any():
+            rows.append((part, piece, weight, some.tobytes()))
+    for row in rows:
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.float64(), pa.binary()))],
+                                         names=["part", "piece", "weight", "flat"])
+
+
+def average(trained: DataFrame, size: int, levels: int = 1) -> np.ndarray | None:
+    """Mean by ``weight`` of the tasks' changes of ``size`` parameters, each piece by itself: an
+    absent piece is no change.  With two levels, tasks of one ``part`` meet first."""
     def add(group: pa.Table) -> pa.Table:
-        total, weight = None, 0.0
+        total, weight = np.zeros(0), 0.0
         for flat, w in zip(group["flat"], group["weight"].to_pylist()):
-            part = np.frombuffer(flat.as_py(), np.float32) * float(w)
-            total = part.astype(np.float64) if total is None else total + part
+            part = np.frombuffer(flat.as_py(), np.float16).astype(np.float64) * w
+            total = total + part if len(total) else part
             weight += w
-        mean = (total / weight).astype(np.float32)
         return pa.table({"part": group["part"].slice(0, 1), "piece": group["piece"].slice(0, 1),
-                         "weight": [weight], "flat": [mean.tobytes()]})
+                         "weight": [weight], "flat": [(total / weight).astype(np.float16).tobytes()]})
 
-    parts = trained.groupBy("part", "piece").applyInArrow(add, TRAINED).withColumn("part", F.lit(0))
-    rows = parts.groupBy("part", "piece").applyInArrow(add, TRAINED).select("piece", "flat").collect()
-    return np.concatenate([np.frombuffer(r["flat"], np.float32) for r in sorted(rows)]) if rows else None
+    for level in range(levels):
+        keyed = trained if level + 1 < levels else trained.withColumn("part", F.lit(0))
+        trained = keyed.groupBy("part", "piece").applyInArrow(add, TRAINED)
+    rows = {r["piece"]: r for r in trained.select("piece", "weight", "flat").collect()}
+    if not rows:
+        return None
+    out = np.zeros(size, np.float32)
+    for piece, r in rows.items():
+        if piece >= 0:
+            out[piece * PIECE:(piece + 1) * PIECE] = np.frombuffer(r["flat"], np.float16).astype(np.float32) * (r["weight"] / rows[-1]["weight"])
+    return out
 
 
 def train_network(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
@@ -361,6 +392,8 @@ def train_network(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
     over all shares, so every document is learned from once.
     """
     sc = texts.sparkSession.sparkContext
+    tasks = texts.rdd.getNumPartitions()
+    fan, levels = (math.isqrt(tasks), 2) if tasks > FAN else (1, 1)
     flat = Network(vocab).flat()
     words = sc.broadcast(vocab)
     for number in range(SHARES):
@@ -370,17 +403,18 @@ def train_network(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
             vocab = words.value
             vocab.prepare()
             net = Network(vocab, start.value)
-            squares = {k: np.full_like(v, 1e-4) for k, v in net.p.items()}
+            squares = net.squares()
             tokens = 0
             for batch in slices(batches, SLICE):
                 docs = [vocab.read(t.as_py() or b"")[:2] for t in batch.column("text")]
                 tokens += sum(len(n) for n, _ in docs)
                 net.train(docs, squares)
             if tokens:
-                yield from pieces(TaskContext.get().partitionId() % FAN, float(tokens), net.flat())
+                yield from pieces(TaskContext.get().partitionId() % fan, float(tokens), net.flat() - start.value)
 
-        mean = average(texts.where(F.col("share") == number).select("text").mapInArrow(run, TRAINED))
-        flat = flat if mean is None else mean
+        mean = average(texts.where(F.col("share") == number).select("text").mapInArrow(run, TRAINED), len(flat), levels)
+        flat = flat if mean is None else flat + mean
+        start.unpersist()
     return flat
 
 
