@@ -84,3 +84,16 @@ def test_empty_tables(spark, tmp_path):
     assert D.leaks(docs, empty).collect()[0]["found"] == []
     assert D.leaks(spark.createDataFrame([], DOCS), empty).collect() == []
     assert D.leaks(spark.createDataFrame([], DOCS), spark.createDataFrame([(1, "abc")], "item_id long, text string")).collect() == []
+
+
+def test_many_blocks_of_items_are_not_chained_in_a_task(spark):
+    items, docs = make(random.Random(3))
+    bench = spark.createDataFrame([(i, f"{t} {i:04d}") for i, t in enumerate(items * 5)], "item_id long, text string")
+    rows = [(i, t, "x", 1) for i, t in enumerate(docs)] + [(7, f"{items[2]} 0002 and {items[5]} 0017", "y", 2), (None, docs[5], "x", 1)]
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    assert len(list(D.item_blocks(bench, 10))) == 60
+    many, one = D.leaks(df, bench, 0.05, 10), D.leaks(df, bench)
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 0  # written by the blocks' jobs
+    key = lambda r: str(tuple(r))
+    got, want = (sorted(((r["row"], sorted(map(tuple, r["found"]))) for r in x.collect()), key=key) for x in (many, one))
+    assert got == want and any(f for _, f in got)

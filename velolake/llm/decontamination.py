@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from velolake.llm.common import read_table, slices
+from velolake.llm.common import materialize, read_table, slices, work_path
 
 ERROR_RATE = 0.05         # edits allowed per character of a test item
 BLOCK_CHARS = 8_000_000   # item text whose automaton is held at once
@@ -151,7 +152,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     piece with the item, and the character after the match.
 
     The test set is taken in blocks of bounded size, each broadcast and held against all
-    documents in one pass over whole texts; nothing is shuffled.
+    documents in one pass over whole texts.  With one block nothing is shuffled; with several,
+    what they found is, by row.
 
     Nulls and odd input: null or blank texts and items match nothing; a null doc_id or
     item_id is carried; repeated documents are judged each, items that repeat are reported
@@ -159,27 +161,47 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     """
     match = StructType([StructField("item_id", benchmark.schema["item_id"].dataType),
                         StructField("distance", IntegerType()), StructField("end", LongType())])
-    rows = docs.select(F.struct("*").alias("row"), F.array().cast(ArrayType(match)).alias("found"))
-    schema = StructType([rows.schema["row"], StructField("found", ArrayType(match))])
-    kind = to_arrow_type(schema["found"].dataType)
-
-    def against(shared):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate)
-            for batch in slices(batches):
-                texts = batch.column("row").field("text").to_pylist()
-                found = []
-                for text, before in zip(texts, batch.column("found").to_pylist()):
-                    hits = matcher.matches(normalise(text))
-                    found.append(before + [{"item_id": matcher.items[k][0], "distance": d, "end": e}
-                                           for k, (d, e) in sorted(hits.items())])
-                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, kind)],
-                                                 names=["row", "found"])
-        return run
-
-    for block in item_blocks(benchmark, block_chars):
-        rows = rows.mapInArrow(against(docs.sparkSession.sparkContext.broadcast(block)), schema)
-    return rows
+    found = ArrayType(match)
+    sc = docs.sparkSession.sparkContext
+    blocks = item_blocks(benchmark, block_chars)
+    first, second = next(blocks, None), next(blocks, None)
+    packed = docs.select(F.struct("*").alias("row"))
+    if first is None:
+        return packed.withColumn("found", F.array().cast(found))
+    if second is None:
+        return packed.mapInArrow(_against(sc.broadcast(first), rate, "row", found, False),
+                                 StructType([packed.schema["row"], StructField("found", found)]))
+    # Several blocks: each is held against all documents by a job of its own, so one automaton is in
+    # memory at once; what a block finds is written by row number, and the numbers are joined.
+    rows = materialize(packed.withColumn("number", F.monotonically_increasing_id()), "leaks-rows")
+    hits = StructType([StructField("number", LongType()), StructField("found", found)])
+    paths = []
+    for block in chain([first, second], blocks):
+        shared = sc.broadcast(block)
+        paths.append(work_path(docs.sparkSession, "leaks-found"))
+        rows.select("number", F.struct("row.text").alias("row")).mapInArrow(
+            _against(shared, rate, "number", found, True), hits).write.parquet(paths[-1])
+        shared.unpersist()
+    met = docs.sparkSession.read.schema(hits).parquet(*paths).groupBy("number").agg(
+        F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
+    return rows.join(met, "number", "left").select("row", F.coalesce("found", F.array().cast(found)).alias("found"))
+
+
+def _against(shared, rate: float, carried: str, found: ArrayType, hits_only: bool):
+    """A task's work for one block of items: ``carried`` and the matches of each document."""
+    kind = to_arrow_type(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(shared.value, rate)
+        for batch in slices(batches):
+            out = []
+            for text in batch.column("row").field("text").to_pylist():
+                hits = matcher.matches(normalise(text))
+                out.append([{"item_id": matcher.items[k][0], "distance": d, "end": e} for k, (d, e) in sorted(hits.items())])
+            keep = pa.array([bool(x) or not hits_only for x in out], pa.bool_())
+            made = pa.RecordBatch.from_arrays([batch.column(carried), pa.array(out, kind)], names=[carried, "found"])
+            yield made.filter(keep)
+    return run
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
