@@ -134,3 +134,46 @@ def test_the_rest_of_a_run_with_a_base_span_is_judged(spark, table):
         assert all(m["end"] <= x["start"] or x["end"] <= m["start"] for m in got[k]["markov"] for x in taken)
     assert [sum(rest[k == 1] in m["value"] for m in got[k]["markov"]) for k in range(5)] == [1, 1, 1, 0, 0]
     assert [len(got[k]["hex"]) for k in range(5)] == [1, 1, 0, 1, 1] and len(got[2]["access"]) == 1
+
+
+NAMES = ["MAXIMUM_CONNECTION_POOL_SIZE_LIMIT", "IllegalArgumentExceptionHandlerFactoryBean", "getElementsByTagNameNS_callback_v2",
+         "-" * 32, "_" * 24, "GATTACAGATTACAGGCTTAACG"]
+CODE = """maximum connection pool size limit illegal argument exception handler factory element name callback request response
+    service client server configuration manager index table query string value buffer stream reader writer parser builder context
+    session thread worker queue message event listener adapter controller repository entity model template render update delete
+    insert select column schema version license package module import export default private public abstract interface""".split()
+
+
+def name(rng, words):
+    w = [rng.choice(words) for _ in range(rng.randrange(3, 6))]
+    return ["".join(x.capitalize() for x in w), w[0] + "".join(x.capitalize() for x in w[1:]), "_".join(w).upper(), "_".join(w), "/".join(w)][rng.randrange(5)]
+
+
+def plain_ratio(s, tables):
+    out = []
+    for table in tables.values():
+        at, total = S.START, 0.0
+        for c in s:
+            total += table[at * S.START + S.ALPHABET.index(c)]
+            at = S.ALPHABET.index(c)
+        out.append(total)
+    return max(out)
+
+
+def test_precision_and_recall_on_held_out_strings_and_each_ratio(spark):
+    """Trained on the driver's documents, whose prose is invented: names of English words are foreign to it."""
+    tables = S.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
+    rng = random.Random(3)
+    ordinary = [s for s in (name(rng, CODE) for _ in range(900)) if len(s) >= 20][:500] + NAMES
+    secret = [b64(f"h{k}", rng.randrange(24, 60)).replace("=", "x") for k in range(250)]
+    secret += ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(30)) for _ in range(250)]
+    strings = ordinary + secret
+    df = spark.createDataFrame([(i, f"see {s} here") for i, s in enumerate(strings)], "doc_id long, text string")
+    hit = {r["row"]["doc_id"] for r in S.scan(df, tables).where(F.size("markov") > 0).collect()}
+    found = len([i for i in hit if i >= len(ordinary)])
+    assert found >= 0.99 * len(secret) and found >= 0.9 * len(hit)
+    assert not hit & set(range(len(ordinary) - len(NAMES), len(ordinary)))
+    ratios = df.select("doc_id", S.log_ratio(F.regexp_extract("text", "see (.*) here", 1), tables).alias("x")).collect()
+    for r in ratios:
+        want = plain_ratio(strings[r["doc_id"]], tables)
+        assert abs(r["x"] - want) < 1e-3 and (r["doc_id"] in hit) == (want >= S.MIN_RATE * len(strings[r["doc_id"]]))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from velolake.llm.common import read_table
@@ -25,12 +25,13 @@ RANDOM = ("hex", "upper", "mixed")  # labels of random strings, by alphabet
 BACKOFF = 16.0          # characters of plain frequency that every state is given
 START = len(ALPHABET)   # the state before the first character
 MIN_RUN = 20            # characters of a run that the models judge
-MIN_RATE = 0.35         # nats a character by which "random" must lead
+MIN_RATE = 1.0          # nats a character by which "random" must lead
 SAMPLE_DOCS = 2000      # documents whose strings train the models, by smallest hash of the id
 
 _CLASS = "[A-Za-z0-9+/_-]"
 RUN = rf"(?<!{_CLASS}){_CLASS}{{{MIN_RUN},}}"
 ORDINARY = rf"(?<!{_CLASS}){_CLASS}{{6,}}"
+RULE = 40               # characters of a rule of one repeated character, at most
 JOINTS = "/-_"          # what words are joined by in paths, titles and names
 
 
@@ -140,8 +141,9 @@ def labelled_strings(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFra
     Random strings are labelled by their alphabet: hex, upper (capitals and digits) or mixed.
     They are what the fixed patterns find, and the digest of each document's id in hex, in
     base 36 and in base 64, as such tokens are made from random bytes.  Ordinary are the
-    texts' runs of the judged characters outside of these matches, and each joined to itself
-    and to a number, as paths and names are made from words whether or not the sampled texts hold any.
+    texts' runs of the judged characters outside of these matches, and each joined to another one
+    and to a number, as paths and names of every common form are made from words whether or not the
+    sampled texts hold any; rules of one repeated character; and strings of bases.
     """
     mark = F.xxhash64("doc_id")
     top = docs.select(mark.alias("h")).orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
@@ -159,9 +161,21 @@ def labelled_strings(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFra
     joint = F.substring(F.lit(JOINTS), F.pmod(F.xxhash64("s"), F.lit(len(JOINTS))).cast("int") + 1, F.lit(1))
     number = F.pmod(F.xxhash64(F.lit(1), "s"), F.element_at(
         F.array(*map(F.lit, (10, 100, 10_000))), F.pmod(F.length("s"), F.lit(3)) + 1)).cast("string")
-    ordinary = words.select(F.lit("ordinary").alias("label"), F.explode(F.array(
-        "s", F.concat("s", joint, "s"), F.concat("s", joint, number, joint, "s"))).alias("s"))
-    return random.union(ordinary).where("s <> ''").distinct()
+    # Names are made from neighbouring words of the sample, in the forms that code has them in.
+    by_bucket = Window.partitionBy(F.pmod(F.xxhash64("s"), F.lit(64))).orderBy(F.xxhash64(F.lit(2), "s"), "s")
+    pairs = words.select("s", F.coalesce(F.lead("s").over(by_bucket), F.col("s")).alias("t"))
+    low, up, cap = F.lower, F.upper, lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))
+    names = [F.concat(cap("s"), cap("t")), F.concat(low("s"), cap("t")), F.concat(up("s"), F.lit("_"), up("t")), F.concat(low("s"), F.lit("_"), low("t")),
+             F.concat(low("s"), F.lit("_v"), number), F.concat(low("t"), up(F.substring("s", 1, 2)), F.lit("_"), low("s")), F.concat(up("t"), joint, number)]
+    ordinary = pairs.select(F.explode(F.array("s", F.concat("s", joint, "t"), F.concat("s", joint, number, joint, "t"), *names)).alias("s"))
+    # Rules of one character, and strings of the four letters of bases, fewer than the names.
+    size = (F.lit(6) + F.pmod(F.xxhash64(F.lit(3), "s"), F.lit(RULE - 5))).cast("int")
+    head = F.substring("s", 1, 1)
+    rules = words.select(F.explode(F.array(F.repeat(head, size), F.repeat(up(head), size), F.repeat(joint, size))).alias("s"))
+    bases = words.where(F.pmod(F.xxhash64(F.lit(4), "s"), F.lit(32)) == 0).select(
+        F.substring(F.translate(F.sha2("s", 256), "0123456789abcdef", "ACGT" * 4), 1, RULE).alias("s"))
+    plain = ordinary.union(rules).union(bases).select(F.lit("ordinary").alias("label"), "s")
+    return random.union(plain).where("s <> ''").distinct()
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, list[float]]:
