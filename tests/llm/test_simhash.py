@@ -111,3 +111,13 @@ def test_star_components_of_a_chain(spark):
     random.Random(2).shuffle(edges)
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in (100, 101, 102, 103)}
+
+
+def test_of_repeated_rows_the_least_stays(spark):
+    rows = [(1, "one two three four", lang, n) for lang, n in (("fr", 1), ("de", 7), ("de", 3), (None, 9))] + [(2, "something else entirely here", "en", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n int")
+    for parts in (1, 3, 7):
+        got = sorted(map(tuple, S.keep_first(df.repartition(parts, "n")).collect()))
+        assert got == [(1, "one two three four", "de", 3), (2, "something else entirely here", "en", 1)]
+    plain = df.select("doc_id", "text")
+    assert sorted(map(tuple, S.keep_first(plain).collect())) == [(1, "one two three four"), (2, "something else entirely here")]

@@ -247,8 +247,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of every component: the row of its smallest doc_id, whole.
 
-    Rows that repeat a doc_id and its text count as one row; which one stays is open if
-    their other columns differ.  If all ids of a component are null its smallest text hash
+    Rows that repeat a doc_id and its text count as one row; the one whose other columns are
+    least, as JSON text, stays.  A text of any length is hashed whole.  If all ids of a component are null its smallest text hash
     stays.  The rows' own columns come back in their order, whatever their names.
     """
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("th"))
@@ -260,4 +260,6 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     stay = (near_groups(first).select(F.col("component_id.doc_id").alias("d"),
                                       F.col("component_id.th").alias("t")).distinct())
     kept = rows.join(stay, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("th").eqNullSafe(F.col("t")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "th"]).select("row.*")
+    others = [F.col("row")[c] for c in docs.columns if c not in ("doc_id", "text")]
+    rank = F.to_json(F.struct(*[c.alias(f"c{k}") for k, c in enumerate(others)])) if others else F.lit("")
+    return kept.groupBy("doc_id", "th").agg(F.min_by("row", rank).alias("row")).select("row.*")
