@@ -9,8 +9,9 @@ returned as ``TIMESTAMP_NTZ`` wall-clock UTC.  Streaming queries are registered
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velolake.operators import gold, marts, quality, reports, silver
@@ -363,9 +364,10 @@ def _rolled_up(f: Frames, rides: bool):
     facts, minutes, make = _minute_sketches(f, rides)
     counts = sketches.REVENUE_SKETCHES if rides else sketches.FLEET_SKETCHES
     hours = sketches.estimates(sketches.rollup(minutes, f.window))
-    direct = sketches.estimates(make(facts, f.window)).select("hour_start", F.struct(*counts).alias("direct"))
-    both = hours.select("hour_start", F.struct(*counts).alias("rolled")).unionByName(direct, allowMissingColumns=True)
-    same = both.groupBy("hour_start").agg((F.max("rolled") == F.max("direct")).alias("equals_direct"))
+    direct = sketches.estimates(make(facts, f.window)).select("hour_start", *[F.col(c).alias(f"direct_{c}") for c in counts])
+    both = hours.select("hour_start", *counts).unionByName(direct, allowMissingColumns=True)
+    equal = [F.max(c) == F.max(f"direct_{c}") for c in counts]
+    same = both.groupBy("hour_start").agg(reduce(Column.__and__, equal).alias("equals_direct"))
     exact = (marts.revenue_mart if rides else marts.fleet_mart)(facts, window=f.window, exact=True)
     shown = marts.beside_exact(hours, exact, counts, sketches.BOUND)
     return shown.unionByName(same, allowMissingColumns=True).groupBy("hour_start").agg(
