@@ -16,7 +16,7 @@ TABLES = ("fact_rides", "fact_telemetry", "dim_city", "dim_payment_method", "dim
 
 @pytest.fixture(scope="module")
 def events(spark):
-    return Frames(spark, "/root/testdata/sf0.001").events.cache()
+    return Frames(spark, "/root/testdata/sf0.001").events
 
 
 def increment(spark, lake, events, part):
