@@ -241,3 +241,59 @@ def test_scores_of_the_query_step_by_step(spark, tmp_path, monkeypatch):
             if n < 0:
                 want += math.log10((counts[rare.pop(0)] + 1) / vocab.tail_mass[k - vocab.head_classes])
         assert got[d] == pytest.approx(want, rel=1e-4), d
+
+
+def test_a_token_meets_few_outputs():
+    v = vocabulary([b" ".join(b"w%d" % k for k in range(5000) for _ in range(1 + 3000 // (k + 1)))], L.HEAD)
+    words = np.array([r.stop - r.start for r in v.words_of])[v.part]
+    parts = np.array([r.stop - r.start for r in v.parts_of])[v.head_class]
+    mass = (v.counts[:v.head] + 1) / (v.counts[:v.head] + 1).sum()
+    two_levels = 2 * np.sqrt(mass).sum()
+    assert ((words + parts) * mass).sum() + v.head_classes < 0.8 * two_levels
+    assert sum(r.stop - r.start for r in v.words_of) == v.head
+
+
+def test_gradient_of_the_parts():
+    v = vocabulary([b" ".join(b"w%d" % k for k in range(300) for _ in range(1 + 300 // (k + 1)))], L.HEAD)
+    net, gen = L.Network(v), np.random.default_rng(3)
+    assert max(r.stop - r.start for r in v.parts_of) > 1
+    net.p = {k: p + gen.normal(0, 0.3, p.shape) for k, p in net.p.items()}
+    target = np.arange(0, v.head, 3)
+    h = gen.normal(0, 1, (len(target), L.HIDDEN))
+    grads = {k: np.zeros_like(p) for k, p in net.p.items()}
+    net.output(h, target, v.classes[target], grads, lambda *_: None)
+    for name in "Ss":
+        array, grad = net.p[name], grads[name]
+        for at in range(0, array.size, max(1, array.size // 7)):
+            old, loss = array.flat[at], []
+            for shift in (1e-5, -1e-5):
+                array.flat[at] = old + shift
+                loss.append(-net.output(h, target, v.classes[target])[0].mean())
+            array.flat[at] = old
+            assert grad.flat[at] == pytest.approx((loss[0] - loss[1]) / 2e-5, abs=1e-6)
+
+
+def test_logits_beyond_the_range_of_exponentials(small):
+    v, net, _ = small
+    h = np.ones((v.head, L.HIDDEN))
+    net.p["W"][3], net.p["w"][4], net.p["c"][0] = 30.0, -900.0, 800.0
+    got = net.output(h, np.arange(v.head), v.classes[:v.head])[0]
+    assert np.isfinite(got).all() and (got <= 1e-9).all()
+
+
+def test_long_documents_are_learned_from_in_pieces_side_by_side(small, monkeypatch):
+    v, net, _ = small
+    monkeypatch.setattr(L, "LEARNED", 64)
+    monkeypatch.setattr(L, "RATE", 0.0)
+    numbers = np.random.default_rng(4).integers(1, v.head, 1000).astype(np.int32)
+    doc, steps, learned = (numbers, v.classes[numbers]), [], []
+    gates, output = L.Network.gates, L.Network.output
+    monkeypatch.setattr(L.Network, "gates", lambda self, e, h, *out: steps.append(h.shape[1]) or gates(self, e, h, *out))
+    monkeypatch.setattr(L.Network, "output", lambda self, h, y, *a: learned.append((h.copy(), y.copy())) or output(self, h, y, *a))
+    net.train([doc], net.squares())
+    assert len(steps) == L.RUN_IN + 64  # not one step a token
+    assert sorted(np.concatenate([y for _, y in learned]).tolist()) == sorted(numbers.tolist())
+    fed, h = net.feed(*doc), np.zeros((1, L.HIDDEN))
+    for x in fed[64 - L.RUN_IN:65]:  # the second piece starts after the tokens before it
+        h = net.step(np.array([x]), h)[0]
+    assert np.abs(learned[0][0] - h).max(axis=1).min() < 1e-5
