@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.accumulators import AccumulatorParam
+from pyspark.sql import functions as F
 
 from velolake.llm import suffix_dedup as S
 
@@ -157,3 +158,54 @@ def test_pairs_and_larger_groups_of_long_common_prefixes():
     order, new = S.sort_suffixes(data, places, 50)
     got = [parts[i] for i in order]
     assert got == sorted(parts) and new.tolist() == [i == 0 or got[i] != got[i - 1] for i in range(len(got))]
+
+
+def test_copies_of_a_text_do_not_make_its_strings_repeated(spark, monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(S, "CHUNK", 700)
+    sizes = spark.sparkContext.accumulator([], LISTS)
+    monkeypatch.setattr(S, "covered", lambda contexts, *a, f=S.covered: (sizes.add([len(contexts)]), f(contexts, *a))[1])
+    texts = ["".join(rng.choice("abcdefghijkl") for _ in range(400)) for _ in range(12)]
+    rows = [(100 * k + i, t) for k in range(4) for i, t in enumerate(texts)] + [(None, texts[3]), (None, texts[3]), (7, texts[7])]
+    got = S.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert len(got) == len(rows) and not sum(sizes.value)
+    for r in got:
+        low = None if r["kept"] == texts[3].encode() or r["doc_id"] is None else r["doc_id"] < 100 and r["doc_id"] != 3
+        assert low is None or (r["starts"], r["ends"]) == (([], []) if low else ([0], [400]))
+    assert [r["doc_id"] for r in got if r["kept"] == texts[3].encode()] == [None, None]
+
+
+def test_only_strings_that_may_be_equal_are_sorted(monkeypatch):
+    rng = random.Random(8)
+    letters = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    stem, shared = letters(20), letters(30)
+    contexts = [letters(15) + stem + letters(15 + k % 16) for k in range(300)] + [letters(k) + stem + shared for k in range(1, 16)]
+    sorted_ = []
+    monkeypatch.setattr(S, "sort_suffixes", lambda data, places, *a, f=S.sort_suffixes: (sorted_.append(len(places)), f(data, places, *a))[1])
+    keys = np.array(rng.sample(range(1000), len(contexts)))
+    record, lo, hi = S.covered(contexts, keys, np.arange(len(contexts)), 50)
+    low = {}
+    for c, key in zip(contexts, keys.tolist()):
+        for p in range(len(c) - 49):
+            low[c[p:p + 50]] = min(low.get(c[p:p + 50], key), key)
+    want = {(r, p) for r, c in enumerate(contexts) for p in range(len(c) - 49) if low[c[p:p + 50]] < keys[r]}
+    assert {(r, p) for r, a, b in zip(record.tolist(), lo.tolist(), hi.tolist()) for p in range(a, b - 49)} == want and want
+    assert sum(sorted_) < sum(len(c) - 49 for c in contexts) / 2
+
+
+def test_texts_are_told_exactly_their_repeated_seeds(spark, monkeypatch):
+    rng = random.Random(11)
+    passage = "".join(rng.choice("abcdefghijkl") for _ in range(3000))
+    rows = [(k, passage[40 * k:] + str(k)) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = docs.select("doc_id", *S.text_identity(docs))
+    first = texts.groupBy("h1", "h2").agg(F.min("key").alias("key"), F.count("*").alias("n"))
+    seeds = S.repeated_seeds(texts, first, 50, 20, 4).collect()
+    told = {r["key"]: np.frombuffer(r["seeds"], np.uint64) for r in seeds if r["key"] is not None}
+    figures = [r for r in seeds if r["key"] is None]
+    assert set(told) == set(range(20))
+    assert sum(r["n"] for r in figures) >= len(set(np.concatenate(list(told.values())).tolist()))
+    for k, text in rows:
+        hashes = S.seed_id(S.minimizers([text.encode()], 50, 20)[3], 4)
+        others = set(S.seed_id(S.minimizers([t.encode() for j, t in rows if j != k], 50, 20)[3], 4).tolist())
+        assert set(told[k].tolist()) == set(hashes.tolist()) & others
