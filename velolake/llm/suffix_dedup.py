@@ -16,7 +16,7 @@ one group.  Steps, each a Spark stage over all documents:
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -545,13 +545,14 @@ def repeated_ranges(texts: DataFrame, first: DataFrame, length: int = LENGTH, gr
             slot[(want & np.uint64(len(slot) - 1)).astype(np.int64)] = True
             hit = np.flatnonzero(slot[(seed & np.uint64(len(slot) - 1)).astype(np.int64)])
             hit = hit[np.isin(seed[hit], want)]
+            text, start, count, seed, hashes = text[hit], start[hit], count[hit], seed[hit], None
             ids = np.array([[r["key"], r["number"]] for r in rows], np.int64)
             raw = [r["text"] for r in rows]
-            many = marked(marks.value, seed[hit])
-            alone = hit[~many]
+            many = marked(marks.value, seed)
+            alone = np.flatnonzero(~many)
             bucket = ((seed[alone] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(groups)).astype(np.int64)
             yield from dealt(raw, ids, bucket, text[alone], start[alone], count[alone])
-            hit, step = hit[many], max(1, SPLIT // (length - gram + 1))
+            hit, step = np.flatnonzero(many), max(1, SPLIT // (length - gram + 1))
             for lo in range(0, len(hit), step):
                 part = hit[lo:lo + step]
                 n = count[part]
@@ -578,20 +579,24 @@ def repeated_ranges(texts: DataFrame, first: DataFrame, length: int = LENGTH, gr
               count: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.argsort(bucket, kind="stable")
         bucket, text, start, count = bucket[order], text[order], start[order], count[order]
-        body = [raw[t][a:b] for t, a, b in zip(text.tolist(), start.tolist(), (start + count + length - 1).tolist())]
         cut, size = _cuts(bucket)
-        yield from rows_of(bucket[cut], False, [(ids[text[lo:hi]], start[lo:hi], count[lo:hi], body[lo:hi])
-                                                for lo, hi in zip(cut.tolist(), (cut + size).tolist())])
 
-    def rows_of(bucket: np.ndarray, whole: bool, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        def part(at: slice) -> tuple:
+            t, a, n = text[at], start[at], count[at]
+            return ids[t], a, n, [raw[i][lo:hi] for i, lo, hi in zip(t.tolist(), a.tolist(), (a + n + length - 1).tolist())]
+
+        yield from rows_of(bucket[cut], False, (part(slice(lo, lo + n)) for lo, n in zip(cut.tolist(), size.tolist())))
+
+    def rows_of(bucket: np.ndarray, whole: bool, parts: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
         """A row for each part (ids, starts, counts, bodies), in one compressed value."""
         press = zstandard.ZstdCompressor(1)
-        z = [press.compress(b"".join([ids.T.tobytes(), start.astype(np.int32).tobytes(), count.astype(np.int32).tobytes(), *body]))
-             for ids, start, count, body in parts]
-        if parts:
+        rows = [(len(start), press.compress(b"".join([
+            ids.T.tobytes(), start.astype(np.int32).tobytes(), count.astype(np.int32).tobytes(), *body])))
+            for ids, start, count, body in parts]
+        for lo in range(0, len(rows), 1024):
+            n, z = zip(*rows[lo:lo + 1024])
             yield pa.RecordBatch.from_arrays([
-                pa.array(bucket, pa.int32()), pa.array([len(p[1]) for p in parts], pa.int32()),
-                pa.array([whole] * len(parts)), pa.array(z, pa.binary())], names=names)
+                pa.array(bucket[lo:lo + 1024], pa.int32()), pa.array(n, pa.int32()), pa.array([whole] * len(n)), pa.array(z, pa.binary())], names=names)
 
     def settled(ids: np.ndarray, text: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Strings that a smaller key of the same chunk has, as ranges without a body."""
@@ -664,7 +669,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for key, first, starts, ends, z in zip(*(batch.column(c) for c in ("key", "first", "starts", "ends", "z"))):
                 text = unpress.decompress(z.as_py())
